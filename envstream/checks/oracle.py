@@ -220,6 +220,7 @@ def oracle():
             select *, row_number() over (partition by name order by "index" desc) as rn
             from catalogue) where rn = 1""",
         "stream_dedup": f"{BOTH} select distinct {AIR_COLUMNS} from air",
+        "stream_dedup_spread": f"{BOTH} select distinct {AIR_COLUMNS} from air",
         "stream_join": _UNIFIED,
         "stream_join_bounded": _UNIFIED,
         "stream_facts": f"{BOTH} select location_name, measured_at, {_list(*S.AIR_MEASURES)} "
@@ -235,7 +236,7 @@ def oracle():
         "facts_ordered": f"{_FACT_AIR} order by measured_at, location_id",
         "fk_orphans": f"""{BOTH}, {LOCATIONS} select distinct location_id, measured_at
             from air join dimension using (location_name)
-            where location_name not in (select location_name from weather)""",
+            where location_name not in (select concat('loc_', s_suppkey) from supplier)""",
         "insert_if_absent": f"""{BOTH},
             early as (select event_id from events where event_type in ('view', 'click')),
             existing as (select distinct location_name, dt, true as known from air

@@ -80,15 +80,13 @@ def epoch_to_ts(spark, sf_dir):
 def rejected_messages(spark, sf_dir):
     """The weather messages, those of errors cut short, those of clicks with a
     key that is no time."""
-    kind = derived.events(spark, sf_dir, "event_id", "event_type")
     text = F.col("value").cast("string")
     broken = (
-        F.when(F.col("event_type") == "error", F.expr("left(value, length(value) - 3)"))
-        .when(F.col("event_type") == "click", F.regexp_replace(text, r'^\{"\d+', '{"noon'))
+        F.when(F.col("kind") == "error", F.left(text, F.length(text) - 3))
+        .when(F.col("kind") == "click", F.regexp_replace(text, r'^\{"\d+', '{"noon'))
         .otherwise(text)
     )
-    messages = derived.weather_messages(spark, sf_dir).withColumn("value", text)
-    sent = messages.join(kind, F.col("pos") == F.col("event_id")).select(broken.alias("value"))
+    sent = derived.weather_messages(spark, sf_dir).select(broken.alias("value"))
     bad = parse.rejects(sent, S.WEATHER_ENVELOPE)
     return bad.groupBy("reason").agg(F.count("*").alias("n_messages"))
 
@@ -118,14 +116,12 @@ def label_category_count(spark, sf_dir):
 
 def _fetched(spark, sf_dir):
     """Two overlapping fetches; the later one gives temperatures one degree up."""
-    kinds = derived.events(spark, sf_dir, "event_id", "event_type")
-    rows = derived.raw_weather(spark, sf_dir).join(kinds, F.col("pos") == F.col("event_id"))
-    rows = rows.select(
-        "location_name", "dt", "pos", "copy", F.col("item.main.temp").alias("temp"), "event_type"
+    rows = derived.raw_weather(spark, sf_dir).select(
+        "location_name", "dt", "pos", "copy", F.col("item.main.temp").alias("temp"), "kind"
     )
-    early = rows.where(F.col("event_type") != "error").withColumn("fetch_no", F.lit(0))
+    early = rows.where(F.col("kind") != "error").withColumn("fetch_no", F.lit(0))
     late = rows.withColumn("temp", F.col("temp") + 1).withColumn("fetch_no", F.lit(1))
-    return early.unionByName(late).drop("event_type")
+    return early.unionByName(late).drop("kind")
 
 
 def first_per_key(spark, sf_dir):
@@ -149,6 +145,16 @@ def stream_dedup(spark, sf_dir):
     )
 
 
+def stream_dedup_spread(spark, sf_dir):
+    """The same result where copies of a row may come in very many messages."""
+    messages = derived.feed(spark, sf_dir).where(F.col("topic") == derived.AIR_TOPIC)
+
+    def build(stream):
+        return clean.dedup_spread(parse.air_rows(stream, "message_no"), "message_no")
+
+    return timed(replay_to_files(spark, messages, build))
+
+
 def stream_join(spark, sf_dir, delay=None):
     def build(messages):
         return unified_stream(messages, derived.AIR_TOPIC, derived.WEATHER_TOPIC, delay)
@@ -219,25 +225,26 @@ def facts_ordered(spark, sf_dir):
 
 
 def fk_orphans(spark, sf_dir):
-    """Pollution facts of locations without any weather, found as orphans of a
-    dimension that holds the weather's locations only."""
+    """Pollution facts left without a location by a dimension that holds only
+    users who are suppliers too."""
     known = dim_locations(spark, sf_dir)
-    with_weather = known.join(weather(spark, sf_dir), "location_name", "left_semi")
-    return timed(
-        keys.orphans(_fact_air(spark, sf_dir, known), with_weather), "location_id", S.TIME
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
+        F.expr("concat('loc_', cast(s_suppkey as string))").alias("location_name")
     )
+    partial = known.join(suppliers, "location_name", "left_semi")
+    return timed(keys.orphans(_fact_air(spark, sf_dir, known), partial), "location_id", S.TIME)
 
 
 def insert_if_absent(spark, sf_dir):
     """What a second load of all pollution readings adds to a table that has the
     views and clicks."""
     rows = derived.raw_air(spark, sf_dir).select(
-        "location_name", "dt", F.col("item.components.co").alias("co"), "pos"
+        "location_name", "dt", F.col("item.components.co").alias("co"), "pos", "kind"
+    )
+    existing = rows.where(F.col("kind").isin("view", "click"))
+    return keys.insert_if_absent(
+        existing, rows.drop("kind"), ["location_name", "dt"], ["co", "pos"]
     )
-    kinds = derived.events(spark, sf_dir, "event_id", "event_type")
-    early = kinds.where(F.col("event_type").isin("view", "click"))
-    existing = rows.join(early, F.col("pos") == F.col("event_id"), "left_semi")
-    return keys.insert_if_absent(existing, rows, ["location_name", "dt"], ["co", "pos"])
 
 
 # --- encoding -------------------------------------------------------------------
@@ -387,7 +394,8 @@ def _unified(spark, sf_dir):
 
 
 def scaled_features(spark, sf_dir):
-    scaled = timed(model.scaled_columns(_unified(spark, sf_dir)))
+    rows = materialise(_unified(spark, sf_dir))
+    scaled = timed(model.scaled_columns(rows))
     return scaled.select(
         *(F.round(c, 6).alias(c) if c.startswith("scaled_") else c for c in scaled.columns)
     )
@@ -440,7 +448,7 @@ def metrics_row(spark, sf_dir):
 QUERIES = (
     parse_air, parse_weather, flatten_air, flatten_weather, first_description, epoch_to_ts,
     rejected_messages, drop_nulls, batch_distinct, unified, label_categories,
-    label_category_count, first_per_key, last_per_name, stream_dedup, stream_join,
+    label_category_count, first_per_key, last_per_name, stream_dedup, stream_dedup_spread, stream_join,
     stream_join_bounded, stream_facts, stream_locations, dim_locations, scan_locations,
     fact_air, fact_weather, facts_ordered, fk_orphans, insert_if_absent, regroup_air,
     regroup_weather, key_union, timestamp_count, first_n_timestamps, align_topics,

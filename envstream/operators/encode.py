@@ -53,7 +53,7 @@ def weather_entry(location_name="location_name", item="item") -> Column:
 
 def span_of(position="pos", span=SPAN) -> Column:
     """Which stretch of ``span`` source positions a row lies in."""
-    return F.floor(F.col(position) / F.lit(span)).cast("bigint")
+    return F.expr(f"`{position}` div {span}")
 
 
 def regroup(df: DataFrame, keys, payload, order, stretch: Column,
@@ -72,7 +72,7 @@ def regroup(df: DataFrame, keys, payload, order, stretch: Column,
     return (
         df.withColumn("stretch", stretch)
         .withColumn("_rank", rank - 1)
-        .withColumn("chunk", F.floor(F.col("_rank") / F.lit(max_entries)).cast("bigint"))
+        .withColumn("chunk", F.expr(f"_rank div {max_entries}"))
         .groupBy(*groups, "chunk")
         .agg(listed.alias("_listed"))
         .select(*groups, "chunk", F.col("_listed.payload").alias("entries"))

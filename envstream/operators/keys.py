@@ -54,14 +54,19 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys, order) -> D
 def batch_locations(air: DataFrame, weather: DataFrame) -> DataFrame:
     """One row per location name of a batch. Pollution readings bring the
     coordinates; a name seen only in weather has none."""
-    named = air.select("location_name", F.struct("longitude", "latitude").alias("at")).unionByName(
-        weather.select("location_name"), allowMissingColumns=True
+    named = (
+        air.select("location_name", "longitude", "latitude")
+        .unionByName(weather.select("location_name"), allowMissingColumns=True)
+        .where(F.col("location_name").isNotNull())
+        # Readings collapse here, by hash and before the shuffle; what is left
+        # for the pick below is about one row per location.
+        .distinct()
     )
-    placed = F.col("at.longitude").isNotNull() & F.col("at.latitude").isNotNull()
+    at = F.struct("longitude", "latitude")
+    placed = F.col("longitude").isNotNull() & F.col("latitude").isNotNull()
     return (
-        named.where(F.col("location_name").isNotNull())
-        .groupBy("location_name")
-        .agg(F.min(F.when(placed, F.col("at"))).alias("at"))
+        named.groupBy("location_name")
+        .agg(F.min(F.when(placed, at)).alias("at"))
         .select("location_name", "at.longitude", "at.latitude")
     )
 

@@ -15,21 +15,23 @@ def decode(messages: DataFrame, envelope: str) -> DataFrame:
     return text.select("json_value", F.from_json("json_value", envelope).alias("data"))
 
 
-def parse_envelope(messages: DataFrame, envelope: str) -> DataFrame:
+def parse_envelope(messages: DataFrame, envelope: str, message_no=None) -> DataFrame:
     """One row (timestamp, entry) per entry of every message.
 
     The map is unnested with the outer form and NULL keys are dropped after:
     the inner form makes Catalyst infer a size filter that decodes the JSON
-    text a second and third time.
+    text a second and third time. The time is worked out before the entries are
+    unnested, once per message. ``message_no`` names an extra column that tells
+    messages apart (a hash of the text).
     """
+    number = [F.xxhash64("json_value").alias(message_no)] if message_no else []
+    kept = [message_no] if message_no else []
     return (
         decode(messages, envelope)
-        .select(F.explode_outer("data").alias("unix_timestamp", "entries"))
+        .select(*number, F.explode_outer("data").alias("unix_timestamp", "entries"))
         .where(F.col("unix_timestamp").isNotNull())
-        .select(
-            epoch_to_timestamp("unix_timestamp").alias("timestamp"),
-            F.explode("entries").alias("entry"),
-        )
+        .select(*kept, epoch_to_timestamp("unix_timestamp").alias("timestamp"), "entries")
+        .select(*kept, "timestamp", F.explode("entries").alias("entry"))
     )
 
 
@@ -49,23 +51,26 @@ def _fields(paths):
     return [F.col(f"entry.{path}").alias(name) for name, path in paths.items()]
 
 
-def flatten_air(parsed: DataFrame) -> DataFrame:
+def flatten_air(parsed: DataFrame, keep=()) -> DataFrame:
     return parsed.select(
-        F.col("timestamp").alias(S.TIME), *_fields(S.AIR_FIELDS)
-    ).select(*S.AIR_COLUMNS)
+        *keep, F.col("timestamp").alias(S.TIME), *_fields(S.AIR_FIELDS)
+    ).select(*keep, *S.AIR_COLUMNS)
 
 
-def flatten_weather(parsed: DataFrame) -> DataFrame:
+def flatten_weather(parsed: DataFrame, keep=()) -> DataFrame:
     return parsed.select(
+        *keep,
         F.col("timestamp").alias(S.TIME),
         *_fields(S.WEATHER_FIELDS),
         first_description(F.col("entry.weather_info.weather")).alias("weather_description"),
-    ).select(*S.WEATHER_COLUMNS)
+    ).select(*keep, *S.WEATHER_COLUMNS)
 
 
-def air_rows(messages: DataFrame) -> DataFrame:
-    return flatten_air(parse_envelope(messages, S.AIR_ENVELOPE))
+def air_rows(messages: DataFrame, message_no=None) -> DataFrame:
+    keep = [message_no] if message_no else []
+    return flatten_air(parse_envelope(messages, S.AIR_ENVELOPE, message_no), keep)
 
 
-def weather_rows(messages: DataFrame) -> DataFrame:
-    return flatten_weather(parse_envelope(messages, S.WEATHER_ENVELOPE))
+def weather_rows(messages: DataFrame, message_no=None) -> DataFrame:
+    keep = [message_no] if message_no else []
+    return flatten_weather(parse_envelope(messages, S.WEATHER_ENVELOPE, message_no), keep)

@@ -60,6 +60,7 @@ def _readings(spark, sf_dir, excluded, twice, item, *extra):
         F.expr(LOCATION).alias("location_name"),
         *extra,
         item.alias("item"),
+        F.col("event_type").alias("kind"),
         F.when(F.col("event_type") == twice, 2).otherwise(1).alias("copies"),
     )
 
@@ -106,7 +107,7 @@ def _weather(spark, sf_dir):
 
 
 def raw_air(spark, sf_dir) -> DataFrame:
-    """pos, dt, location_name, coord, item, copy - one row per reading sent."""
+    """pos, dt, location_name, coord, item, kind, copy - one row per reading sent."""
     return _twice(_air(spark, sf_dir))
 
 
@@ -116,8 +117,10 @@ def raw_weather(spark, sf_dir) -> DataFrame:
 
 def _messages(df, entry):
     """One message per event: its entry, repeated as often as it is sent."""
-    repeated = df.select("dt", "pos", F.array_repeat(entry, F.col("copies")).alias("entries"))
-    return encode(repeated, keep=("dt", "pos"))
+    repeated = df.select(
+        "dt", "pos", "kind", F.array_repeat(entry, F.col("copies")).alias("entries")
+    )
+    return encode(repeated, keep=("dt", "pos", "kind"))
 
 
 def air_messages(spark, sf_dir) -> DataFrame:
@@ -129,7 +132,7 @@ def weather_messages(spark, sf_dir) -> DataFrame:
 
 
 def feed(spark, sf_dir) -> DataFrame:
-    """Messages of both topics: dt, pos, topic, value."""
+    """Messages of both topics: dt, pos, kind, topic, value."""
     air = air_messages(spark, sf_dir).withColumn("topic", F.lit(AIR_TOPIC))
     weather = weather_messages(spark, sf_dir).withColumn("topic", F.lit(WEATHER_TOPIC))
     return air.unionByName(weather)

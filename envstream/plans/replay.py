@@ -17,7 +17,7 @@ def time_slices(messages: DataFrame, slices: int, key="dt"):
     if low is None:
         return []
     width = (high - low) // slices + 1
-    number = F.floor((F.col(key) - F.lit(low)) / F.lit(width))
+    number = F.expr(f"({key} - {low}) div {width}")
     return [messages.where(number == i) for i in range(slices)]
 
 

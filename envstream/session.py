@@ -7,7 +7,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on local disk instead of the heap, and per batch only its changes uploaded.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def build_session(app_name, shuffle_partitions=None, master=None, extra=None):
@@ -20,7 +25,7 @@ def build_session(app_name, shuffle_partitions=None, master=None, extra=None):
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        **STATE_SETTINGS,
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **(extra or {}),
     }
@@ -40,8 +45,9 @@ def streaming_session(spark, partitions=None):
     session = spark.newSession()
     count = partitions or spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.shuffle.partitions", str(count))
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set("spark.sql.session.timeZone", "UTC")
+    for key, value in STATE_SETTINGS.items():
+        session.conf.set(key, value)
     return session
 
 
