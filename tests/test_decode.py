@@ -1,0 +1,104 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from envstream import schemas as S
+from envstream.functions import epoch_to_timestamp
+from envstream.operators import parse
+from helpers import air_entry, frame, message, weather_entry
+
+HOUR = 1704067200
+
+
+@pytest.fixture(params=["true", "false"])
+def ansi(spark, request):
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield
+    spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def reasons(spark, texts, envelope=S.AIR_ENVELOPE):
+    return [r.reason for r in parse.rejects(frame(spark, texts), envelope).collect()]
+
+
+@pytest.mark.parametrize(
+    "text, n_rejects",
+    [("{not json", 1), (None, 0), ('{"1704067200": []}', 0), ("{}", 0), ("[1, 2]", 1), ("7", 1)],
+)
+def test_messages_without_rows(spark, ansi, text, n_rejects):
+    assert parse.air_rows(frame(spark, [text])).count() == 0
+    assert len(reasons(spark, [text])) == n_rejects
+
+
+def test_bad_messages_leave_their_neighbours(spark, ansi):
+    texts = ["{not json", message(HOUR, air_entry("A"), air_entry("B")), None]
+    assert {r.location_name for r in parse.air_rows(frame(spark, texts)).collect()} == {"A", "B"}
+
+
+def test_wrong_type_is_null_and_siblings_survive(spark, ansi):
+    row = parse.weather_rows(frame(spark, [message(HOUR, weather_entry(deg=270.5))])).first()
+    assert row.wind_direction is None
+    assert row.wind_speed == 2.0 and row.wind_gust == 4.0 and row.temperature == 10.0
+
+
+def test_clock_change_hours_stay_apart(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Madrid")
+    try:
+        texts = [message(s, air_entry()) for s in (1698539400, 1698543000)]
+        times = parse.air_rows(frame(spark, texts)).select(F.unix_seconds(S.TIME)).collect()
+        assert sorted(t[0] for t in times) == [1698539400, 1698543000]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_key_that_is_no_time(spark, ansi):
+    texts = [message("abc", air_entry())]
+    rows = parse.air_rows(frame(spark, texts)).collect()
+    assert len(rows) == 1 and rows[0][S.TIME] is None
+    assert reasons(spark, texts) == ["key is no time"]
+
+
+@pytest.mark.parametrize(
+    "text, seconds",
+    [
+        ("1704067200", 1704067200), ("1704067200.7", 1704067200), (" 12 ", 12), ("-5", -5),
+        ("", None), ("1e9", None), ("1704067200000", None), ("9" * 30, None), ("noon", None),
+    ],
+)
+def test_epoch_text(spark, ansi, text, seconds):
+    df = spark.createDataFrame([(text,)], "k string")
+    assert df.select(F.unix_seconds(epoch_to_timestamp("k"))).first()[0] == seconds
+
+
+def test_no_condition_gives_no_description(spark, ansi):
+    texts = [message(HOUR, weather_entry("A", conditions=()), weather_entry("B", conditions=("x", "y")))]
+    rows = {r.location_name: r.weather_description for r in parse.weather_rows(frame(spark, texts)).collect()}
+    assert rows == {"A": None, "B": "x"}
+
+
+def test_flat_columns_and_values(spark):
+    air = parse.air_rows(frame(spark, [message(HOUR, air_entry())]))
+    weather = parse.weather_rows(frame(spark, [message(HOUR, weather_entry())]))
+    assert tuple(air.columns) == S.AIR_COLUMNS and len(air.columns) == 13
+    assert tuple(weather.columns) == S.WEATHER_COLUMNS and len(weather.columns) == 13
+    assert air.first() == (
+        "A", 1.0, 2.0, dt.datetime.fromtimestamp(HOUR), 3, 0.0, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0,
+    )
+    assert weather.first()[1:] == ("A", 10.0, 9.0, 1000, 50, 8.0, 12.0, 2.0, 270, 4.0, 75, "rain")
+    assert [t for _, t in weather.dtypes] == [
+        "timestamp", "string", "double", "double", "int", "int", "double", "double", "double",
+        "int", "double", "int", "string",
+    ]
+
+
+def test_names_outside_ascii(spark):
+    texts = [message(HOUR, air_entry("Badia del Vallès"), air_entry('de n"Hug'))]
+    names = {r.location_name for r in parse.air_rows(frame(spark, texts)).collect()}
+    assert names == {"Badia del Vallès", 'de n"Hug'}
+
+
+def test_message_numbers_tell_messages_apart(spark):
+    texts = [message(HOUR, air_entry()), message(HOUR, air_entry(), air_entry("B"))]
+    rows = parse.air_rows(frame(spark, texts), "message_no")
+    assert rows.select("message_no").distinct().count() == 2 and rows.count() == 3
