@@ -56,7 +56,8 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
 
 
 def read_metrics(spark, path: str) -> DataFrame:
-    return spark.read.schema(S.METRICS_ROW).parquet(path)
+    rows = spark.read.schema(S.METRICS_ROW).parquet(path)
+    return rows.select("batch_id", "rmse", "mae", "accuracy")
 
 
 def write_model(model, path: str, batch_id: int) -> str:

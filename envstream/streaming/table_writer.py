@@ -19,6 +19,12 @@ FACT_ID = {AIR: "air_pollution_data_id", WEATHER: "weather_data_id"}
 MEASURES = {AIR: S.AIR_MEASURES, WEATHER: S.WEATHER_MEASURES}
 
 
+def read_ledger(spark, path: str) -> DataFrame:
+    """What each batch added: job, batch_id, locations_added, air_added, weather_added."""
+    rows = spark.read.schema(S.LEDGER_ROW).parquet(path)
+    return rows.select("job", "batch_id", "locations_added", "air_added", "weather_added")
+
+
 def add_locations(store, air: DataFrame, weather: DataFrame) -> int:
     """Insert names not yet known; returns their number."""
     known = store.read(LOCATIONS)
