@@ -22,10 +22,8 @@ from envstream.streaming.table_writer import FACT_ID, TableWriter
 
 def timed(df: DataFrame, *columns: str) -> DataFrame:
     """The columns (default: all) with the time as unix seconds."""
-    chosen = columns or df.columns
-    return df.select(
-        *(epoch_seconds(c).alias("measured_at") if c == S.TIME else F.col(c) for c in chosen)
-    )
+    seconds = f"unix_seconds({S.TIME}) as measured_at"
+    return df.selectExpr(*(seconds if c == S.TIME else c for c in columns or df.columns))
 
 
 def air(spark, sf_dir) -> DataFrame:

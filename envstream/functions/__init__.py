@@ -1,7 +1,6 @@
 """Column expressions built from Spark's own functions."""
 
 from envstream.functions.columns import (
-    any_null,
     class_of,
     epoch_seconds,
     epoch_to_timestamp,
@@ -14,7 +13,7 @@ from envstream.functions.columns import (
 )
 
 __all__ = [
-    "any_null", "class_of", "epoch_seconds", "epoch_to_timestamp",
+    "class_of", "epoch_seconds", "epoch_to_timestamp",
     "first_description", "md5_bucket", "nearest_class", "packed_fact_id",
     "text_digest", "wall_clock_epoch",
 ]

@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,9 +36,9 @@ def wall_clock_epoch(wall_clock, zone="UTC") -> Column:
     return F.timestamp_diff("SECOND", origin, shifted)
 
 
-def first_description(conditions) -> Column:
-    """Description of the first weather condition, NULL for an empty list."""
-    return F.get(conditions["description"], F.lit(0))
+def first_description(conditions: str) -> str:
+    """SQL text: description of the first weather condition, NULL for an empty list."""
+    return f"get({conditions}.description, 0)"
 
 
 def class_of(prediction) -> Column:
@@ -53,10 +51,6 @@ def nearest_class(prediction) -> Column:
     return F.round(prediction).cast("int")
 
 
-def any_null(columns) -> Column:
-    return reduce(lambda a, b: a | b, (F.col(c).isNull() for c in columns))
-
-
 def text_digest(*columns) -> Column:
     """md5 of the key columns' text; evenly spread whatever the keys look like."""
     return F.md5(F.concat_ws("|", *(F.col(c).cast("string") for c in columns)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from envstream import schemas as S
@@ -34,13 +34,24 @@ def confusion_counts(pairs: DataFrame) -> DataFrame:
     """Rows per (label, predicted class), for classes that occur as labels.
 
     A prediction outside the label set has no cell, though it counts against
-    accuracy. Counting comes first, so the label test sees one row per cell.
+    accuracy. Counting comes first; then each cell stands once under its
+    predicted class and once, as a marker, under its label, so that the label
+    test is a window over cells and the predictions are worked out only once.
     """
     cells = pairs.groupBy(
         "label", F.col("rounded_prediction").cast("double").alias("predicted")
     ).agg(F.count("*").alias("n_rows"))
-    labels = cells.select(F.col("label").alias("predicted")).distinct()
-    return cells.join(labels, "predicted", "left_semi").select("label", "predicted", "n_rows")
+    places = F.array(
+        F.struct(F.col("predicted").alias("class"), F.lit(False).alias("is_label")),
+        F.struct(F.col("label").alias("class"), F.lit(True).alias("is_label")),
+    )
+    known = F.max("is_label").over(Window.partitionBy("class"))
+    return (
+        cells.select("label", "predicted", "n_rows", F.inline(places))
+        .withColumn("known", known)
+        .where(F.col("known") & ~F.col("is_label"))
+        .select("label", "predicted", "n_rows")
+    )
 
 
 def confusion_table(cells: DataFrame, labels) -> DataFrame:

@@ -47,23 +47,21 @@ def rejects(messages: DataFrame, envelope: str) -> DataFrame:
     )
 
 
-def _fields(paths):
-    return [F.col(f"entry.{path}").alias(name) for name, path in paths.items()]
+def _in_order(columns, paths, keep, **texts):
+    """Select list: each flat column with the text that gives it."""
+    texts |= {S.TIME: "timestamp", **{name: f"entry.{path}" for name, path in paths.items()}}
+    return [*keep, *(f"{texts[name]} as {name}" for name in columns)]
 
 
 def flatten_air(parsed: DataFrame, keep=()) -> DataFrame:
-    return parsed.select(
-        *keep, F.col("timestamp").alias(S.TIME), *_fields(S.AIR_FIELDS)
-    ).select(*keep, *S.AIR_COLUMNS)
+    return parsed.selectExpr(*_in_order(S.AIR_COLUMNS, S.AIR_FIELDS, keep))
 
 
 def flatten_weather(parsed: DataFrame, keep=()) -> DataFrame:
-    return parsed.select(
-        *keep,
-        F.col("timestamp").alias(S.TIME),
-        *_fields(S.WEATHER_FIELDS),
-        first_description(F.col("entry.weather_info.weather")).alias("weather_description"),
-    ).select(*keep, *S.WEATHER_COLUMNS)
+    first = first_description("entry.weather_info.weather")
+    return parsed.selectExpr(
+        *_in_order(S.WEATHER_COLUMNS, S.WEATHER_FIELDS, keep, weather_description=first)
+    )
 
 
 def air_rows(messages: DataFrame, message_no=None) -> DataFrame:

@@ -46,22 +46,21 @@ def hour_of(ts="ts") -> Column:
     return (seconds - F.pmod(seconds, F.lit(3600))).alias("dt")
 
 
-def _times(name, factor) -> Column:
-    return (F.col("value") * F.lit(float(factor))).alias(name)
+def _times(name, factor):
+    return f"value * {float(factor)}D as {name}"
+
+
+def _struct(*fields):
+    return f"struct({', '.join(fields)})"
 
 
 def _readings(spark, sf_dir, excluded, twice, item, *extra):
     base = events(spark, sf_dir, "event_id", "ts", "user_id", "event_type", "value").where(
         F.col("event_type") != excluded
     )
-    return base.select(
-        F.col("event_id").alias("pos"),
-        hour_of(),
-        F.expr(LOCATION).alias("location_name"),
-        *extra,
-        item.alias("item"),
-        F.col("event_type").alias("kind"),
-        F.when(F.col("event_type") == twice, 2).otherwise(1).alias("copies"),
+    return base.withColumn("dt", hour_of()).selectExpr(
+        "event_id as pos", "dt", f"{LOCATION} as location_name", *extra, f"{item} as item",
+        "event_type as kind", f"if(event_type = '{twice}', 2, 1) as copies",
     )
 
 
@@ -72,36 +71,30 @@ def _twice(df: DataFrame) -> DataFrame:
 
 
 def _air(spark, sf_dir):
-    item = F.struct(
-        hour_of(),
-        F.struct(F.expr(AQI).alias("aqi")).alias("main"),
-        F.struct(*(_times(p, POLLUTANT_FACTORS[p]) for p in S.POLLUTANTS)).alias("components"),
-    )
-    coord = F.struct(F.expr(LON).alias("lon"), F.expr(LAT).alias("lat")).alias("coord")
+    components = _struct(*(_times(p, POLLUTANT_FACTORS[p]) for p in S.POLLUTANTS))
+    item = _struct("dt", f"struct({AQI} as aqi) as main", f"{components} as components")
+    coord = f"struct({LON} as lon, {LAT} as lat) as coord"
     return _readings(spark, sf_dir, "error", "signup", item, coord)
 
 
 def _weather(spark, sf_dir):
-    main = F.struct(
+    main = _struct(
         _times("temp", WEATHER_FACTORS["temp"]),
         _times("feels_like", WEATHER_FACTORS["feels_like"]),
-        F.expr(WEATHER_INTS["pressure"]).alias("pressure"),
-        F.expr(WEATHER_INTS["humidity"]).alias("humidity"),
+        f"{WEATHER_INTS['pressure']} as pressure",
+        f"{WEATHER_INTS['humidity']} as humidity",
         _times("temp_min", WEATHER_FACTORS["temp_min"]),
         _times("temp_max", WEATHER_FACTORS["temp_max"]),
     )
-    gust = F.when(F.col("event_id") % 4 != 0, F.col("value") * F.lit(float(GUST_FACTOR)))
-    wind = F.struct(_times("speed", SPEED_FACTOR), F.expr(DEG).alias("deg"), gust.alias("gust"))
-    named = F.array(F.struct(F.col("event_type").alias("description")))
-    conditions = F.when(F.col("event_id") % 7 != 0, named).otherwise(
-        F.array().cast("array<struct<description: string>>")
+    gust = f"if(event_id % 4 <> 0, value * {float(GUST_FACTOR)}D, null) as gust"
+    wind = _struct(_times("speed", SPEED_FACTOR), f"{DEG} as deg", gust)
+    conditions = (
+        "if(event_id % 7 <> 0, array(struct(event_type as description)), "
+        "cast(array() as array<struct<description: string>>))"
     )
-    item = F.struct(
-        hour_of(),
-        main.alias("main"),
-        wind.alias("wind"),
-        F.struct(F.expr(CLOUDS).alias("all")).alias("clouds"),
-        conditions.alias("weather"),
+    item = _struct(
+        "dt", f"{main} as main", f"{wind} as wind", f"struct({CLOUDS} as all) as clouds",
+        f"{conditions} as weather",
     )
     return _readings(spark, sf_dir, "signup", "view", item)
 
