@@ -223,6 +223,7 @@ def oracle():
         "stream_dedup_spread": f"{BOTH} select distinct {AIR_COLUMNS} from air",
         "stream_join": _UNIFIED,
         "stream_join_bounded": _UNIFIED,
+        "stream_join_spread": _UNIFIED,
         "stream_facts": f"{BOTH} select location_name, measured_at, {_list(*S.AIR_MEASURES)} "
         f"from ({_first('air', S.AIR_MEASURES)})",
         "stream_locations": f"""{BOTH}, {_slices()}

@@ -153,17 +153,21 @@ def stream_dedup_spread(spark, sf_dir):
     return timed(replay_to_files(spark, messages, build))
 
 
-def stream_join(spark, sf_dir, delay=None):
+def stream_join(spark, sf_dir, slices=4, **how):
     def build(messages):
-        return unified_stream(messages, derived.AIR_TOPIC, derived.WEATHER_TOPIC, delay)
+        return unified_stream(messages, derived.AIR_TOPIC, derived.WEATHER_TOPIC, **how)
 
-    return timed(replay_to_files(spark, derived.feed(spark, sf_dir), build))
+    return timed(replay_to_files(spark, derived.feed(spark, sf_dir), build, slices))
 
 
 def stream_join_bounded(spark, sf_dir):
     return stream_join(spark, sf_dir, delay="2 hours")
 
 
+def stream_join_spread(spark, sf_dir):
+    return stream_join(spark, sf_dir, slices=2, parts=4)
+
+
 def _streamed_tables(spark, sf_dir):
     store = FolderStore(spark, shared_dir(spark, "tables")).create()
     writer = TableWriter(store, derived.AIR_TOPIC, derived.WEATHER_TOPIC)
@@ -447,7 +451,7 @@ QUERIES = (
     parse_air, parse_weather, flatten_air, flatten_weather, first_description, epoch_to_ts,
     rejected_messages, drop_nulls, batch_distinct, unified, label_categories,
     label_category_count, first_per_key, last_per_name, stream_dedup, stream_dedup_spread, stream_join,
-    stream_join_bounded, stream_facts, stream_locations, dim_locations, scan_locations,
+    stream_join_bounded, stream_join_spread, stream_facts, stream_locations, dim_locations, scan_locations,
     fact_air, fact_weather, facts_ordered, fk_orphans, insert_if_absent, regroup_air,
     regroup_weather, key_union, timestamp_count, first_n_timestamps, align_topics,
     encode_roundtrip, scan_map_json, scan_catalogue, name_list, catalogue_by_country,

@@ -27,13 +27,15 @@ def dedup_global(df: DataFrame, time=None, delay=None) -> DataFrame:
     return df.dropDuplicates()
 
 
-def dedup_spread(df: DataFrame, salt, parts=16) -> DataFrame:
+def dedup_spread(df: DataFrame, salt, parts=16, time=None, delay=None) -> DataFrame:
     """Streaming distinct in two steps, for rows copied over very many messages.
 
     ``salt`` is any column that differs between messages (their text, offset or
     key). The first step keeps at most ``parts`` copies of a row, each in its
     own state partition; the second keeps one.
     """
+    if delay is not None:
+        df = df.withWatermark(time, delay)
     columns = [c for c in df.columns if c != salt]
     part = F.pmod(F.xxhash64(salt), F.lit(parts)).alias("_part")
     return (

@@ -24,9 +24,9 @@ def is_placed() -> Column:
     return F.col("longitude").isNotNull() & F.col("latitude").isNotNull()
 
 
-def _time_range(rows: DataFrame):
-    """First and last time of some rows: two values, whatever their number."""
-    return rows.agg(F.min(S.TIME).alias("low"), F.max(S.TIME).alias("high")).first()
+def utc_day(second: Column) -> Column:
+    """The day of a unix second in UTC, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(second / 86400).cast("int"))
 
 
 @dataclass(frozen=True)
@@ -69,11 +69,10 @@ class FolderStore:
 
     def keys_near(self, name: str, rows: DataFrame) -> DataFrame:
         """Keys of the facts on the days that ``rows`` span."""
-        span = _time_range(rows)
-        day = F.col(DAY)
-        days = F.lit(False) if span.low is None else day.between(
-            F.lit(span.low).cast("date"), F.lit(span.high).cast("date")
-        )
+        # Two days come to the driver, whatever the number of rows.
+        day = utc_day(F.unix_seconds(S.TIME))
+        low, high = rows.agg(F.min(day), F.max(day)).first()
+        days = F.lit(False) if low is None else F.col(DAY).between(low, high)
         return self._facts(name).where(days).select("location_id", S.TIME)
 
     def append(self, name: str, rows: DataFrame) -> int:
@@ -81,7 +80,7 @@ class FolderStore:
         its plan is made, so ``rows`` may stem from the table itself."""
         if name != LOCATIONS:
             # Even files: small days are merged, a day with very many rows is split.
-            rows = rows.withColumn(DAY, F.col(S.TIME).cast("date")).hint("rebalance", DAY)
+            rows = rows.withColumn(DAY, utc_day(F.unix_seconds(S.TIME))).hint("rebalance", DAY)
         counted = Observation()
         writer = rows.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("append")
         if name != LOCATIONS:
@@ -101,40 +100,39 @@ class DatabaseStore:
     read_parts: int | None = None
     fill_nulls = False
 
-    def options(self, name: str, condition: str | None = None) -> dict:
-        table = name if condition is None else (
-            f"(select location_id, {S.TIME} from {name} where {condition}) near_keys"
-        )
-        return {"url": self.url, "dbtable": table, **self.properties}
-
-    def read(self, name: str) -> DataFrame:
-        options = self.options(name)
-        if self.read_parts and name != LOCATIONS:
-            bounds = (
-                self.spark.read.format("jdbc")
-                .options(url=self.url, **self.properties)
-                .option("query", f"select min(location_id) low, max(location_id) high from {name}")
-                .load()
-                .first()
+    def options(self, name: str, span=None) -> dict:
+        """Options for a whole table, or for the keys of its facts in a time span.
+
+        With ``read_parts`` the time span is read in that many queries.
+        """
+        chosen = {"url": self.url, "dbtable": name, **self.properties}
+        if span is not None:
+            low, high = span
+            chosen["dbtable"] = (
+                f"(select location_id, {S.TIME} from {name} "
+                f"where {S.TIME} between '{low}' and '{high}') near_keys"
             )
-            if bounds[0] is not None:
-                options |= {
-                    "partitionColumn": "location_id",
-                    "lowerBound": str(bounds[0]),
-                    "upperBound": str(bounds[1]),
+            if self.read_parts:
+                chosen |= {
+                    "partitionColumn": S.TIME,
+                    "lowerBound": low,
+                    "upperBound": high,
                     "numPartitions": str(self.read_parts),
                 }
+        return chosen
+
+    def _load(self, options) -> DataFrame:
         return self.spark.read.format("jdbc").options(**options).load()
 
+    def read(self, name: str) -> DataFrame:
+        return self._load(self.options(name))
+
     def keys_near(self, name: str, rows: DataFrame) -> DataFrame:
         """Keys of the facts in the time range of ``rows``, cut by the database."""
-        span = _time_range(rows)
-        if span.low is None:
-            condition = "1 = 0"
-        else:
-            low, high = (f"{edge:%Y-%m-%d %H:%M:%S}" for edge in span)
-            condition = f"{S.TIME} between '{low}' and '{high}'"
-        return self.spark.read.format("jdbc").options(**self.options(name, condition)).load()
+        low, high = rows.agg(F.min(S.TIME).cast("string"), F.max(S.TIME).cast("string")).first()
+        if low is None:
+            return self.spark.createDataFrame([], f"location_id bigint, {S.TIME} timestamp")
+        return self._load(self.options(name, (low, high)))
 
     def append(self, name: str, rows: DataFrame) -> int:
         """Append and count. A database shows rows as they come in, so the rows

@@ -12,11 +12,16 @@ from envstream.operators.parse import air_rows, weather_rows
 from envstream.operators.unify import unify_streams
 
 
-def unified_stream(messages: DataFrame, air_topic, weather_topic, delay=None) -> DataFrame:
-    """Both topics of one message stream -> complete, distinct, joined readings."""
-    air = air_rows(messages.where(F.col("topic") == air_topic))
-    weather = weather_rows(messages.where(F.col("topic") == weather_topic))
-    return unify_streams(air, weather, delay)
+def unified_stream(messages: DataFrame, air_topic, weather_topic, delay=None, parts=1) -> DataFrame:
+    """Both topics of one message stream -> complete, distinct, joined readings.
+
+    ``parts`` > 1 is for feeds where one reading is sent very many times or one
+    place and hour has very many readings.
+    """
+    number = "_message" if parts > 1 else None
+    air = air_rows(messages.where(F.col("topic") == air_topic), number)
+    weather = weather_rows(messages.where(F.col("topic") == weather_topic), number)
+    return unify_streams(air, weather, delay, parts, number)
 
 
 def _writer(df, checkpoint, drain, interval, name):

@@ -35,6 +35,8 @@ def add_locations(store, air: DataFrame, weather: DataFrame) -> int:
         completed = bare.join(named.where(is_placed()), "location_name").select(*columns)
         store.append(LOCATIONS, completed)
     new = materialise(absent(known, named, ["location_name"]))
+    if new.isEmpty():
+        return 0
     start = known.agg(F.max("location_id")).first()[0] or 0
     return store.append(
         LOCATIONS, number_rows(new, "location_name", start, "location_id").select(*columns)

@@ -78,6 +78,19 @@ def test_spread_distinct_equals_plain_distinct(spark, tmp_path):
     assert len(rows) == 2 * 7 and len(set(rows)) == 14
 
 
+def test_spread_join_equals_plain_join(spark, tmp_path):
+    plain = Replay(spark, tmp_path / "a", joined())
+    spread = Replay(spark, tmp_path / "b", lambda m: unified_stream(m, "air", "weather", "9 hours", 3))
+    for i in range(2):
+        airs = [air_entry("A", co=float(c)) for c in range(6 + i)] * 2
+        for replay in (plain, spread):
+            replay.land("air", message(HOUR, *airs))
+            replay.land("weather", message(HOUR, weather_entry("A", temp=float(i)), weather_entry("B")))
+            rows = replay.drain()
+            assert len(rows) == (6 if i == 0 else 14)
+    assert counted(spark.read.parquet(plain.out)) == rows
+
+
 def test_late_rows_are_dropped_only_with_a_watermark(spark, tmp_path):
     early, late = message(HOUR, air_entry("A")), message(HOUR + 36000, air_entry("A"), air_entry("B"))
     partner = message(HOUR, weather_entry("A"))

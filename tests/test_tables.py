@@ -123,6 +123,16 @@ def test_facts_of_many_days_and_pruned_reads(spark, tmp_path):
     assert write.store.keys_near(AIR, write.store.read(AIR).limit(0)).count() == 0
 
 
+def test_days_do_not_follow_the_session_time_zone(spark, tmp_path):
+    write = writer(spark, tmp_path)
+    rows = batch(spark, [message(HOUR + 3600 * h, air_entry("A")) for h in (0, 12, 23)])
+    for zone in ("UTC", "Asia/Tokyo", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        write(rows, 0)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert write.store.read(AIR).count() == 3
+
+
 def test_ordered_facts_and_orphans(spark, tmp_path):
     write = writer(spark, tmp_path)
     write(batch(spark, [message(HOUR + 3600, air_entry("A")), message(HOUR, air_entry("B"), air_entry("A"))]), 0)
@@ -158,6 +168,10 @@ def test_stream_resumes_after_a_failed_batch(spark, tmp_path):
 def test_database_options():
     store = DatabaseStore(None, "jdbc:x:y", {"driver": "d"})
     assert store.options(AIR) == {"url": "jdbc:x:y", "dbtable": AIR, "driver": "d"}
-    cut = store.options(AIR, "a between 1 and 2")["dbtable"]
-    assert cut == f"(select location_id, {S.TIME} from {AIR} where a between 1 and 2) near_keys"
+    span = ("2024-01-01 00:00:00", "2024-01-02 00:00:00")
+    cut = f"(select location_id, {S.TIME} from {AIR} where {S.TIME} between '{span[0]}' and '{span[1]}') near_keys"
+    assert store.options(AIR, span) == {"url": "jdbc:x:y", "dbtable": cut, "driver": "d"}
+    split = DatabaseStore(None, "jdbc:x:y", read_parts=16).options(AIR, span)
+    assert split["partitionColumn"] == S.TIME and split["numPartitions"] == "16"
+    assert (split["lowerBound"], split["upperBound"]) == span
     assert store.fill_nulls is False
