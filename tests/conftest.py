@@ -15,11 +15,12 @@ SF = pathlib.Path("/root/testdata/sf0.001")
 def spark(tmp_path_factory):
     session = build_session(
         "envstream-tests",
-        shuffle_partitions=8,
+        shuffle_partitions=4,
         master="local[8]",
         extra={
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
+            "spark.default.parallelism": "4",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },

@@ -171,7 +171,7 @@ def test_shared_clock():
 
 def test_state_partitions_follow_the_setting(spark):
     assert streaming_session(spark, 7).conf.get("spark.sql.shuffle.partitions") == "7"
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
 
 
 def test_shared_folder_comes_from_the_session(spark):
