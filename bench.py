@@ -21,7 +21,7 @@ HEADLINE = (
     Q.locations, Q.fetch_plan, Q.regression_metrics, Q.confusion_matrix, Q.scaled_features,
     Q.rf_metrics,
 )
-STREAMS = (Q.stream_dedup, Q.stream_join, Q.stream_join_bounded, Q.stream_facts)
+STREAMS = (Q.stream_dedup, Q.stream_join, Q.stream_facts)
 
 
 def seconds(query, spark) -> float:

@@ -63,6 +63,7 @@ def _parser():
     for job in (tables, train):
         job.add_argument("--starting", default="latest")
         job.add_argument("--checkpoint", required=True)
+        job.add_argument("--per-trigger", type=int, help="messages (or files) per micro-batch")
         job.add_argument("--drain", action="store_true", help="take what there is and end")
         job.add_argument("--idle", type=float, default=120.0, help="stop after so many seconds")
     return parser
@@ -70,8 +71,11 @@ def _parser():
 
 def _messages(spark, args):
     if args.feed:
-        return files.read_feed(spark, args.feed)
-    return read_topic(spark, Topics(args.servers, args.air, args.weather, args.starting))
+        return files.read_feed(spark, args.feed, args.per_trigger)
+    topics = Topics(
+        args.servers, args.air, args.weather, args.starting, max_offsets=args.per_trigger
+    )
+    return read_topic(spark, topics)
 
 
 def plan(spark, args):

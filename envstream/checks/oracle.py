@@ -262,6 +262,7 @@ def oracle():
               coalesce(a.names, '') as air_names, coalesce(w.names, '') as weather_names
             from a_sizes a full join w_sizes w using (dt, stretch, chunk)""",
         "encode_roundtrip": f"{BOTH} select {WEATHER_COLUMNS} from weather",
+        "encode_roundtrip_air": f"{BOTH} select {AIR_COLUMNS} from air",
         "scan_map_json": f"""{BOTH} select location_name, longitude as lon, latitude as lat,
             cast((row_number() over (partition by location_name, pos // 1048576
               order by pos, copy_no) - 1) % 1000 as int) as item_no,

@@ -315,6 +315,11 @@ def encode_roundtrip(spark, sf_dir):
     return timed(parse.weather_rows(messages))
 
 
+def encode_roundtrip_air(spark, sf_dir):
+    messages = encode.encode(_air_groups(spark, sf_dir))
+    return timed(parse.air_rows(messages))
+
+
 def scan_map_json(spark, sf_dir):
     """Pollution readings written as raw documents by location, and read back."""
     rows = derived.raw_air(spark, sf_dir)
@@ -454,7 +459,7 @@ QUERIES = (
     stream_join_bounded, stream_join_spread, stream_facts, stream_locations, dim_locations, scan_locations,
     fact_air, fact_weather, facts_ordered, fk_orphans, insert_if_absent, regroup_air,
     regroup_weather, key_union, timestamp_count, first_n_timestamps, align_topics,
-    encode_roundtrip, scan_map_json, scan_catalogue, name_list, catalogue_by_country,
+    encode_roundtrip, encode_roundtrip_air, scan_map_json, scan_catalogue, name_list, catalogue_by_country,
     catalogue_semi, locations, fetch_plan, nonempty_locations, scaled_features, split_counts,
     rf_predictions, rf_metrics, prediction_pairs, regression_metrics, confusion_matrix,
     metrics_row,

@@ -33,7 +33,9 @@ def add_locations(store, air: DataFrame, weather: DataFrame) -> int:
     if store.fill_nulls:
         bare = known.where(~is_placed()).select("location_id", "location_name")
         completed = bare.join(named.where(is_placed()), "location_name").select(*columns)
-        store.append(LOCATIONS, completed)
+        completed = materialise(completed)
+        if not completed.isEmpty():
+            store.append(LOCATIONS, completed)
     new = materialise(absent(known, named, ["location_name"]))
     if new.isEmpty():
         return 0

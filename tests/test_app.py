@@ -41,7 +41,7 @@ def replay(where, *more):
 def test_replay_then_tables(spark, raw_files):
     replay(raw_files)
     arguments = ["tables", "--feed", f"{raw_files}/feed", "--root", f"{raw_files}/db", "--ledger",
-                 f"{raw_files}/ledger", "--checkpoint", f"{raw_files}/state", "--drain"]
+                 f"{raw_files}/ledger", "--checkpoint", f"{raw_files}/state", "--drain", "--per-trigger", "500"]
     for _ in range(2):
         app.main(arguments)
     store = FolderStore(spark, f"{raw_files}/db")

@@ -55,7 +55,8 @@ def test_a_hot_join_key_is_split_at_run_time(small_partitions):
 
 def test_copies_collapse_before_the_shuffle(spark):
     air, _ = readings(spark, 30, 3)
-    many = air.where("location_name = 'hot'").limit(1).crossJoin(spark.range(50000)).drop("id")
+    hot = air.where("location_name = 'hot'").limit(1)
+    many = hot.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(50000)))).drop("n")
     distinct = clean.dedup_batch(many.unionByName(air))
     assert distinct.count() == 30
 
