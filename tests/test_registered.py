@@ -5,9 +5,11 @@ import pathlib
 import pytest
 
 import __spark_entry__ as driver
+from envstream.checks.oracle import oracle
+from envstream.checks.queries import registered
 
 duckdb = pytest.importorskip("duckdb")
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = registered(), oracle()
 WITHOUT_SQL = {"rf_predictions", "rf_metrics"}
 
 
@@ -45,6 +47,10 @@ def test_forest_queries_give_rows(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
