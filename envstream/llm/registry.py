@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from envstream.llm import counts, rules
+from envstream.llm import chat, counts, decontaminate, mixing, rules
 
 
 def registered():
-    queries = (counts.op5_token_counts, rules.op7_quality_rules)
+    queries = (
+        mixing.op1_source_mixing, counts.op5_token_counts,
+        decontaminate.op6_benchmark_decontamination, rules.op7_quality_rules,
+        chat.op8_chat_formatting,
+    )
     return {query.__name__: query for query in queries}
 
 
 def oracle():
-    return {"op7_quality_rules": rules.op7_sql()}
+    return {
+        "op6_benchmark_decontamination": decontaminate.op6_sql(),
+        "op7_quality_rules": rules.op7_sql(),
+    }
