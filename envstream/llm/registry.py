@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from envstream.llm import chat, counts, decontaminate, mixing, rules
+from envstream.llm import binary, chat, counts, decontaminate, mixing, rules, toxicity
 
 
 def registered():
     queries = (
-        mixing.op1_source_mixing, counts.op5_token_counts,
-        decontaminate.op6_benchmark_decontamination, rules.op7_quality_rules,
-        chat.op8_chat_formatting,
+        mixing.op1_source_mixing, toxicity.op2_toxicity, binary.op4_token_binary,
+        counts.op5_token_counts, decontaminate.op6_benchmark_decontamination,
+        rules.op7_quality_rules, chat.op8_chat_formatting,
     )
     return {query.__name__: query for query in queries}
 
