@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from envstream.llm import binary, chat, counts, decontaminate, mixing, rules, toxicity
+from envstream.llm import (
+    binary, chat, counts, decontaminate, jaccard, mixing, pii, rules, toxicity,
+)
 
 
 def registered():
     queries = (
         mixing.op1_source_mixing, toxicity.op2_toxicity, binary.op4_token_binary,
         counts.op5_token_counts, decontaminate.op6_benchmark_decontamination,
-        rules.op7_quality_rules, chat.op8_chat_formatting,
+        rules.op7_quality_rules, chat.op8_chat_formatting, jaccard.op9_ngram_jaccard,
+        pii.op10_personal_data,
     )
     return {query.__name__: query for query in queries}
 
@@ -18,4 +21,5 @@ def oracle():
     return {
         "op6_benchmark_decontamination": decontaminate.op6_sql(),
         "op7_quality_rules": rules.op7_sql(),
+        "op9_ngram_jaccard": jaccard.op9_sql(),
     }
