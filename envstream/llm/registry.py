@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from envstream.llm import (
-    binary, chat, counts, decontaminate, jaccard, mixing, pii, rules, toxicity,
+    binary, chat, counts, decontaminate, jaccard, mixing, pii, rules, substring,
+    toxicity,
 )
 
 
 def registered():
     queries = (
-        mixing.op1_source_mixing, toxicity.op2_toxicity, binary.op4_token_binary,
+        mixing.op1_source_mixing, toxicity.op2_toxicity, substring.op3_substring_dedup,
+        binary.op4_token_binary,
         counts.op5_token_counts, decontaminate.op6_benchmark_decontamination,
         rules.op7_quality_rules, chat.op8_chat_formatting, jaccard.op9_ngram_jaccard,
         pii.op10_personal_data,
