@@ -45,6 +45,8 @@ BUCKET_ENTRIES = 2_000_000
 SMALL_IDS = 2_000_000
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 _CACHE = 500_000
+#: Stands for a NULL id, before all others.
+NO_ID = -(2**63)
 _U = np.uint64
 
 
@@ -296,7 +298,9 @@ def _across(posts: DataFrame, roots: DataFrame, share) -> DataFrame:
 def clusters(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE, size=SIZE) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
     spark = docs.sparkSession
-    source = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
+    source = docs.select(
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
+        F.col(text).alias("text"))
     path = shared_dir(spark, "shingles")
     source.mapInArrow(_rows(share, size), "doc long, n long, digest binary, prefix binary") \
         .write.parquet(path)
@@ -343,8 +347,30 @@ def clusters(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE, size=SI
     roots = components(links.unionByName(copies))
     named = rows.select("doc", "n").join(roots, rows.doc == roots.node, "left")
     return named.select(
-        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.coalesce("root", "doc").alias("component_id"))
+        F.nullif("doc", F.lit(NO_ID)).alias("doc_id"), F.col("n").alias("n_shingles"),
+        F.nullif(F.coalesce("root", "doc"), F.lit(NO_ID)).alias("component_id"))
+
+
+def first_of_each(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE,
+                  size=SIZE) -> DataFrame:
+    """The rows whose id is the smallest of its component; equal rows once."""
+    found = clusters(docs, text, doc_id, share, size).where(
+        "doc_id is not null and doc_id <> coalesce(component_id, doc_id - 1)")
+    dropped = materialise(found.select(F.col("doc_id").alias("_dropped")).distinct())
+    few = F.broadcast(dropped) if dropped.count() <= SMALL_IDS else dropped
+    kept = docs.join(few, docs[doc_id].cast("long") == few["_dropped"], "left_anti")
+    return _once(kept, doc_id)
+
+
+def _once(rows: DataFrame, doc_id) -> DataFrame:
+    """Equal rows once. Only ids that come again are looked at closely."""
+    again = materialise(rows.groupBy(F.col(doc_id).alias("_again")).count().where("count > 1")
+                        .select("_again"))
+    if again.isEmpty():
+        return rows
+    twice = rows.join(again, rows[doc_id].eqNullSafe(again["_again"]), "left_semi")
+    alone = rows.join(again, rows[doc_id].eqNullSafe(again["_again"]), "left_anti")
+    return alone.unionByName(twice.distinct())
 
 
 def op9_ngram_jaccard(spark, sf_dir):
