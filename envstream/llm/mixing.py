@@ -131,44 +131,46 @@ def mixed(df: DataFrame, text="text", doc_id="doc_id", source="source", entropy=
           max_repeats=MAX_REPEATS, budget=None, seed=17, tokens=None) -> DataFrame:
     """The copies that make up the sequence: the rows' columns and a struct ``_mix``
     (epoch, n_tokens, block, key): read blocks in order, inside by key."""
-    counted = df.withColumn(
-        "_mix", F.struct((F.col(tokens) if tokens else n_tokens(F.col(text))).alias("n_tokens")))
-    found = shares(counted.select(F.col(source).alias("s"), F.col("_mix.n_tokens").alias("n")),
-                   "s", "n")
+    # The rows travel in one column, so that no name of theirs clashes.
+    counted = df.select(
+        F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"),
+        F.col(doc_id).alias("id"), F.col(source).alias("s"),
+        (F.col(tokens) if tokens else n_tokens(F.col(text))).alias("n"))
+    found = shares(counted, "s", "n")
     weighed = weights(found, entropy, max_repeats, budget)
     size = found.agg(F.sum(F.length(F.coalesce("source", F.lit(""))) * 4 + 48)).first()[0] or 0
     weighed = weighed.select(
-        F.col("source").alias("_s"), F.struct("n_docs", "n_tokens", "target", "n_blocks")
-        .alias("_w"))
+        F.col("source").alias("w_s"), F.struct("n_docs", "n_tokens", "target", "n_blocks")
+        .alias("w"))
     if size <= SMALL:
         weighed = F.broadcast(weighed)
-    rows = counted.join(weighed, F.col(source).eqNullSafe(F.col("_s")))
-    last = F.ceil(F.col("_w.target") / F.col("_w.n_tokens")) - 1
-    rows = rows.where(F.col("_w.target") > 0).withColumn(
-        "_e", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))))
-    key = F.xxhash64(F.lit(seed), F.col("_e"), F.col(doc_id), F.col("_mix.n_tokens"))
-    rows = rows.withColumn("_k", key).withColumn(
-        "_b", F.pmod("_k", F.ceil(F.col("_w.n_docs") / BUCKET).cast("long")))
-    bucket = ["_s", "_e", "_b"]
-    sums = rows.groupBy(*bucket).agg(F.sum("_mix.n_tokens").alias("_n"))
-    before = Window.partitionBy("_s", "_e").orderBy("_b").rowsBetween(
+    rows = counted.join(weighed, F.col("s").eqNullSafe(F.col("w_s"))).where("w.target > 0")
+    last = F.ceil(F.col("w.target") / F.col("w.n_tokens")) - 1
+    rows = rows.withColumn(
+        "epoch", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))))
+    rows = rows.withColumn("key", F.xxhash64(F.lit(seed), "epoch", "id", "n")).withColumn(
+        "bucket", F.pmod("key", F.ceil(F.col("w.n_docs") / BUCKET).cast("long")))
+    bucket = ["s", "epoch", "bucket"]
+    sums = rows.groupBy(*bucket).agg(F.sum("n").alias("n"))
+    before = Window.partitionBy("s", "epoch").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = sums.select(
-        *(F.col(c).alias("o" + c) for c in bucket),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
-    inside = Window.partitionBy(*bucket).orderBy("_k", doc_id).rowsBetween(
+        *(F.col(c).alias("o_" + c) for c in bucket),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy(*bucket).orderBy("key", "id").rowsBetween(
         Window.unboundedPreceding, -1)
-    placed = rows.withColumn("_p", F.coalesce(F.sum("_mix.n_tokens").over(inside), F.lit(0)))
-    placed = placed.join(offsets, F.col("_s").eqNullSafe(F.col("o_s"))
-                         & (F.col("_e") == F.col("o_e")) & (F.col("_b") == F.col("o_b")))
-    place = F.col("_e") * F.col("_w.n_tokens") + F.col("_o") + F.col("_p")
-    placed = placed.withColumn("_p", place).where(F.col("_p") < F.col("_w.target"))
+    placed = rows.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    placed = placed.join(offsets, F.col("s").eqNullSafe(F.col("o_s"))
+                         & (F.col("epoch") == F.col("o_epoch"))
+                         & (F.col("bucket") == F.col("o_bucket")))
+    place = F.col("epoch") * F.col("w.n_tokens") + F.col("offset") + F.col("inside")
+    placed = placed.withColumn("place", place).where("place < w.target")
     # Exact for any size: the place is cut into blocks by the quotient of decimals.
-    block = F.floor(F.col("_p").cast("decimal(38,0)") * F.col("_w.n_blocks")
-                    / F.col("_w.target")).cast("long")
-    return placed.select(*(c for c in df.columns if c != "_mix"), F.struct(
-        F.col("_e").alias("epoch"), "_mix.n_tokens", block.alias("block"),
-        F.col("_k").alias("key")).alias("_mix"))
+    block = F.floor(F.col("place").cast("decimal(38,0)") * F.col("w.n_blocks")
+                    / F.col("w.target")).cast("long")
+    return placed.select(
+        *(F.col(f"row.`{c}`") for c in df.columns if c != "_mix"), F.struct(
+            "epoch", F.col("n").alias("n_tokens"), block.alias("block"), "key").alias("_mix"))
 
 
 def op1_source_mixing(spark, sf_dir):
