@@ -7,11 +7,11 @@ back off to the same shorter contexts, with Kneser-Ney continuation counts
 one class is judged by what both know. The score of a word is the difference
 of its two log-likelihoods. A text is measured by the difference per letter,
 the same for its worst stretches, and the share of telling words; a logistic
-curve over these, fitted on labelled texts that the counts leave out, gives
-the score.
+curve over these gives the score.
 
-All labelled rows but the held-out ones are used: a fifth of them for the
-curve, of these at most ``FIT_ROWS`` (a bounded sample), the rest for counts.
+All labelled rows but the held-out ones are counted. The curve is fitted on
+about ``FIT_ROWS`` of them (a bounded sample), each measured by models that
+leave out its own one of ``FOLDS`` parts.
 Counts are hashed to ``SLOTS`` cells, which bounds what is sent to the tasks
 (8 bytes each), whatever the size of the corpus.
 
@@ -36,7 +36,8 @@ from envstream.session import materialise
 
 ORDER = 5
 SLOTS = 1 << 22
-FIT_ROWS = 40_000
+FIT_ROWS = 20_000
+FOLDS = 3
 DISCOUNT = 0.75
 STRETCHES = (4, 16, 64)
 TELLING = 3.0
@@ -65,36 +66,48 @@ def _grams(word):
 
 
 def _count_grams(batches):
-    """(toxic, text) -> expressions of this task with their counts by class."""
+    """(part, text) -> expressions of this task with their counts by part, where a
+    part is a fold and a class."""
     for words in _word_counts(batches):
         grams = {}
-        for toxic in (0, 1):
-            for word, n in words[toxic].items():
+        for part, counts in enumerate(words):
+            for word, n in counts.items():
                 for gram in _grams(word):
-                    grams.setdefault(gram, [0, 0])[toxic] += n
-        yield pa.RecordBatch.from_arrays([
-            pa.array(list(grams), pa.string()),
-            pa.array([v[1] for v in grams.values()], pa.int64()),
-            pa.array([v[0] for v in grams.values()], pa.int64()),
-        ], names=["gram", "toxic", "ordinary"])
+                    grams.setdefault(gram, [0] * len(words))[part] += n
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(grams), pa.string()),
+             *(pa.array([v[k] for v in grams.values()], pa.int64()) for k in range(2 * FOLDS))],
+            names=["gram", *_PARTS])
+
+
+_PARTS = [f"{kind}{fold}" for fold in range(FOLDS) for kind in ("ordinary", "toxic")]
 
 
 def _word_counts(batches, most=500_000):
-    words = (Counter(), Counter())
+    words = [Counter() for _ in _PARTS]
     for batch in batches:
-        for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words[toxic].update(normal_words(text))
-            if len(words[0]) + len(words[1]) > most:
+        for part, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            words[part].update(normal_words(text))
+            if sum(map(len, words)) > most:
                 yield words
-                words = (Counter(), Counter())
+                words = [Counter() for _ in _PARTS]
     yield words
 
 
+def _without(grams: DataFrame, fold=None) -> DataFrame:
+    """The expressions and their counts by class in all folds but one."""
+    folds = [k for k in range(FOLDS) if k != fold]
+    sums = [sum((F.col(f"{kind}{k}") for k in folds), F.lit(0)).alias(kind)
+            for kind in ("toxic", "ordinary")]
+    return grams.select("gram", *sums).where("toxic + ordinary > 0")
+
+
 def _cells(grams: DataFrame) -> DataFrame:
     """Every number of the models as (key, a, b): the key's first letter tells which."""
     def keyed(df, kind, key, a, b):
-        return df.select(F.concat(F.lit(kind), key).alias("key"),
-                         F.expr(a).cast("double").alias("a"), F.expr(b).cast("double").alias("b"))
+        return df.select(F.concat(F.lit(kind), key).alias("key"), *(
+            F.coalesce(F.expr(v).cast("double"), F.lit(0.0)).alias(n)
+            for n, v in (("a", a), ("b", b))))
 
     context = grams.groupBy(F.expr(f"left(gram, {ORDER - 1})").alias("c")).agg(
         F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"),
@@ -309,26 +322,25 @@ def fitted(docs: DataFrame, labels: DataFrame, text="text", doc_id="doc_id", slo
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = rows.where(F.col("text").isNotNull() & (remainder("doc_id") != 1))
     rows = rows.join(marks, "doc_id")
-    apart = remainder("doc_id", 15) <= 2  # 0 and 2: 1 is held out
-    grams = rows.where(~apart).select("toxic", "text").mapInArrow(
-        _count_grams, "gram string, toxic long, ordinary long")
-    grams = materialise(grams.groupBy("gram").agg(
-        F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
-    sums = grams.agg(F.sum("toxic"), F.sum("ordinary")).first()
-    if not sums[0] or not sums[1]:
-        return None
-    counts = _model(grams, slots)
-    fit = rows.where(apart)
-    n = fit.select("doc_id").count()
+    rows = rows.withColumn("fold", (remainder("doc_id", 3 * FOLDS) / 3).cast("int"))
+    grams = rows.select((F.col("fold") * 2 + F.col("toxic")).alias("part"), "text").mapInArrow(
+        _count_grams, "gram string, " + ", ".join(f"{p} long" for p in _PARTS))
+    grams = materialise(grams.groupBy("gram").agg(*(F.sum(p).alias(p) for p in _PARTS)))
+    n = rows.select("doc_id").count()
     if n > fit_rows:
-        fit = fit.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(fit_rows / n * 2**20))
-    fit = fit.select(F.struct("toxic").alias("row"), "text")
-    seen = [(r.measures, r.row.toxic) for r in
-            _measured(fit, counts, uuid.uuid4().hex).toLocalIterator()]
-    features, toxic = np.array([m for m, _ in seen]), np.array([float(t) for _, t in seen])
-    if len(set(toxic.tolist())) < 2:
+        rows = rows.where(
+            F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(fit_rows / n * 2**20))
+    features, toxic = [], []
+    for fold in range(FOLDS):
+        fit = rows.where(F.col("fold") == fold).select(F.struct("toxic").alias("row"), "text")
+        counts = _model(_without(grams, fold), slots)
+        for r in _measured(fit, counts, uuid.uuid4().hex).toLocalIterator():
+            features.append(r.measures)
+            toxic.append(float(r.row.toxic))
+    if len(set(toxic)) < 2:
         return None
-    return (counts, *_curve(features, toxic))
+    counts = _model(_without(grams), slots)
+    return (counts, *_curve(np.array(features), np.array(toxic)))
 
 
 def scored(docs: DataFrame, model, text="text", keep=None, into="toxicity") -> DataFrame:
