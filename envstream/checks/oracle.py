@@ -224,6 +224,12 @@ def oracle():
         "stream_join": _UNIFIED,
         "stream_join_bounded": _UNIFIED,
         "stream_join_spread": _UNIFIED,
+        "stream_join_replayed": _UNIFIED,
+        "stream_weather_facts": f"{BOTH} select location_name, measured_at, "
+        f"{_list(*S.WEATHER_MEASURES)} from ({_first('weather', S.WEATHER_MEASURES)})",
+        "rf_checks": f"""{BOTH}, {JOINED} select count(*) as n_rows, true as in_range,
+            true as beats_mean from joined where
+            substr(md5(location_name || '|' || cast(measured_at as varchar)), 1, 4) >= 'cccd'""",
         "stream_facts": f"{BOTH} select location_name, measured_at, {_list(*S.AIR_MEASURES)} "
         f"from ({_first('air', S.AIR_MEASURES)})",
         "stream_locations": f"""{BOTH}, {_slices()}

@@ -11,12 +11,13 @@ from envstream.functions import epoch_seconds, epoch_to_timestamp
 from envstream.operators import catalogue as cat
 from envstream.operators import clean, encode, keys, metrics, parse, unify
 from envstream.plans import derived, model
+from envstream.plans.landing import replay_messages
 from envstream.plans.replay import replay_to_batches, replay_to_files
-from envstream.session import materialise, shared_dir
+from envstream.session import materialise, shared_dir, streaming_session
 from envstream.sinks import outputs
 from envstream.sources import files
 from envstream.sources.tables import AIR, LOCATIONS, WEATHER, FolderStore
-from envstream.streaming.queries import unified_stream
+from envstream.streaming.queries import start_files, unified_stream
 from envstream.streaming.table_writer import FACT_ID, TableWriter
 
 
@@ -168,6 +169,29 @@ def stream_join_spread(spark, sf_dir):
     return stream_join(spark, sf_dir, slices=2, parts=4)
 
 
+def stream_join_replayed(spark, sf_dir):
+    """Raw readings sent as ``replay`` sends them, one file per micro-batch, and
+    joined under a watermark that is no longer than a stretch."""
+    places = {"location_no": F.lit(0), "item_no": F.col("pos")}
+    messages = replay_messages(
+        derived.raw_air(spark, sf_dir).withColumns(places),
+        derived.raw_weather(spark, sf_dir).withColumns(places),
+        derived.AIR_TOPIC, derived.WEATHER_TOPIC, whole=False, spread=2,
+    )
+    low, high = messages.agg(F.min("dt"), F.max("dt")).first()
+    width = ((high - low) // 8 // 3600 + 1) * 3600
+    feed, out, state = (shared_dir(spark, p) for p in ("feed", "rows", "state"))
+    for part in outputs.in_stretches(messages, width):
+        # Several files a stretch, in no order among themselves.
+        outputs.write_feed(part.repartition(2, "value"), feed)
+    session = streaming_session(spark)
+    stream = files.read_feed(session, feed, 1)
+    joined = unified_stream(
+        stream, derived.AIR_TOPIC, derived.WEATHER_TOPIC, delay=f"{width} seconds")
+    start_files(joined, out, state, drain=True).awaitTermination()
+    return timed(spark.read.parquet(out))
+
+
 def _streamed_tables(spark, sf_dir):
     store = FolderStore(spark, shared_dir(spark, "tables")).create()
     writer = TableWriter(store, derived.AIR_TOPIC, derived.WEATHER_TOPIC)
@@ -181,6 +205,12 @@ def stream_facts(spark, sf_dir):
     return timed(named, "location_name", S.TIME, *S.AIR_MEASURES)
 
 
+def stream_weather_facts(spark, sf_dir):
+    store = _streamed_tables(spark, sf_dir)
+    named = store.read(WEATHER).join(store.read(LOCATIONS), "location_id")
+    return timed(named, "location_name", S.TIME, *S.WEATHER_MEASURES)
+
+
 def stream_locations(spark, sf_dir):
     located = _streamed_tables(spark, sf_dir).read(LOCATIONS)
     return located.select("location_name", "longitude", "latitude")
@@ -423,6 +453,21 @@ def rf_metrics(spark, sf_dir):
     return metrics.regression_metrics(rf_predictions(spark, sf_dir))
 
 
+def rf_checks(spark, sf_dir):
+    """What must hold of the forest: a prediction per test row, all inside the range
+    of the labels, and closer to them than their mean."""
+    rows = materialise(_unified(spark, sf_dir))
+    low, high, mean = rows.where(model.in_training()).agg(
+        F.min(S.LABEL), F.max(S.LABEL), F.avg(S.LABEL)).first()
+    _, pairs = model.fit_and_score(rows)
+    guess, label = F.col("prediction"), F.col("label")
+    return pairs.agg(
+        F.count("*").alias("n_rows"),
+        F.bool_and(guess.between(low, high)).alias("in_range"),
+        (F.sum((guess - label) ** 2) < F.sum((F.lit(mean) - label) ** 2)).alias("beats_mean"),
+    )
+
+
 def _pairs(spark, sf_dir):
     """Pairs with a fixed prediction rule, so that SQL can follow."""
     rows = air(spark, sf_dir)
@@ -456,12 +501,13 @@ QUERIES = (
     parse_air, parse_weather, flatten_air, flatten_weather, first_description, epoch_to_ts,
     rejected_messages, drop_nulls, batch_distinct, unified, label_categories,
     label_category_count, first_per_key, last_per_name, stream_dedup, stream_dedup_spread, stream_join,
-    stream_join_bounded, stream_join_spread, stream_facts, stream_locations, dim_locations, scan_locations,
+    stream_join_bounded, stream_join_spread, stream_join_replayed, stream_facts,
+    stream_weather_facts, stream_locations, dim_locations, scan_locations,
     fact_air, fact_weather, facts_ordered, fk_orphans, insert_if_absent, regroup_air,
     regroup_weather, key_union, timestamp_count, first_n_timestamps, align_topics,
     encode_roundtrip, encode_roundtrip_air, scan_map_json, scan_catalogue, name_list, catalogue_by_country,
     catalogue_semi, locations, fetch_plan, nonempty_locations, scaled_features, split_counts,
-    rf_predictions, rf_metrics, prediction_pairs, regression_metrics, confusion_matrix,
+    rf_predictions, rf_metrics, rf_checks, prediction_pairs, regression_metrics, confusion_matrix,
     metrics_row,
 )
 

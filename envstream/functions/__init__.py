@@ -5,6 +5,7 @@ from envstream.functions.columns import (
     epoch_seconds,
     epoch_to_timestamp,
     first_description,
+    fits_fact_id,
     md5_bucket,
     nearest_class,
     packed_fact_id,
@@ -14,6 +15,6 @@ from envstream.functions.columns import (
 
 __all__ = [
     "class_of", "epoch_seconds", "epoch_to_timestamp",
-    "first_description", "md5_bucket", "nearest_class", "packed_fact_id",
+    "first_description", "fits_fact_id", "md5_bucket", "nearest_class", "packed_fact_id",
     "text_digest", "wall_clock_epoch",
 ]

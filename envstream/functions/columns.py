@@ -61,6 +61,11 @@ def md5_bucket(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 3), 16, 10).cast("int")
 
 
+def fits_fact_id(timestamp) -> Column:
+    """True for the times that a fact key can hold."""
+    return F.unix_seconds(timestamp).between(-_TIME_OFFSET, _TIME_OFFSET - 1)
+
+
 def packed_fact_id(location_id, timestamp) -> Column:
     """A row key that is a function of the fact's own key.
 

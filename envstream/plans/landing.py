@@ -11,6 +11,8 @@ from envstream.operators.clean import first_per_key
 
 # Locations of one document that may meet in one group.
 LOCATION_SPAN = 4096
+# Groups that the locations of one hour are dealt to, where they have no number.
+SPREAD = 16
 ORDER = ("location_no", "location_name", "item_no")
 
 
@@ -35,22 +37,22 @@ def stretch_for(whole: bool, spread: int) -> Column:
     return F.pmod(F.xxhash64("location_name"), F.lit(spread))
 
 
-def _groups(readings, entry, stretch):
+def _groups(readings, entry, stretch, max_entries):
     rows = readings.withColumn("dt", F.col("item.dt")).withColumn("entry", entry)
-    return encode.regroup(rows, ["dt"], "entry", list(ORDER), stretch)
+    return encode.regroup(rows, ["dt"], "entry", list(ORDER), stretch, max_entries)
 
 
 def replay_messages(air: DataFrame, weather: DataFrame, air_topic, weather_topic, whole=True,
-                    spread=16, first=None) -> DataFrame:
-    """Raw readings of both kinds -> messages (dt, topic, value) in order of time.
+                    spread=SPREAD, first=None, max_entries=encode.MAX_ENTRIES) -> DataFrame:
+    """Raw readings of both kinds -> messages (dt, topic, value).
 
     Both topics get a message for every time found on either side. ``first``
     keeps that many times from the beginning.
     """
     stretch = stretch_for(whole, spread)
     groups = encode.align(
-        _groups(air, encode.air_entry(), stretch),
-        _groups(weather, encode.weather_entry(), stretch),
+        _groups(air, encode.air_entry(), stretch, max_entries),
+        _groups(weather, encode.weather_entry(), stretch, max_entries),
     )
     if first is not None:
         times = encode.key_union(
@@ -62,4 +64,4 @@ def replay_messages(air: DataFrame, weather: DataFrame, air_topic, weather_topic
     both = both.unionByName(
         encode.encode(groups, "weather_entries", keep).withColumn("topic", F.lit(weather_topic))
     )
-    return both.orderBy("dt", "stretch", "chunk", "topic").select("dt", "topic", "value")
+    return both.select("dt", "topic", "value")

@@ -30,9 +30,12 @@ def build_pipeline(seed=SEED, label=S.LABEL, features=S.FEATURES) -> Pipeline:
 def in_training(share=0.8):
     """True for ``share`` of the readings, by the digest of place and time: the
     same rows on every run, and copies of a key never on both sides."""
+    if not 0 < share < 1:
+        raise ValueError("the share must lie between 0 and 1")
     second = F.unix_seconds(S.TIME).cast("string")
     digest = F.md5(F.concat_ws("|", "location_name", second))
-    return F.substring(digest, 1, 4) < F.lit(f"{round(share * 65536):04x}")
+    number = F.conv(F.substring(digest, 1, 4), 16, 10).cast("int")
+    return number < F.lit(round(share * 65536))
 
 
 def split(df: DataFrame, share=0.8, seed=None):

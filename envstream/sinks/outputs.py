@@ -2,13 +2,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from envstream import schemas as S
 from envstream.operators.encode import MAX_ENTRIES, regroup
+from envstream.session import shared_dir
+
+
+def in_stretches(messages: DataFrame, seconds=3600, key="dt"):
+    """The messages cut into stretches of time, oldest first.
+
+    They are landed once, by stretch. Whoever writes one stretch after the other
+    keeps the order of time between them; inside a stretch the write is parallel.
+    A reader with a watermark loses nothing as long as its delay is not shorter
+    than a stretch.
+    """
+    number = F.floor(F.col(key) / F.lit(seconds)).cast("bigint")
+    path = shared_dir(messages.sparkSession, "stretches")
+    landed = messages.withColumn("_stretch", number).hint("rebalance", "_stretch")
+    landed.write.partitionBy("_stretch").parquet(path)
+    shape = StructType([*messages.schema.fields, StructField("_stretch", LongType())])
+    rows = messages.sparkSession.read.schema(shape).parquet(path)
+    # One number per stretch of time, however many messages it holds.
+    for found in rows.select("_stretch").distinct().orderBy("_stretch").collect():
+        yield rows.where(F.col("_stretch") == found[0]).drop("_stretch")
 
 
 def write_topic(messages: DataFrame, servers: str, topic: str | None = None) -> None:
-    """Send ``value`` to one topic, or to the one each row names in ``topic``."""
+    """Send ``value`` (and ``key``, if there is one) to one topic, or to the one
+    each row names in ``topic``."""
     writer = messages.write.format("kafka").option("kafka.bootstrap.servers", servers)
     if topic:
         writer = writer.option("topic", topic)

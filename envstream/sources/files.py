@@ -35,6 +35,15 @@ def documents(spark: SparkSession, path: str, shape: str, whole=True) -> DataFra
     return text.select(F.from_json("value", shape).alias("data"))
 
 
+def scan_answers(spark: SparkSession, path: str, shape: str) -> DataFrame:
+    """Answers to requests, one JSON object per line: location_name, fetch_no and
+    what a raw document of ``shape`` holds for a location."""
+    inner = shape.removeprefix("map<string, struct<").removesuffix(">>")
+    row = f"struct<location_name: string, fetch_no: int, {inner}>"
+    text = spark.read.text(path)
+    return text.select(F.from_json("value", row).alias("answer")).select("answer.*")
+
+
 def scan_raw_air(spark: SparkSession, path: str, whole=True) -> DataFrame:
     return unnest_raw(documents(spark, path, S.RAW_AIR, whole))
 

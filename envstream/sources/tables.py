@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from envstream import schemas as S
@@ -34,7 +34,7 @@ class FolderStore:
     """Parquet folders under one root; facts partitioned by day.
 
     With ``fill_nulls`` a location first seen without coordinates gets them
-    later, as a further row that ``read`` merges; without it the first row stays.
+    later, as a further row; ``read`` merges such rows whoever wrote them.
     """
 
     spark: SparkSession
@@ -55,8 +55,6 @@ class FolderStore:
         if name != LOCATIONS:
             return self._facts(name).drop(DAY)
         rows = self.spark.read.schema(SHAPES[name]).parquet(self.path(name))
-        if not self.fill_nulls:
-            return rows
         at = F.min(F.when(is_placed(), F.struct("longitude", "latitude")))
         return (
             rows.groupBy("location_id", "location_name")
@@ -68,11 +66,19 @@ class FolderStore:
         return self.spark.read.schema(f"{SHAPES[name]}, {DAY} date").parquet(self.path(name))
 
     def keys_near(self, name: str, rows: DataFrame) -> DataFrame:
-        """Keys of the facts on the days that ``rows`` span."""
-        # Two days come to the driver, whatever the number of rows.
-        day = utc_day(F.unix_seconds(S.TIME))
-        low, high = rows.agg(F.min(day), F.max(day)).first()
-        days = F.lit(False) if low is None else F.col(DAY).between(low, high)
+        """Keys of the facts on the days that ``rows`` touch."""
+        # One value per stretch of days comes to the driver, whatever the number
+        # of rows: the first and the last day of each.
+        day = utc_day(F.unix_seconds(S.TIME)).alias("day")
+        number = F.row_number().over(Window.orderBy("day"))
+        touched = rows.select(day).where("day is not null").distinct()
+        spans = (
+            touched.select("day", F.date_sub("day", number).alias("run"))
+            .groupBy("run").agg(F.min("day"), F.max("day")).collect()
+        )
+        days = F.lit(False)
+        for _, low, high in spans:
+            days = days | F.col(DAY).between(low, high)
         return self._facts(name).where(days).select("location_id", S.TIME)
 
     def append(self, name: str, rows: DataFrame) -> int:

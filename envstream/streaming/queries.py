@@ -59,21 +59,31 @@ def start_topic(df: DataFrame, servers: str, topic: str, checkpoint: str, **how)
 
 
 class LastInput(StreamingQueryListener):
-    """Time since any query of the application last took in rows."""
+    """Time since any query of the application last took in rows, and the number
+    of rows that came behind a watermark and were dropped."""
 
     def __init__(self, clock=time.monotonic):
         self._clock = clock
         self._last = clock()
+        self.dropped = {}
 
     def idle_seconds(self) -> float:
         return self._clock() - self._last
 
+    def touch(self) -> None:
+        self._last = self._clock()
+
     def onQueryStarted(self, event):
         self._last = self._clock()
 
     def onQueryProgress(self, event):
-        if event.progress.numInputRows > 0:
-            self._last = self._clock()
+        progress = event.progress
+        if progress.numInputRows > 0:
+            self.touch()
+        operators = getattr(progress, "stateOperators", None) or ()
+        late = sum(s.numRowsDroppedByWatermark or 0 for s in operators)
+        if late:
+            self.dropped[progress.batchId] = self.dropped.get(progress.batchId, 0) + late
 
     def onQueryIdle(self, event):
         pass
@@ -82,14 +92,23 @@ class LastInput(StreamingQueryListener):
         pass
 
 
+def in_batch(query) -> bool:
+    """True while a micro-batch that has data is being worked on."""
+    status = query.status
+    return status["isDataAvailable"] and status["isTriggerActive"]
+
+
 def stop_when_idle(queries, last_input: LastInput, timeout=120.0, poll=1.0) -> None:
     """Wait until no query has taken in rows for ``timeout`` seconds, then stop all.
 
     The clock is shared: input on one topic keeps the other query alive as well.
+    It stands still while a batch runs, however long, so none is cut off.
     """
     running = list(queries)
     while running and last_input.idle_seconds() <= timeout:
         running[0].awaitTermination(poll)
         running = [query for query in running if query.isActive]
+        if any(in_batch(query) for query in running):
+            last_input.touch()
     for query in running:
         query.stop()

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from envstream import schemas as S
+from envstream.functions import fits_fact_id
 from envstream.operators.clean import first_per_key
 from envstream.operators.keys import absent, batch_locations, fact_rows, number_rows
 from envstream.operators.parse import air_rows, rejects, weather_rows
@@ -25,6 +26,19 @@ def read_ledger(spark, path: str) -> DataFrame:
     return rows.select("job", "batch_id", "locations_added", "air_added", "weather_added")
 
 
+def unkept(readings: DataFrame) -> DataFrame:
+    """Readings that no table can take, as text with the reason. Those without a
+    time come from messages that are rejected whole."""
+    reason = (
+        F.when(F.col(S.TIME).isNull(), None)
+        .when(F.col("location_name").isNull(), "no location name")
+        .when(~fits_fact_id(S.TIME), "time out of range")
+    )
+    return readings.where(reason.isNotNull()).select(
+        F.to_json(F.struct(*readings.columns)).alias("json_value"), reason.alias("reason")
+    )
+
+
 def add_locations(store, air: DataFrame, weather: DataFrame) -> int:
     """Insert names not yet known; returns their number."""
     known = store.read(LOCATIONS)
@@ -47,7 +61,7 @@ def add_locations(store, air: DataFrame, weather: DataFrame) -> int:
 
 def add_facts(store, name: str, readings: DataFrame) -> int:
     """Insert readings whose (location, time) is not in the table; returns their number."""
-    keyed = readings.dropna(subset=list(S.JOIN_KEYS))
+    keyed = readings.dropna(subset=list(S.JOIN_KEYS)).where(fits_fact_id(S.TIME))
     first = first_per_key(keyed, S.JOIN_KEYS, MEASURES[name])
     rows = fact_rows(first, store.read(LOCATIONS), MEASURES[name], FACT_ID[name])
     new = absent(store.keys_near(name, keyed), rows, ["location_id", S.TIME])
@@ -84,23 +98,30 @@ class TableWriter:
                 add_facts(store, WEATHER, weather),
             )
             if self.rejected:
-                self._keep_rejects(air_messages, weather_messages, batch_id)
+                self._keep_rejects(air_messages, weather_messages, air, weather, batch_id)
             if self.ledger:
                 self._note(batch.sparkSession, batch_id, added)
         finally:
             for frame in (air, weather, messages):
                 frame.unpersist()
 
-    def _keep_rejects(self, air_messages, weather_messages, batch_id):
-        bad = rejects(air_messages, S.AIR_ENVELOPE).withColumn("topic", F.lit(self.air_topic))
-        bad = bad.unionByName(
-            rejects(weather_messages, S.WEATHER_ENVELOPE).withColumn(
-                "topic", F.lit(self.weather_topic)
-            )
+    def _keep_rejects(self, air_messages, weather_messages, air, weather, batch_id):
+        """Messages that could not be read, and readings that no table can take."""
+        of_air = rejects(air_messages, S.AIR_ENVELOPE).unionByName(unkept(air))
+        of_weather = rejects(weather_messages, S.WEATHER_ENVELOPE).unionByName(unkept(weather))
+        bad = of_air.withColumn("topic", F.lit(self.air_topic)).unionByName(
+            of_weather.withColumn("topic", F.lit(self.weather_topic))
         )
         self._replace_batch(bad, batch_id, self.rejected)
 
     def _note(self, spark, batch_id, added):
+        """A repeated batch adds what the first run left undone, so counts add up."""
+        folder = spark.createDataFrame([], S.LEDGER_ROW)
+        folder.write.mode("ignore").partitionBy("job", "batch_id").parquet(self.ledger)
+        before = read_ledger(spark, self.ledger).where(
+            (F.col("job") == self.job) & (F.col("batch_id") == batch_id)).first()
+        if before is not None:
+            added = tuple(new + old for new, old in zip(added, before[2:]))
         row = spark.createDataFrame([(self.job, batch_id, *added)], S.LEDGER_ROW)
         self._replace_batch(row.drop("job", "batch_id"), batch_id, self.ledger)
 

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from envstream import app, schemas as S
 from envstream.plans.landing import merge_answers
@@ -50,7 +51,7 @@ def test_replay_then_tables(spark, raw_files):
 
 
 def test_replay_of_the_first_times(spark, raw_files):
-    replay(raw_files, "--first", "2")
+    replay(raw_files, "--first", "2", "--whole")
     rows = spark.read.parquet(f"{raw_files}/feed").selectExpr("topic", "cast(value as string) as text").collect()
     assert sorted(r.topic for r in rows) == ["air", "air", "weather", "weather"]
     assert {next(iter(json.loads(r.text))) for r in rows} == {str(HOUR), str(HOUR + 3600)}
@@ -66,6 +67,34 @@ def test_replay_then_train(spark, raw_files):
     assert (raw_files / "models" / "0").exists()
 
 
+def test_stretches_come_in_order_of_time(spark, raw_files):
+    replay(raw_files, "--stretch", "7200")
+    times = (spark.read.parquet(f"{raw_files}/feed")
+             .selectExpr("_metadata.file_modification_time as at",
+                         "regexp_extract(cast(value as string), '([0-9]+)', 1) as dt")
+             .groupBy("dt").agg(F.max("at").alias("at")).orderBy("dt").collect())
+    written = [r["at"] for r in times]
+    assert len(times) == HOURS and all(a <= b for a, b in zip(written[::2], written[2::2]))
+
+
+def test_land_then_backfill(spark, raw_files, tmp_path):
+    for kind in ("air", "weather"):
+        data = json.loads((raw_files / f"{kind}.json").read_text())
+        lines = [json.dumps({"location_name": n, "fetch_no": f, **d}) for n, d in data.items() for f in (0, 1)]
+        (tmp_path / f"{kind}-answers.json").write_text("\n".join(lines))
+        app.main(["land", "--answers", f"{tmp_path}/{kind}-answers.json", "--kind", kind,
+                  "--out", f"{tmp_path}/{kind}-raw"])
+    app.main(["replay", "--air-file", f"{tmp_path}/air-raw", "--weather-file", f"{tmp_path}/weather-raw",
+              "--feed", f"{tmp_path}/landed"])
+    app.main(["backfill", "--feed", f"{tmp_path}/landed", "--out", f"{tmp_path}/joined"])
+    assert spark.read.parquet(f"{tmp_path}/joined").count() == len(PLACES) * (HOURS - 1)
+
+
+def test_a_folder_or_a_database_but_not_both():
+    with pytest.raises(SystemExit):
+        app.main(["tables", "--feed", "x", "--checkpoint", "y", "--root", "a", "--jdbc-url", "jdbc:x:y"])
+
+
 def test_plan(spark, tmp_path):
     (tmp_path / "city.json").write_text(json.dumps(
         [{"id": i, "name": n, "country": c, "coord": {"lon": 1.0, "lat": 2.0}}

@@ -37,7 +37,8 @@ def test_query_equals_sql(spark, sf_dir, tables, name):
     assert sorted(df.columns) == sorted(expected.columns)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     assert got == rows_of(expected.columns, expected.fetchall())
-    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+             "boolean": "BOOLEAN"}
     types = dict(zip(expected.columns, map(str, expected.types)))
     assert {c: kinds[t] for c, t in df.dtypes} == types
 

@@ -153,6 +153,41 @@ def test_idle_queries_are_stopped(spark, tmp_path):
         session.streams.removeListener(watch)
 
 
+def test_idle_stop_waits_for_a_running_batch(spark, tmp_path):
+    replay = Replay(spark, tmp_path, None).land("air", message(HOUR, air_entry()))
+    watch, done = LastInput(), []
+
+    def slow(batch, batch_id):
+        batch.count()
+        time.sleep(6)
+        done.append(batch_id)
+
+    replay.session.streams.addListener(watch)
+    try:
+        rows = parse.air_rows(read_feed(replay.session, replay.feed))
+        query = start_batches(rows, slow, replay.state)
+        stop_when_idle([query], watch, timeout=2, poll=0.2)
+        assert done == [0] and query.exception() is None and not query.isActive
+    finally:
+        replay.session.streams.removeListener(watch)
+
+
+def test_rows_behind_the_watermark_are_counted(spark, tmp_path):
+    replay = Replay(spark, tmp_path, joined("1 hour"))
+    watch = LastInput()
+    replay.session.streams.addListener(watch)
+    try:
+        for hour in (0, 10, 11, 0):
+            when = HOUR + 3600 * hour
+            replay.land("air", message(when, air_entry(f"A{hour}", aqi=1 + hour % 5)))
+            replay.land("weather", message(when, weather_entry(f"A{hour}")))
+            replay.drain()
+        time.sleep(1)
+        assert sum(watch.dropped.values()) > 0
+    finally:
+        replay.session.streams.removeListener(watch)
+
+
 def test_shared_clock():
     now = [0.0]
     watch = LastInput(clock=lambda: now[0])

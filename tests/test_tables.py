@@ -51,7 +51,7 @@ def test_replayed_batch_adds_nothing(spark, tmp_path):
     assert counted(read_ledger(spark, write.ledger)) == [("tables", 0, 2, 1, 2)]
     write(rows, 0)
     assert [counted(write.store.read(n)) for n in (LOCATIONS, AIR, WEATHER)] == before
-    assert counted(read_ledger(spark, write.ledger)) == [("tables", 0, 0, 0, 0)]
+    assert counted(read_ledger(spark, write.ledger)) == [("tables", 0, 2, 1, 2)]
 
 
 def test_weather_columns_and_first_description(spark, tmp_path):
@@ -85,10 +85,38 @@ def test_rows_without_a_full_key_stay_out(spark, tmp_path):
     assert write.store.read(AIR).count() == 0 and located(write.store) == [("A", 1.0, 2.0)]
     kept = spark.read.parquet(str(tmp_path / "rejected"))
     assert counted(kept.select("reason", "topic", "batch_id")) == [
-        ("key is no time", "air", 4), ("not an envelope", "air", 4),
+        ("key is no time", "air", 4), ("no location name", "air", 4), ("not an envelope", "air", 4),
     ]
 
 
+def test_a_time_no_key_can_hold_is_rejected_alone(spark, tmp_path):
+    write = writer(spark, tmp_path, rejected=str(tmp_path / "rejected"))
+    far = 16725225600  # year 2500
+    write(batch(spark, [message(far, air_entry("A")), message(HOUR, air_entry("B"))]), 0)
+    assert write.store.read(AIR).count() == 1
+    kept = spark.read.parquet(str(tmp_path / "rejected"))
+    assert [r.reason for r in kept.collect()] == ["time out of range"]
+
+
+def test_only_the_touched_days_are_read(spark, tmp_path):
+    write = writer(spark, tmp_path)
+    write(batch(spark, [message(HOUR + 86400 * d, air_entry("A")) for d in range(40)]), 0)
+    two = write.store.read(AIR).where(F.unix_seconds(S.TIME).isin(HOUR, HOUR + 39 * 86400))
+    near = write.store.keys_near(AIR, two)
+    days = near.select(F.input_file_name().alias("f")).distinct().collect()
+    assert len(days) == 2 and near.count() == 2
+
+
+def test_completed_locations_are_one_row_for_every_reader(spark, tmp_path):
+    filling = writer(spark, tmp_path, fill_nulls=True)
+    filling(batch(spark, weather=[message(HOUR, weather_entry("A"))]), 0)
+    filling(batch(spark, [message(HOUR, air_entry("A"))]), 1)
+    plain = writer(spark, tmp_path)
+    plain(batch(spark, [message(HOUR + 3600, air_entry("A"))]), 2)
+    assert located(plain.store) == [("A", 1.0, 2.0)] == located(filling.store)
+    assert plain.store.read(AIR).count() == 2
+
+
 def test_location_keys_are_dense_and_go_on(spark):
     names = spark.range(9000).select(F.concat(F.lit("n"), F.col("id").cast("string")).alias("location_name"))
     numbered = keys.number_rows(names, "location_name", 100, "location_id").cache()
