@@ -312,8 +312,10 @@ def _listed(spans):
 def op10_personal_data(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = found_spans(docs, fitted(docs), keep=["doc_id"])
-    counts = [F.size(F.filter("pii.base", lambda s, k=k: s["kind"] == k)).cast("long")
-              .alias(f"n_{k}") for k in KINDS]
+    kinds = F.col("pii.base.kind")
+    # An array without one kind is shorter by the number of its elements.
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long")
+              .alias(f"n_{kind}") for kind in KINDS]
     return rows.select(
         "doc_id", *counts,
         F.sha2(_listed(F.col("pii.base")).cast("binary"), 256).alias("base_sha256"),
