@@ -97,7 +97,8 @@ def _parser():
 
 def _messages(spark, args):
     if args.feed:
-        return files.read_feed(spark, args.feed, args.per_trigger)
+        spread = getattr(args, "parts", 1) > 1
+        return files.read_feed(spark, args.feed, args.per_trigger, positions=spread)
     topics = Topics(
         args.servers, args.air, args.weather, args.starting, max_offsets=args.per_trigger
     )

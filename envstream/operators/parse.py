@@ -9,10 +9,22 @@ from envstream import schemas as S
 from envstream.functions import epoch_to_timestamp, first_description
 
 
-def decode(messages: DataFrame, envelope: str) -> DataFrame:
+def decode(messages: DataFrame, envelope: str, *keep) -> DataFrame:
     """``value`` (binary or text) -> ``json_value`` and its decoded map."""
-    text = messages.select(F.col("value").cast("string").alias("json_value"))
-    return text.select("json_value", F.from_json("json_value", envelope).alias("data"))
+    text = messages.select(F.col("value").cast("string").alias("json_value"), *keep)
+    names = [c for c in text.columns if c != "json_value"]
+    return text.select("json_value", *names, F.from_json("json_value", envelope).alias("data"))
+
+
+def place_of(messages: DataFrame):
+    """A number that tells messages apart by their place in the source, so that
+    one message sent many times has many: partition and offset, or ``position``.
+    Where the source gives neither, the text has to do."""
+    if {"partition", "offset"} <= set(messages.columns):
+        return F.xxhash64("partition", "offset")
+    if "position" in messages.columns:
+        return F.col("position")
+    return F.xxhash64(F.col("value").cast("string"))
 
 
 def parse_envelope(messages: DataFrame, envelope: str, message_no=None) -> DataFrame:
@@ -22,13 +34,13 @@ def parse_envelope(messages: DataFrame, envelope: str, message_no=None) -> DataF
     the inner form makes Catalyst infer a size filter that decodes the JSON
     text a second and third time. The time is worked out before the entries are
     unnested, once per message. ``message_no`` names an extra column that tells
-    messages apart (a hash of the text).
+    messages apart (see ``place_of``).
     """
-    number = [F.xxhash64("json_value").alias(message_no)] if message_no else []
+    number = [place_of(messages).alias(message_no)] if message_no else []
     kept = [message_no] if message_no else []
     return (
-        decode(messages, envelope)
-        .select(*number, F.explode_outer("data").alias("unix_timestamp", "entries"))
+        decode(messages, envelope, *number)
+        .select(*kept, F.explode_outer("data").alias("unix_timestamp", "entries"))
         .where(F.col("unix_timestamp").isNotNull())
         .select(*kept, epoch_to_timestamp("unix_timestamp").alias("timestamp"), "entries")
         .select(*kept, "timestamp", F.explode("entries").alias("entry"))

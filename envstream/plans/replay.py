@@ -21,7 +21,8 @@ def time_slices(messages: DataFrame, slices: int, key="dt"):
     return [messages.where(number == i) for i in range(slices)]
 
 
-def drain_in_slices(spark: SparkSession, messages: DataFrame, start, slices=4) -> None:
+def drain_in_slices(spark: SparkSession, messages: DataFrame, start, slices=4,
+                    positions=False) -> None:
     """Land one slice, let ``start(stream)`` take it in until it is done, go on.
 
     Each slice is a run of its own on the same checkpoint, so a restart is part
@@ -31,15 +32,17 @@ def drain_in_slices(spark: SparkSession, messages: DataFrame, start, slices=4) -
     path = shared_dir(spark, "feed")
     for part in time_slices(messages, slices):
         write_feed(part, path)
-        start(read_feed(session, path)).awaitTermination()
+        start(read_feed(session, path, positions=positions)).awaitTermination()
 
 
-def replay_to_files(spark: SparkSession, messages: DataFrame, build, slices=4) -> DataFrame:
+def replay_to_files(spark: SparkSession, messages: DataFrame, build, slices=4,
+                    positions=False) -> DataFrame:
     """Rows of the streaming frame ``build(messages)`` after the whole replay."""
     out, checkpoint = shared_dir(spark, "rows"), shared_dir(spark, "state")
     drain_in_slices(
         spark, messages,
         lambda stream: start_files(build(stream), out, checkpoint, drain=True), slices,
+        positions,
     )
     return spark.read.parquet(out)
 

@@ -12,12 +12,18 @@ from envstream.operators.encode import unnest_raw
 FEED = "topic string, value binary"
 
 
-def read_feed(spark: SparkSession, path: str, files_per_trigger=None) -> DataFrame:
-    """Landed messages as a stream; the same columns a topic gives."""
+def read_feed(spark: SparkSession, path: str, files_per_trigger=None,
+              positions=False) -> DataFrame:
+    """Landed messages as a stream; the same columns a topic gives. ``positions``
+    adds ``position``, a number made of a message's file and row."""
     reader = spark.readStream.schema(FEED)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    rows = reader.parquet(path)
+    if positions:
+        place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+        rows = rows.withColumn("position", place)
+    return rows
 
 
 def backfill_feed(spark: SparkSession, path: str) -> DataFrame:

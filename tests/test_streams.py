@@ -220,3 +220,11 @@ def test_unified_stream_keeps_its_columns(spark, tmp_path, column):
     replay = Replay(spark, tmp_path, None).land("air", message(HOUR, air_entry()))
     rows = joined("1 hour")(read_feed(replay.session, replay.feed))
     assert rows.isStreaming and column in rows.columns and tuple(rows.columns) == S.UNIFIED_COLUMNS
+
+
+def test_equal_messages_are_told_apart_by_their_place(spark, tmp_path):
+    replay = Replay(spark, tmp_path, None).land("air", *[message(HOUR, air_entry())] * 50)
+    stream = read_feed(replay.session, replay.feed, positions=True)
+    rows = parse.air_rows(stream, "message_no")
+    start_files(rows, replay.out, replay.state, drain=True).awaitTermination()
+    assert spark.read.parquet(replay.out).select("message_no").distinct().count() == 50
