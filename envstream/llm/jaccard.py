@@ -40,11 +40,11 @@ SIZE = 5
 SHARE = (3, 4)
 BLOCK = 256
 ROUNDS = 2
-BUCKET_ENTRIES = 2_000_000
+BUCKET_ENTRIES = 500_000
 #: Ids of documents that may have partners are sent to all tasks up to this many.
 SMALL_IDS = 2_000_000
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
-_CACHE = 500_000
+_CACHE = 150_000
 #: Stands for a NULL id, before all others.
 NO_ID = -(2**63)
 _U = np.uint64
