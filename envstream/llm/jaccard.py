@@ -5,9 +5,12 @@ Documents with equal sets share a row. Two rows are linked when their overlap
 is at least ``share`` of their union.
 
 Which products are worked out: of the ``n - share * n + n / 8`` smallest
-shingles (by hash) of two linked rows at least n / 8 are shared, so a row needs
-to meet others only in the rarest of these, once those that no other row has
-are out. Counts of rows by shingle are taken in blocks of the hash range.
+shingles (by hash) of two linked rows at least n / 8 are shared. A row in which
+too few of these are found in any other row has no partner and is left out.
+Of the others all shingles are counted, and a row meets those that share one
+of its ``n - share * n + 1`` rarest: what many rows share, like a passage in
+unlike documents, brings none of them together. Counts of rows by shingle are
+taken in blocks of the hash range.
 
 How the products are worked out: a block is one row, at most ``BLOCK`` rows
 that meet it, and the overlaps are counted by a search of all their shingles in
@@ -128,28 +131,32 @@ def _rows(share, size):
     return make
 
 
-def _posted(n_buckets):
-    """(doc, n, prefix) -> per bucket of the hash range: entries of many rows."""
+def _posted(n_buckets, width):
+    """(doc, hashes) -> per bucket of the hash range: entries of many rows."""
     def post(batches):
-        for batch in batches:
-            docs, counts = batch.column(0).to_numpy(), []
-            fps = [unpacked(p.as_py(), 5) for p in batch.column(2)]
-            counts = np.array([len(f) for f in fps])
-            owner, fps = np.repeat(np.arange(len(docs)), counts), np.concatenate(fps)
-            bucket = ((fps >> _U(8)) * _U(n_buckets) >> _U(32)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-            out = []
-            for b in range(n_buckets):
-                at = order[cuts[b]:cuts[b + 1]]
-                if len(at):
-                    who, n = np.unique(owner[at], return_counts=True)
-                    out.append((b, packed(fps[at] << _U(24), 5), docs[who].tobytes(),
-                                n.astype("<u4").tobytes()))
-            yield pa.RecordBatch.from_arrays([
-                pa.array([o[0] for o in out], pa.int32()),
-                *(pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3)),
-            ], names=["bucket", "fps", "docs", "counts"])
+        for whole in batches:
+            for i in range(0, whole.num_rows, 1024):
+                yield entries(whole.slice(i, 1024))
+
+    def entries(batch):
+        docs, counts = batch.column(0).to_numpy(), []
+        fps = [unpacked(p.as_py(), width) >> _U(8 * (width - 5)) for p in batch.column(1)]
+        counts = np.array([len(f) for f in fps])
+        owner, fps = np.repeat(np.arange(len(docs)), counts), np.concatenate(fps)
+        bucket = ((fps >> _U(8)) * _U(n_buckets) >> _U(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+        out = []
+        for b in range(n_buckets):
+            at = order[cuts[b]:cuts[b + 1]]
+            if len(at):
+                who, n = np.unique(owner[at], return_counts=True)
+                out.append((b, packed(fps[at] << _U(24), 5), docs[who].tobytes(),
+                            n.astype("<u4").tobytes()))
+        return pa.RecordBatch.from_arrays([
+            pa.array([o[0] for o in out], pa.int32()),
+            *(pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3)),
+        ], names=["bucket", "fps", "docs", "counts"])
 
     return post
 
@@ -191,7 +198,18 @@ def _of_bucket(held):
     ], names=["doc", "fps", "df"])
 
 
-def _meeting(share):
+def _first_screen(n, share):
+    """Of how many of its repeated shingles a row needs the rarest: none, if too
+    few of its prefix are repeated."""
+    size = prefix_length(n, share)
+    return size - shared_least(needed(n, share)) + 1, size
+
+
+def _whole_row(n, share):
+    return n - needed(n, share) + 1, n
+
+
+def _meeting(share, bounds):
     """(n, entries of a document) -> the shingles at which it meets others."""
     def pick(batches):
         for batch in batches:
@@ -199,8 +217,8 @@ def _meeting(share):
             for n, fps, df in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 fps = np.array([f for part in fps for f in part], np.int64)
                 df = np.array([f for part in df for f in part], np.int32)
-                size = prefix_length(n, share)
-                most = size - shared_least(needed(n, share)) + 1 - (size - len(fps))
+                wanted, size = bounds(n, share)
+                most = wanted - (size - len(fps))  # those of no other row come first
                 out.append(fps[np.lexsort((fps, df))[:max(0, most)]])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(docs, pa.int64()), batch.column(1), pa.array(out, pa.list_(pa.int64()))],
@@ -295,6 +313,22 @@ def _across(posts: DataFrame, roots: DataFrame, share) -> DataFrame:
                         F.greatest("x.doc", "y.doc").alias("b")).distinct()
 
 
+def _met(rows: DataFrame, sizes: DataFrame, width, share, bounds) -> DataFrame:
+    """(doc, hashes) -> doc, n, fps: the shingles at which each row meets others;
+    rows that meet none are left out."""
+    hashes = rows.columns[1]
+    total = rows.agg(F.sum(F.octet_length(hashes))).first()[0] or 0
+    n_buckets = total // (width * BUCKET_ENTRIES) + 1
+    posted = rows.mapInArrow(
+        _posted(n_buckets, width), "bucket int, fps binary, docs binary, counts binary")
+    repeated = posted.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
+        _repeated, "doc long, fps array<bigint>, df array<int>")
+    gathered = repeated.groupBy("doc").agg(
+        F.collect_list("fps").alias("fps"), F.collect_list("df").alias("df"))
+    return gathered.join(sizes, "doc").select("doc", "n", "fps", "df").mapInArrow(
+        _meeting(share, bounds), "doc long, n long, fps array<bigint>").where("size(fps) > 0")
+
+
 def clusters(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE, size=SIZE) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
     spark = docs.sparkSession
@@ -308,26 +342,14 @@ def clusters(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE, size=SI
     filled = rows.where("n > 0")
     reps = filled.groupBy("digest").agg(
         F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    entries = filled.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
-    n_buckets = entries // (5 * BUCKET_ENTRIES) + 1
-    posted = reps.select("doc", "n", "prefix").mapInArrow(
-        _posted(n_buckets), "bucket int, fps binary, docs binary, counts binary")
-    n_tasks = max(n_buckets, 1)
-    repeated = posted.repartition(n_tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(
-        _repeated, "doc long, fps array<bigint>, df array<int>")
-    gathered = repeated.groupBy("doc").agg(
-        F.collect_list("fps").alias("fps"), F.collect_list("df").alias("df"))
     sizes = filled.groupBy("doc").agg(F.max("n").alias("n"))
-    meeting = gathered.join(sizes, "doc").select("doc", "n", "fps", "df").mapInArrow(
-        _meeting(share), "doc long, n long, fps array<bigint>")
-    posts = materialise(meeting.select("doc", "n", F.explode("fps").alias("fp")))
-    # A document that meets nobody needs no set.
-    met = posts.join(posts.groupBy("fp").count().where("count > 1"), "fp", "left_semi")
-    ids = met.select("doc").distinct()
-    ids = materialise(ids)
+    screened = _met(reps.select("doc", "prefix"), sizes, 5, share, _first_screen)
+    ids = materialise(screened.select("doc"))
     few = F.broadcast(ids) if ids.count() <= SMALL_IDS else ids
     sets = materialise(source.join(few, "doc", "left_semi").select("doc", "text").mapInArrow(
         _sets(size), "doc long, set binary").dropDuplicates(["doc"]))
+    met = _met(sets.select("doc", "set"), sizes, 6, share, _whole_row)
+    posts = materialise(met.select("doc", "n", F.explode("fps").alias("fp")))
     links, tested = None, None
     for number in range(ROUNDS + 1):
         if number < ROUNDS:
