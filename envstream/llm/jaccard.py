@@ -18,7 +18,7 @@ the one row's. Pairs whose sizes alone rule a link out never get there.
 
 First every row meets one centre for each of its rare shingles, in ``ROUNDS``
 rounds; then the rows of one shingle meet all others that are not in the same
-component yet. The components are those of all links, but a link inside a
+component yet: pair by pair, or where many rows meet, block by block. The components are those of all links, but a link inside a
 component that other links hold together may never be counted.
 
 Defined results: NULL, empty and blank texts have no shingles and no links;
@@ -43,6 +43,8 @@ SIZE = 5
 SHARE = (3, 4)
 BLOCK = 256
 ROUNDS = 2
+#: Shingles with more rows than this are worked off block by block, not pair by pair.
+DENSE = 64
 BUCKET_ENTRIES = 500_000
 #: Ids of documents that may have partners are sent to all tasks up to this many.
 SMALL_IDS = 2_000_000
@@ -301,18 +303,81 @@ def _star(posts: DataFrame, number: int, share) -> DataFrame:
                          F.greatest("p.doc", "c.doc").alias("b")).distinct()
 
 
-def _across(posts: DataFrame, roots: DataFrame, share) -> DataFrame:
-    """All pairs that share a shingle and are not in one component yet."""
+def _open(posts: DataFrame, roots: DataFrame) -> DataFrame:
+    """The entries of shingles whose rows are not all in one component yet."""
     placed = posts.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select(
         "fp", "doc", "n", F.coalesce("root", "doc").alias("root"))
-    mixed = placed.groupBy("fp").agg(F.min("root").alias("l"), F.max("root").alias("h"))
-    placed = placed.join(mixed.where("l < h").select("fp"), "fp")
-    pairs = placed.alias("x").join(placed.alias("y"), F.expr(
+    mixed = placed.groupBy("fp").agg(
+        F.min("root").alias("l"), F.max("root").alias("h"), F.count("*").alias("rows"))
+    return placed.join(mixed.where("l < h").select("fp", "rows"), "fp")
+
+
+def _across(entries: DataFrame, share) -> DataFrame:
+    """All pairs that share a shingle and are not in one component yet."""
+    pairs = entries.alias("x").join(entries.alias("y"), F.expr(
         f"x.fp = y.fp and x.root < y.root and {_fits('x.n', 'y.n', share)}"))
     return pairs.select(F.least("x.doc", "y.doc").alias("a"),
                         F.greatest("x.doc", "y.doc").alias("b")).distinct()
 
 
+def _block_product(share):
+    """Rows of two blocks (or of one) times each other -> links between components."""
+    def multiply(group):
+        docs, roots, left = (group.column(c).to_numpy() for c in ("doc", "root", "left"))
+        rows = [unpacked(d, 6) for d in group.column("set").to_pylist()]
+        sizes = np.array([len(r) for r in rows])
+        ids = np.unique(np.concatenate(rows), return_inverse=True)[1]
+        ends = np.cumsum(sizes)
+        right = np.flatnonzero(~left) if not left.all() else np.arange(len(rows))
+        column = np.concatenate([ids[ends[j] - sizes[j]:ends[j]] for j in right])
+        starts = np.cumsum(sizes[right]) - sizes[right]
+        mark, found = np.zeros(int(ids.max()) + 1, np.int32), []
+        for i in np.flatnonzero(left):
+            own = ids[ends[i] - sizes[i]:ends[i]]
+            mark[own] = 1
+            overlap = np.add.reduceat(mark[column], starts).astype(np.int64)
+            mark[own] = 0
+            good = linked(overlap, sizes[i], sizes[right], share) & (roots[right] != roots[i])
+            found += [(min(docs[i], d), max(docs[i], d)) for d in docs[right[good]]]
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()),
+                         "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return multiply
+
+
+def _dense_links(entries: DataFrame, sets: DataFrame, share, block=BLOCK) -> DataFrame:
+    """Links between components among rows that meet at crowded shingles.
+
+    Rows that such shingles hold together are dealt to blocks: a large component
+    has blocks of its own, the rows of small ones share blocks. Two blocks meet
+    in one task, unless they are of one component. A row travels once for every
+    block that its own meets, not once for every row.
+    """
+    rows = entries.select("doc", "root").distinct()
+    first = entries.groupBy("fp").agg(F.min("doc").alias("a"))
+    held = components(entries.join(first, "fp").select("a", F.col("doc").alias("b")))
+    rows = rows.join(held.select(F.col("node").alias("doc"), F.col("root").alias("hub")), "doc")
+    sizes = rows.groupBy("hub", "root").agg(F.count("*").alias("n"))
+    rows = rows.join(sizes, ["hub", "root"]).withColumn(
+        "side", F.when(F.col("n") >= block, F.col("root").cast("string")).otherwise("-"))
+    totals = rows.groupBy("hub", "side").agg(F.ceil(F.count("*") / block).alias("n_blocks"))
+    rows = rows.join(totals, ["hub", "side"]).withColumn(
+        "block", F.concat_ws(":", "hub", "side", F.pmod(F.xxhash64("doc"), "n_blocks")))
+    rows = materialise(rows.select("doc", "root", "hub", "side", "block"))
+    blocks = rows.select("hub", "side", "block").distinct()
+    pairs = blocks.alias("x").join(blocks.alias("y"), F.expr(
+        "x.hub = y.hub and (x.block < y.block or x.block = y.block and x.side = '-') "
+        "and (x.side <> y.side or x.side = '-')")).select(
+        F.concat_ws("|", "x.block", "y.block").alias("pair"), F.col("x.block").alias("first"),
+        F.col("y.block").alias("second"))
+    sides = pairs.select("pair", F.col("first").alias("block"), F.lit(True).alias("left"))
+    sides = sides.unionByName(pairs.where("first <> second").select(
+        "pair", F.col("second").alias("block"), F.lit(False).alias("left")))
+    sent = sides.join(rows, "block").join(sets, "doc").select(
+        "pair", "doc", "root", "left", "set")
+    return sent.groupBy("pair").applyInArrow(_block_product(share), "a long, b long")
+
+
 def _met(rows: DataFrame, sizes: DataFrame, width, share, bounds) -> DataFrame:
     """(doc, hashes) -> doc, n, fps: the shingles at which each row meets others;
     rows that meet none are left out."""
@@ -329,7 +394,8 @@ def _met(rows: DataFrame, sizes: DataFrame, width, share, bounds) -> DataFrame:
         _meeting(share, bounds), "doc long, n long, fps array<bigint>").where("size(fps) > 0")
 
 
-def clusters(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE, size=SIZE) -> DataFrame:
+def clusters(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE, size=SIZE,
+             dense=DENSE) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
     spark = docs.sparkSession
     source = docs.select(
@@ -351,17 +417,21 @@ def clusters(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE, size=SI
     met = _met(sets.select("doc", "set"), sizes, 6, share, _whole_row)
     posts = materialise(met.select("doc", "n", F.explode("fps").alias("fp")))
     links, tested = None, None
-    for number in range(ROUNDS + 1):
-        if number < ROUNDS:
-            pairs = _star(posts, number, share)
-        else:
-            pairs = _across(posts, components(links), share)
+    for number in range(ROUNDS):
+        pairs = _star(posts, number, share)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialise(pairs)
         found = materialise(_verified(pairs, sets, share))
         links = found if links is None else links.unionByName(found)
         tested = pairs if tested is None else tested.unionByName(pairs)
+    entries = materialise(_open(posts, components(links)))
+    pairs = _across(entries.where(F.col("rows") <= dense), share)
+    pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"))
+    links = links.unionByName(materialise(_verified(pairs, sets, share)))
+    crowded = entries.where(F.col("rows") > dense)
+    if not crowded.isEmpty():
+        links = links.unionByName(materialise(_dense_links(crowded, sets, share)))
     # Rows with one set hang together by their smallest document.
     copies = rows.where("n > 0").join(
         reps.select("digest", F.col("doc").alias("rep")), "digest").select(

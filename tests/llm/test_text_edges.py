@@ -229,8 +229,9 @@ def test_near_copies_hang_together(spark):
                     seen.add(j)
                     todo.append(j)
         root[i] = min(seen)
-    got = jaccard.clusters(docs).collect()
-    assert {r.doc_id: r.component_id for r in got} == root
+    for dense in (64, 1):
+        got = jaccard.clusters(docs, dense=dense).collect()
+        assert {r.doc_id: r.component_id for r in got} == root
     assert {r.doc_id: r.n_shingles for r in got} == {i: len(s) for i, s in sets.items()}
 
 
