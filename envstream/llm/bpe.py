@@ -20,6 +20,8 @@ MODEL = "byte_bpe_50k.json"
 _SPACE = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _ODD_SPACES = re.compile(r"\s ")
+#: ASCII that is neither letter, digit nor space.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def model_path(name=MODEL) -> str:
@@ -28,28 +30,55 @@ def model_path(name=MODEL) -> str:
     return public_tokenizers.path(name)
 
 
+class _Known(dict):
+    """Chunks and their ids. Full, it starts anew and takes over from the full one
+    what comes again, so frequent chunks stay and memory is bounded by two of them."""
+
+    def __init__(self, limit):
+        super().__init__()
+        self._limit, self._before = limit, {}
+
+    def missing(self, chunks):
+        new = chunks - self.keys()
+        if len(self) + len(new) > self._limit:
+            self._before = dict(self)
+            self.clear()
+            new = chunks
+        again = new & self._before.keys()
+        self.update((c, self._before[c]) for c in again)
+        return new - again
+
+
 class ChunkedBpe:
     def __init__(self, file: str, cache=CACHE):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(file)
-        self._limit = cache
-        self._spaced: dict[str, bytes] = {}  # chunks that follow one space
-        self._whole: dict[str, bytes] = {}
+        self._spaced, self._whole = _Known(cache), _Known(cache)  # behind one space; others
+        self._tails = _Known(cache)
         # A rule of splitting other than the byte-level one proves nothing.
         self._chunks = '"ByteLevel"' in self._library.to_str()[:20_000]
 
     def _learn(self, known, chunks, prefix):
-        new = [c for c in chunks if c not in known]
-        if not new:
-            return
-        if len(known) + len(new) > self._limit:
-            known.clear()
-            new = list(chunks)
+        new = known.missing(chunks)
+        # What stands behind the last letter or digit is a piece of its own.
+        cut = {c: core for c in new
+               if (core := c.rstrip(_MARKS)) and core != c and core[-1].isalnum()
+               and "<|" not in c}
+        tails = {c[len(core):] for c, core in cut.items()}
+        self._tails.update(self._encoded(self._tails.missing(tails), ""))
+        found = dict(self._encoded(
+            (new - cut.keys()) | {core for core in cut.values() if core not in known}, prefix))
+        for c, core in cut.items():
+            known[c] = (found.get(core) or known[core]) + self._tails[c[len(core):]]
+        known.update((c, found[c]) for c in new - cut.keys())
+
+    def _encoded(self, chunks, prefix):
+        chunks = list(chunks)
         found = self._library.encode_batch_fast(
-            [prefix + c for c in new], add_special_tokens=False)
-        known.update((c, array("I", e.ids).tobytes()) for c, e in zip(new, found))
+            [prefix + c for c in chunks], add_special_tokens=False) if chunks else ()
+        return zip(chunks, (array("I", e.ids).tobytes() for e in found))
 
     def _some(self, texts):
         if not self._chunks:
@@ -60,7 +89,7 @@ class ChunkedBpe:
         spaced, whole = set(), {p[0] for p in plain if p}
         for parts in plain:
             if parts:
-                spaced.update(parts[1:])
+                spaced.update(parts)
         for chunks in odd.values():
             whole.update(chunks)
         self._learn(self._spaced, spaced, " ")

@@ -27,10 +27,15 @@ class Table:
     def __init__(self, ids, freqs, bits):
         self.ids, self.freqs, self.bits = ids, freqs, bits
         self.cums = np.cumsum(freqs, dtype=np.uint64) - freqs
+        # Ids are numbers of a vocabulary, so a row per id up to the largest is small.
+        self.places = np.zeros(int(ids[-1]) + 1 if len(ids) else 1, np.int32)
+        self.places[ids] = np.arange(len(ids))
 
     @classmethod
     def of(cls, tokens):
-        ids, counts = np.unique(tokens, return_counts=True)
+        counts = np.bincount(tokens)
+        ids = np.flatnonzero(counts).astype(np.uint32)
+        counts = counts[ids]
         bits = max(BITS, int(len(ids)).bit_length() + 2)
         spare = (1 << bits) - 1 - len(ids)
         share = counts.astype(np.float64) / max(1, counts.sum())
@@ -60,7 +65,7 @@ def lanes_for(n: int) -> int:
 def encode_block(tokens, table: Table) -> dict:
     n = len(tokens)
     lanes = lanes_for(n)
-    rank = np.searchsorted(table.ids, tokens)
+    rank = table.places[tokens]
     steps = -(-n // lanes)
     rank = np.concatenate([rank, np.repeat(rank[-1:], steps * lanes - n)]).reshape(steps, lanes)
     freqs, cums = table.freqs[rank], table.cums[rank]
