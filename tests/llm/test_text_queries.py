@@ -43,15 +43,21 @@ def test_mixing_gives_every_document_and_blocks_of_even_shares(spark, sf_dir, do
         assert r.n_tokens == max(1, len(re.findall(r"[^\x20\x09-\x0D]+", documents[r.doc_id])))
 
 
-def test_toxicity_ranks_held_out_rows(spark, tables, sf_dir):
-    rows = {r.doc_id: r for r in QUERIES["op2_toxicity"](spark, sf_dir).collect()}
-    toxic = dict(tables.sql("select doc_id, toxic from labels").fetchall())
+def test_toxicity_ranks_held_out_rows(spark):
+    larger = pathlib.Path("/root/testdata/sf0.01")  # the smallest table has 6 toxic rows held out
+    if not larger.exists():
+        pytest.skip("test tables are not here")
+    rows = {r.doc_id: r for r in QUERIES["op2_toxicity"](spark, str(larger)).collect()}
+    labels = duckdb.sql(f"select doc_id, toxic from '{larger}/labels.parquet'")
+    toxic = dict(labels.fetchall())
     for r in rows.values():
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
         assert 0 <= r.score <= 1 and r.predicted == (r.score >= toxicity.THRESHOLD)
     held = [(rows[d].score, y) for d, y in toxic.items() if rows[d].held_out]
     pairs = [(a, b) for a, y in held if y for b, z in held if not z]
-    assert sum(a > b for a, b in pairs) >= 0.85 * len(pairs)
+    assert sum(a > b for a, b in pairs) >= 0.9 * len(pairs)
+    # Almost no ordinary document is called toxic.
+    assert sum(s >= toxicity.THRESHOLD for s, y in held if not y) <= 2
 
 
 def brute_substring(docs, window=20):
