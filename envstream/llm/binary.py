@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from envstream.llm import rans
 from envstream.llm.bpe import bpe, model_path
-from envstream.llm.common import table
+from envstream.llm.common import modest_batches, table
 from envstream.session import shared_dir
 
 SEGMENT = 1 << 20
@@ -78,7 +78,7 @@ def write_ids(docs: DataFrame, path: str, text="text", doc_id="doc_id", model_fi
             tokens = np.frombuffer(b"".join(parts), np.uint32)
             yield _record(part, number, ids, id_type, lengths, tokens)
 
-    ordered = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    ordered = modest_batches(docs).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     records = ordered.mapInArrow(
         encode, f"part int, segment int, n_tokens long, doc_ids array<{kind}>, "

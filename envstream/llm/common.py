@@ -9,6 +9,19 @@ from pyspark.sql import functions as F
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+#: Rows of one Arrow batch. Rows hold whole texts here, and a worker holds a batch.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def modest_batches(df: DataFrame) -> DataFrame:
+    """Lowers the session's batch size to what rows with whole texts allow."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

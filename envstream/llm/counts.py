@@ -22,7 +22,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from envstream.llm.common import table
+from envstream.llm.common import modest_batches, table
 
 SPAN = 65_536
 OVERLAP = 512
@@ -134,7 +134,7 @@ def token_counts(df, text="text", id_col="doc_id", model_file=None, span=SPAN, o
             )
 
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = df.select(
+    rows = modest_batches(df).select(
         id_col, body.alias("text"), F.octet_length(body).cast("long").alias("n_bytes"))
     counted = rows.mapInArrow(count, f"`{id_col}` {kind}, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

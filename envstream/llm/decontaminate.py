@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envstream.llm.common import table
+from envstream.llm.common import modest_batches, table
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
@@ -120,7 +120,7 @@ def contaminated(docs: DataFrame, items: DataFrame, text="text", item_id="item_i
     kind = items.schema[item_id].dataType.simpleString()
     leak = (f"struct<n_words:bigint,runs:array<array<int>>,items:array<{kind}>,"
             "spans:array<struct<begin:int,end:int>>>")
-    rows = docs.select(
+    rows = modest_batches(docs).select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
         F.coalesce(F.col(text), F.lit("")).alias("text"), F.lit(None).cast(leak).alias("leak"))
     schema = rows.schema

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envstream.llm.common import table
+from envstream.llm.common import modest_batches, table
 from envstream.llm.components import components
 from envstream.session import materialise, shared_dir
 
@@ -398,7 +398,7 @@ def clusters(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE, size=SI
              dense=DENSE) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
     spark = docs.sparkSession
-    source = docs.select(
+    source = modest_batches(docs).select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
         F.col(text).alias("text"))
     path = shared_dir(spark, "shingles")

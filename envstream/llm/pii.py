@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envstream.llm.common import table
+from envstream.llm.common import modest_batches, table
 
 KINDS = ("email", "ip", "card", "phone")
 FIT_DOCS = 4000
@@ -256,7 +256,7 @@ def _observed(batches):
 
 
 def fitted(docs: DataFrame, text="text", fit_docs=FIT_DOCS, fit_tokens=FIT_TOKENS) -> Field | None:
-    rows = docs.select(F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
+    rows = modest_batches(docs).select(F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
     n = rows.count()
     if n > fit_docs:
         rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < fit_docs * (1 << 20) // n)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envstream.llm.common import table
+from envstream.llm.common import modest_batches, table
 from envstream.llm.fmindex import FmIndex
 from envstream.llm.jaccard import WordHash, packed, unpacked
 from envstream.session import materialise
@@ -334,7 +334,7 @@ def _kept_rows(with_text):
 def deduplicated(docs: DataFrame, text="text", doc_id="doc_id", window=WINDOW,
                  hot=HOT, with_text=True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the kept words (``kept``)."""
-    rows = docs.select(
+    rows = modest_batches(docs).select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
         F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.select("doc", row_id("doc", "text").alias("row"), "text")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envstream.llm.common import table
+from envstream.llm.common import modest_batches, table
 from envstream.session import materialise
 
 ORDER = 5
@@ -277,7 +277,7 @@ def _scorer(name, shared):
 
 
 def _measured(rows: DataFrame, counts, name) -> DataFrame:
-    """Rows (row, text) -> (row, measures)."""
+    """Rows (row, text), or (row) with a field ``text`` -> (row, measures)."""
     shared = rows.sparkSession.sparkContext.broadcast(counts)
 
     def measure(batches):
@@ -285,13 +285,14 @@ def _measured(rows: DataFrame, counts, name) -> DataFrame:
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                found = scorer.measures([t or "" for t in part.column(1).to_pylist()])
+                texts = part.column(1) if part.num_columns > 1 else part.column(0).field("text")
+                found = scorer.measures([t or "" for t in texts.to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(found, pa.list_(pa.float64()))],
                     names=["row", "measures"])
 
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(measure, f"row {kind}, measures array<double>")
+    return modest_batches(rows).mapInArrow(measure, f"row {kind}, measures array<double>")
 
 
 def _curve(features, toxic):
@@ -349,8 +350,10 @@ def scored(docs: DataFrame, model, text="text", keep=None, into="toxicity") -> D
     if model is None:
         return docs.select(*(F.col(f"`{c}`") for c in columns), F.lit(0.0).alias(into))
     counts, slopes, offset = model
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"),
-                       F.col(text).alias("text"))
+    row = F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row")
+    # A row that holds the text already need not bring it twice.
+    rows = docs.select(row) if text == "text" and "text" in columns else docs.select(
+        row, F.col(text).alias("text"))
     sums = F.lit(float(offset))
     for i, slope in enumerate(slopes):
         sums = sums + F.col("measures")[i] * float(slope)
