@@ -193,7 +193,7 @@ def test_spliced_counts_are_the_librarys():
 
 def test_hits_are_mapped_to_the_text(spark):
     text = "Ünder— " + PASSAGE.upper().replace(" ", " -- ") + " é"
-    docs = documents(spark, [(1, text, "a"), (2, PASSAGE[:40], "a")])
+    docs = documents(spark, [(1, text, "a"), (2, PASSAGE[:20], "a")])
     items = spark.createDataFrame([(5, PASSAGE), (9, PASSAGE[6:]), (7, "Under")],
                                   "item_id long, text string")
     for block in (1 << 20, 50):
