@@ -12,8 +12,10 @@ curve over these gives the score.
 All labelled rows but the held-out ones are counted. The curve is fitted on
 about ``FIT_ROWS`` of them (a bounded sample), each measured by models that
 leave out its own one of ``FOLDS`` parts.
-Counts are hashed to ``SLOTS`` cells, which bounds what is sent to the tasks
-(8 bytes each), whatever the size of the corpus.
+Every expression keeps counts of its own, however many there are. Up to
+``MOST_KEYS`` of them are sent to the tasks (24 bytes each, and 4 to 8 of an
+index); beyond, the distinct words are scored by shuffled joins with the counts,
+and texts get the scores of their words by another.
 
 Defined results: NULL and empty texts measure 0 and are scored by the curve;
 repeated rows are scored each; rows without a label are scored only; without
@@ -35,7 +37,8 @@ from envstream.llm.common import modest_batches, table
 from envstream.session import materialise
 
 ORDER = 5
-SLOTS = 1 << 22
+#: Counts of up to this many expressions are sent to all tasks; more are joined by shuffle.
+MOST_KEYS = 1 << 20
 FIT_ROWS = 20_000
 FOLDS = 3
 DISCOUNT = 0.75
@@ -142,63 +145,108 @@ def _mixed(h):
     return h ^ (h >> np.uint64(27))
 
 
-def _hash(kind, letters, slots):
-    """Cells of expressions; ``letters`` holds one array per place."""
-    h = np.full(letters[0].shape if letters else 1, ord(kind), np.uint64)
-    for column in letters:
-        h = _mixed((h + column.astype(np.uint64) + np.uint64(1)) * _MIX)
-    return (h % np.uint64(slots)).astype(np.int64)
+def _hash(kind, letters, salt):
+    """64 bits of expressions; ``letters`` holds one array per place."""
+    with np.errstate(over="ignore"):
+        h = np.full(letters[0].shape if letters else 1,
+                    _mixed(np.array([ord(kind) + 256 * salt], np.uint64) * _MIX)[0], np.uint64)
+        for column in letters:
+            h = _mixed((h + column.astype(np.uint64) + np.uint64(1)) * _MIX)
+    return h
 
 
-def _slot_rows(slots):
-    """(key, a, b) -> (page, cells of the page with their sums)."""
+def _hashed_rows(salt):
+    """(key, a, b) -> many rows as bytes: hashes of the keys, a, b."""
     def place(batches):
         for batch in batches:
             keys = batch.column(0).to_pylist()
-            cells = np.empty(len(keys), np.int64)
+            hashes = np.empty(len(keys), np.uint64)
             by_form = {}
             for i, key in enumerate(keys):
                 by_form.setdefault((key[0], len(key)), []).append(i)
             for (kind, n), rows in by_form.items():
                 codes = np.array([[ord(c) for c in keys[i][1:]] for i in rows], np.int64)
                 codes = codes.reshape(len(rows), n - 1)
-                cells[rows] = _hash(kind, [codes[:, j] for j in range(n - 1)], slots)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cells), batch.column(1), batch.column(2)], names=["cell", "a", "b"])
+                hashes[rows] = _hash(kind, [codes[:, j] for j in range(n - 1)], salt)
+            yield pa.RecordBatch.from_arrays([pa.array([
+                hashes.astype("<u8").tobytes() + batch.column(1).to_numpy().astype("<f8").tobytes()
+                + batch.column(2).to_numpy().astype("<f8").tobytes()])], names=["part"])
 
     return place
 
 
-def _model(grams: DataFrame, slots: int) -> np.ndarray:
-    """The counts as one array of ``slots`` x 2; no more than that reaches the driver."""
-    cells = _cells(grams).mapInArrow(_slot_rows(slots), "cell long, a double, b double")
-    summed = cells.groupBy("cell").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    paged = summed.groupBy((F.col("cell") / 16384).cast("int").alias("page")).agg(
-        F.collect_list(F.struct("cell", F.col("a").cast("float").alias("a"),
-                                F.col("b").cast("float").alias("b"))).alias("cells"))
+class Table:
+    """Counts by the hash of their expression: sorted, with an index of the upper bits."""
+
+    def __init__(self, hashes, counts, salt=0):
+        order = np.argsort(hashes)
+        # Behind the last one stands one that is never taken for another.
+        self._hashes = np.append(hashes[order], np.uint64(2**64 - 1))
+        self._counts = np.concatenate([counts[order], np.zeros((1, 2))])
+        self._salt = salt
+        bits = max(1, (len(hashes) - 1).bit_length())
+        self._shift = np.uint64(64 - bits)
+        at = np.arange(1 << bits, dtype=np.uint64) << self._shift
+        self._index = np.searchsorted(self._hashes[:-1], at).astype(np.int32)
+
+    def look(self, kind, letters):
+        """The two numbers of each expression; 0 for those that never occurred."""
+        wanted = _hash(kind, letters, self._salt)
+        at = self._index[(wanted >> self._shift).astype(np.int64)].astype(np.int64)
+        behind = np.flatnonzero(self._hashes[at] < wanted)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self._hashes[at[behind]] < wanted[behind]]
+        found = self._counts[at]
+        found[self._hashes[at] != wanted] = 0
+        return found
+
+
+class Joined:
+    """Counts that stay in Spark: rows (key, a, b), every key once."""
+
+    def __init__(self, cells: DataFrame):
+        self.cells = cells
+
+
+def _model(grams: DataFrame, most_keys: int) -> Table | Joined:
+    """The counts of all expressions; at most ``most_keys`` of them reach the driver."""
+    cells = materialise(_cells(grams))
+    n_keys = cells.count()
+    if n_keys > most_keys:
+        return Joined(cells)
+    salt = 0
+    while True:
+        parts = [r.part for r in cells.mapInArrow(_hashed_rows(salt), "part binary").collect()]
+        parts = [np.frombuffer(p, "<u8").reshape(3, -1) for p in parts]
+        hashes, *counts = np.concatenate(parts, axis=1)
+        if len(np.unique(hashes)) == n_keys and hashes.max() < np.uint64(2**64 - 1):
+            return Table(hashes, np.stack([c.view("<f8") for c in counts], axis=1), salt)
+        salt += 1
 
-    def packed(batches):
-        for batch in batches:
-            for row in batch.column(0):
-                flat = row.values.flatten()
-                yield pa.RecordBatch.from_arrays([pa.array([
-                    np.stack([flat[0].to_numpy().astype(np.float64), flat[1].to_numpy(),
-                              flat[2].to_numpy()]).astype("<f8").tobytes()])], names=["part"])
 
-    counts = np.zeros((slots, 2), np.float32)
-    for row in paged.select("cells").mapInArrow(packed, "part binary").toLocalIterator():
-        cell, a, b = np.frombuffer(row.part, "<f8").reshape(3, -1)
-        counts[cell.astype(np.int64)] = np.stack([a, b], axis=1)
-    return counts
+# --- scores -----------------------------------------------------------------
 
 
-# --- scores -----------------------------------------------------------------
+def _log_ratio(letter, middle, base, full, context, types, n, n_letters):
+    """log P(letter | toxic) - log P(letter | ordinary) from the counts of its contexts."""
+    letter = (letter + 0.5) / (n + 0.5 * n_letters + 1)
+    seen = np.maximum(middle - DISCOUNT, 0)
+    # An empty context says nothing: all weight goes to the shorter one.
+    low = np.where(base[:, 0] > 0, (seen + DISCOUNT * base[:, 1] * letter)
+                   / np.maximum(base[:, 0], 1), letter)
+    logs = []
+    for k in (0, 1):
+        sums = context[:, k]
+        top = np.maximum(full[:, k] - DISCOUNT, 0) + DISCOUNT * types[:, k] * low
+        logs.append(np.log(np.where(sums > 0, top / np.maximum(sums, 1), low) + 1e-12))
+    return logs[0] - logs[1]
 
 
 class Scorer:
-    def __init__(self, counts: np.ndarray):
+    def __init__(self, counts: Table):
         self._counts, self._known = counts, {}
-        self._n, self._types = counts[_hash("n", [], len(counts))][0]
+        self._n, self._types = counts.look("n", [])[0]
 
     def _ratios(self, words):
         """log P(word | toxic) - log P(word | ordinary), and the letters."""
@@ -212,26 +260,10 @@ class Scorer:
             inside[starts + j] = False
         at = np.flatnonzero(inside)  # every predicted letter
         back = [codes[at - j] for j in range(ORDER - 1, -1, -1)]
-        counts, n = self._counts, len(self._counts)
-
-        def look(kind, letters):
-            return counts[_hash(kind, letters, n)].astype(np.float64)
-
-        letter = (look("l", back[-1:])[:, 0] + 0.5) / (self._n + 0.5 * self._types + 1)
-        base = look("k", back[-3:-1])
-        seen = np.maximum(look("m", back[-3:])[:, 0] - DISCOUNT, 0)
-        # An empty context says nothing: all weight goes to the shorter one.
-        low = np.where(base[:, 0] > 0, (seen + DISCOUNT * base[:, 1] * letter)
-                       / np.maximum(base[:, 0], 1), letter)
-        full, context, types = look("g", back), look("c", back[:-1]), look("t", back[:-1])
-        logs = []
-        for k in (0, 1):
-            sums = context[:, k]
-            top = np.maximum(full[:, k] - DISCOUNT, 0) + DISCOUNT * types[:, k] * low
-            logs.append(np.log(np.where(sums > 0, top / np.maximum(sums, 1), low) + 1e-12))
-        ratio = logs[0] - logs[1]
-        # Collided cells may make a context smaller than what follows it.
-        ratio = np.clip(ratio, -8, 8)
+        look = self._counts.look
+        ratio = _log_ratio(
+            look("l", back[-1:])[:, 0], look("m", back[-3:])[:, 0], look("k", back[-3:-1]),
+            look("g", back), look("c", back[:-1]), look("t", back[:-1]), self._n, self._types)
         owner = np.repeat(np.arange(len(words)), lengths - (ORDER - 1))
         return np.bincount(owner, ratio, len(words)), lengths - (ORDER - 1)
 
@@ -246,23 +278,24 @@ class Scorer:
             new = list(new)
             ratios, letters = self._ratios(new)
             self._known.update(zip(new, zip(ratios.tolist(), letters.tolist())))
-        # A word that follows itself says nothing new.
-        once = [[w for w, v in zip(words, ["", *words]) if w != v] for words in split]
-        return [self._measured([self._known[w] for w in words]) for words in once]
-
-    @staticmethod
-    def _measured(scored):
-        if not scored:
-            return [0.0] * N_MEASURES
-        ratio, letters = np.array(scored, np.float64).T
-        sums = np.concatenate([[0], np.cumsum(ratio)])
-        sizes = np.concatenate([[0], np.cumsum(letters)])
-        out = [sums[-1] / sizes[-1]]
-        for n in STRETCHES:
-            n = min(n, len(ratio))
-            out.append(((sums[n:] - sums[:-n]) / (sizes[n:] - sizes[:-n])).max())
-        telling = ratio > TELLING
-        return [*out, telling.mean(), np.log1p(telling.sum()), np.log1p(len(ratio)) / 10]
+        return [_numbers(words, self._known) for words in split]
+
+
+def _numbers(words, known):
+    """The measures of a text by the (ratio, letters) of its words."""
+    # A word that follows itself says nothing new.
+    scored = [known[w] for w, v in zip(words, ["", *words]) if w != v]
+    if not scored:
+        return [0.0] * N_MEASURES
+    ratio, letters = np.array(scored, np.float64).T
+    sums = np.concatenate([[0], np.cumsum(ratio)])
+    sizes = np.concatenate([[0], np.cumsum(letters)])
+    out = [sums[-1] / sizes[-1]]
+    for n in STRETCHES:
+        n = min(n, len(ratio))
+        out.append(((sums[n:] - sums[:-n]) / (sizes[n:] - sizes[:-n])).max())
+    telling = ratio > TELLING
+    return [*out, telling.mean(), np.log1p(telling.sum()), np.log1p(len(ratio)) / 10]
 
 
 N_MEASURES = 1 + len(STRETCHES) + 3
@@ -278,6 +311,8 @@ def _scorer(name, shared):
 
 def _measured(rows: DataFrame, counts, name) -> DataFrame:
     """Rows (row, text), or (row) with a field ``text`` -> (row, measures)."""
+    if isinstance(counts, Joined):
+        return _measured_by_join(rows, counts.cells)
     shared = rows.sparkSession.sparkContext.broadcast(counts)
 
     def measure(batches):
@@ -295,6 +330,91 @@ def _measured(rows: DataFrame, counts, name) -> DataFrame:
     return modest_batches(rows).mapInArrow(measure, f"row {kind}, measures array<double>")
 
 
+def _words_of_rows(batches):
+    """(id, text) -> the distinct words of each text."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 64):
+            part = batch.slice(i, 64)
+            ids, words = [], []
+            for at, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                found = sorted(set(normal_words(text or "")))
+                ids += [at] * len(found)
+                words += found
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(words, pa.string())], names=["id", "word"])
+
+
+def _grams_of_words(batches):
+    """Words -> their expressions, each with how often the word has it."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 1024):
+            words, grams, times = [], [], []
+            for word in batch.column(0).slice(i, 1024).to_pylist():
+                found = Counter(_grams(word))
+                words += [word] * len(found)
+                grams += found.keys()
+                times += found.values()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.string()), pa.array(grams, pa.string()),
+                 pa.array(times, pa.int64())], names=["word", "gram", "times"])
+
+
+def _gram_scores(grams: DataFrame, cells: DataFrame) -> DataFrame:
+    """gram -> gram, ratio, from the counts of the gram and its contexts."""
+    n, n_letters = cells.where("key = 'n'").select("a", "b").first()
+    for kind, key in (("g", "gram"), ("c", f"left(gram, {ORDER - 1})"),
+                      ("t", f"left(gram, {ORDER - 1})"), ("m", "right(gram, 3)"),
+                      ("k", "left(right(gram, 3), 2)"), ("l", "right(gram, 1)")):
+        counts = cells.where(F.expr("left(key, 1)") == kind).select(
+            F.expr("substring(key, 2)").alias("_key"), F.array("a", "b").alias(kind))
+        grams = grams.join(counts, F.expr(key) == F.col("_key"), "left").drop("_key")
+        grams = grams.withColumn(kind, F.coalesce(kind, F.array(F.lit(0.0), F.lit(0.0))))
+
+    def score(batches):
+        for batch in batches:
+            g, c, t, m, k, letter = (
+                np.array(batch.column(i).to_pylist(), np.float64).reshape(-1, 2)
+                for i in range(1, 7))
+            ratio = _log_ratio(letter[:, 0], m[:, 0], k, g, c, t, n, n_letters)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(ratio)], names=["gram", "ratio"])
+
+    return grams.select("gram", *"gctmkl").mapInArrow(score, "gram string, ratio double")
+
+
+def _measured_by_join(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """As ``_measured``, by joins of the words' expressions with the counts."""
+    text = F.col("text") if "text" in rows.columns else F.col("row.text")
+    # Numbers given to rows must not change when a task is repeated.
+    known = materialise(modest_batches(rows).select(
+        F.monotonically_increasing_id().alias("id"), "row", text.alias("text")))
+    words = materialise(known.select("id", "text").mapInArrow(
+        _words_of_rows, "id long, word string"))
+    pieces = materialise(words.select("word").distinct().mapInArrow(
+        _grams_of_words, "word string, gram string, times long"))
+    grams = _gram_scores(pieces.select("gram").distinct(), cells)
+    scores = pieces.join(grams, "gram").groupBy("word").agg(
+        F.sum(F.col("ratio") * F.col("times")).alias("ratio"), F.sum("times").alias("letters"))
+    found = words.join(scores, "word").groupBy("id").agg(
+        F.collect_list(F.struct("word", "ratio", "letters")).alias("words"))
+
+    def measure(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 64):
+                part = batch.slice(i, 64)
+                out = []
+                for body, scored in zip(*(part.column(j).to_pylist() for j in (1, 2))):
+                    by_word = {w["word"]: (w["ratio"], w["letters"]) for w in scored or ()}
+                    out.append(_numbers(normal_words(body or ""), by_word))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(out, pa.list_(pa.float64()))],
+                    names=["row", "measures"])
+
+    kind = rows.schema["row"].dataType.simpleString()
+    return known.join(found, "id", "left").select("row", "text", "words").mapInArrow(
+        measure, f"row {kind}, measures array<double>")
+
+
 def _curve(features, toxic):
     """Logistic regression with weighted classes by Newton's method."""
     mean, spread = features.mean(0), features.std(0) + 1e-9
@@ -312,8 +432,8 @@ def _curve(features, toxic):
     return slopes, w[-1] - (slopes * mean).sum()
 
 
-def fitted(docs: DataFrame, labels: DataFrame, text="text", doc_id="doc_id", slots=SLOTS,
-           fit_rows=FIT_ROWS):
+def fitted(docs: DataFrame, labels: DataFrame, text="text", doc_id="doc_id",
+           most_keys=MOST_KEYS, fit_rows=FIT_ROWS):
     """(counts, slopes, offset) learned from the rows that are not held out, or None."""
     marks = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(
         F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
@@ -334,13 +454,13 @@ def fitted(docs: DataFrame, labels: DataFrame, text="text", doc_id="doc_id", slo
     features, toxic = [], []
     for fold in range(FOLDS):
         fit = rows.where(F.col("fold") == fold).select(F.struct("toxic").alias("row"), "text")
-        counts = _model(_without(grams, fold), slots)
+        counts = _model(_without(grams, fold), most_keys)
         for r in _measured(fit, counts, uuid.uuid4().hex).toLocalIterator():
             features.append(r.measures)
             toxic.append(float(r.row.toxic))
     if len(set(toxic)) < 2:
         return None
-    counts = _model(_without(grams), slots)
+    counts = _model(_without(grams), most_keys)
     return (counts, *_curve(np.array(features), np.array(toxic)))
 
 
