@@ -3,7 +3,8 @@
 A source with the share p of all tokens gets the weight p ** a, normalised.
 The exponent a in [0, 1] (0: all alike, 1: as they come) is bisected until the
 weights' entropy meets a share of the highest possible one; it is raised again
-as far as a limit on repetitions asks for. Every pass over the table of
+as far as a limit on repetitions asks for, which also holds where a budget asks
+for more. Every pass over the table of
 shares tests ``POINTS`` exponents at once, five halvings in one.
 
 The weights then become a sequence of blocks. Each pass through a source
@@ -76,18 +77,19 @@ def _measures(found: DataFrame, total: int, points, budget):
 
 
 def _bisect(holds_below, measure, passes=PASSES, points=POINTS):
-    """The largest exponent in [0, 1] up to which ``holds_below`` is true (monotone)."""
+    """The last exponent in [0, 1] tried for which ``holds_below`` is true (monotone),
+    and the first one for which it is not."""
     low, high = 0.0, 1.0
     if holds_below(*measure([1.0])[0]):
-        return 1.0
+        return 1.0, 1.0
     for _ in range(passes):
-        grid = [low + (high - low) * k / (points - 1) for k in range(points)]
+        grid = [low + (high - low) * k / (points - 1) for k in range(points - 1)] + [high]
         fits = [holds_below(*m) for m in measure(grid)]
         if not fits[0]:
-            return low
+            return low, low
         last = max(k for k in range(points) if all(fits[: k + 1]))
-        low, high = grid[last], grid[min(last + 1, points - 1)]
-    return low
+        low, high = grid[last], grid[last + 1]
+    return low, high
 
 
 def exponent(found: DataFrame, total: int, n_sources: int, entropy=ENTROPY,
@@ -98,12 +100,13 @@ def exponent(found: DataFrame, total: int, n_sources: int, entropy=ENTROPY,
     def measure(points):
         return _measures(found, total, points, budget)
 
-    flat = 0.0 if entropy is None else _bisect(lambda h, _: h >= target - 1e-12, measure)
+    flat = 0.0 if entropy is None else _bisect(lambda h, _: h >= target - 1e-12, measure)[0]
     if max_repeats is None:
         return flat
     if measure([flat])[0][1] <= max_repeats:
         return flat
-    return _bisect(lambda _, r: r > max_repeats, measure)
+    # The end that keeps the limit, not the one that still breaks it.
+    return _bisect(lambda _, r: r > max_repeats, measure)[1]
 
 
 def weights(found: DataFrame, entropy=ENTROPY, max_repeats=MAX_REPEATS, budget=None) -> DataFrame:
@@ -120,6 +123,8 @@ def weights(found: DataFrame, entropy=ENTROPY, max_repeats=MAX_REPEATS, budget=N
     length = budget if budget is not None else math.exp(rare) * z * total
     weight = F.exp(p * a) / F.lit(z)
     target = F.round(weight * F.lit(float(length)))
+    if max_repeats is not None:  # nor may rounding bring one more copy
+        target = F.least(target, F.floor(F.col("n_tokens") * F.lit(float(max_repeats))))
     if budget is None:  # rounding must not cost a document
         target = F.greatest(target, F.col("n_tokens"))
     return found.select(
