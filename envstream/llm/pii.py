@@ -9,7 +9,7 @@ occurrence before, however far away. Loopy message passing makes the labels of
 one document agree. Tokens of one label in a row become one span.
 
 Weights are learned piecewise from what the patterns mark in a bounded sample
-of about ``FIT_DOCS`` documents with such tokens: shapes by softmax regression,
+of about ``FIT_DOCS`` different texts with such tokens: shapes by softmax regression,
 the two edge potentials from how often the two ends agree.
 
 Defined results: NULL and empty texts have no spans; repeated rows are read
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from envstream.llm.common import modest_batches, table
+from envstream.session import materialise
 
 KINDS = ("email", "ip", "card", "phone")
 FIT_DOCS = 4000
@@ -238,9 +239,9 @@ def _agreement(counts):
 
 
 def _observed(batches):
-    """Texts -> shapes and labels of their tokens, and counts of label pairs."""
+    """(text, hash) -> shapes and labels of its tokens, counts of label pairs, hash."""
     for batch in batches:
-        for text in batch.column(0).to_pylist():
+        for i, text in enumerate(batch.column(0).to_pylist()):
             tokens = Tokens(text)
             labels = tokens.labels(base_spans(text))
             pairs = np.zeros((2, N_LABELS, N_LABELS), np.int64)
@@ -250,22 +251,32 @@ def _observed(batches):
             # Equal tokens of one document teach no more than one of them.
             rows = {tuple(map(int, s)) + (int(y),) for s, y in zip(tokens.shapes(), labels)}
             yield pa.RecordBatch.from_arrays([
-                pa.array([[list(r) for r in rows]], pa.list_(pa.list_(pa.int32()))),
+                pa.array([[list(r) for r in sorted(rows)]], pa.list_(pa.list_(pa.int32()))),
                 pa.array([pairs.reshape(-1).tolist()], pa.list_(pa.int64())),
-            ], names=["tokens", "pairs"])
+                batch.column(1).slice(i, 1),
+            ], names=["tokens", "pairs", "h"])
 
 
 def fitted(docs: DataFrame, text="text", fit_docs=FIT_DOCS, fit_tokens=FIT_TOKENS) -> Field | None:
     rows = modest_batches(docs).select(F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
-    n = rows.count()
+    hashed = rows.withColumn("h", F.xxhash64("text"))
+    n = hashed.select("h").distinct().count()
     if n > fit_docs:
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < fit_docs * (1 << 20) // n)
-    seen = rows.mapInArrow(_observed, "tokens array<array<int>>, pairs array<bigint>")
-    shapes, pairs = [], np.zeros(2 * N_LABELS * N_LABELS)
-    for row in seen.toLocalIterator():
-        if len(shapes) < fit_tokens:
-            shapes += row.tokens
-        pairs += np.array(row.pairs)
+        hashed = hashed.where(F.pmod("h", F.lit(1 << 20)) < fit_docs * (1 << 20) // n)
+    # Equal texts teach once, before they travel.
+    hashed = hashed.groupBy("text").agg(F.first("h").alias("h"))
+    seen = materialise(modest_batches(hashed).mapInArrow(
+        _observed, "tokens array<array<int>>, pairs array<bigint>, h bigint"))
+    pairs = np.zeros(2 * N_LABELS * N_LABELS)
+    sums = seen.select(F.posexplode("pairs").alias("at", "n")).groupBy("at").agg(F.sum("n"))
+    for at, total in sums.collect():
+        pairs[at] = total
+    shapes = []
+    # In the order of another hash, so that what is cut off hangs on no partition.
+    for row in seen.orderBy(F.xxhash64("h"), "h").select("tokens").toLocalIterator():
+        if len(shapes) >= fit_tokens:
+            break
+        shapes += row.tokens
     data = np.array(shapes, np.int64).reshape(len(shapes), N_SHAPES + 1)
     if not data[:, -1].any():
         return None
