@@ -23,8 +23,10 @@ component that other links hold together may never be counted.
 
 Defined results: NULL, empty and blank texts have no shingles and no links;
 a text of fewer words than a shingle is one shingle; rows with equal ids are
-one node; an empty table gives no rows. Shingles are told apart by 48 bits
-inside a pair, sets by 128 bits.
+one node, which has the links of all their texts; an empty table gives no rows.
+Shingles are told apart by 48 bits inside a pair, copies of a set by 128 bits,
+sets that meet by 64 of these. Sets meet by these, not by the ids of their rows;
+links are between ids again when components are formed.
 """
 
 from __future__ import annotations
@@ -97,6 +99,11 @@ def unpacked(data, width):
     return full.view(">u8").reshape(-1).astype(np.uint64)
 
 
+def node_of(digest):
+    """What stands for a set where sets meet."""
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
 def needed(n, share=SHARE):
     """Least overlap of a set of n with any partner."""
     return -(-n * share[0] // share[1])
@@ -123,12 +130,13 @@ def _rows(share, size):
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
                 sets = [shingles(t, size) for t in part.column(1).to_pylist()]
+                digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                    part.column(0), pa.array([node_of(d) for d in digests], pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
                     pa.array([packed(s[:prefix_length(len(s), share)], 5) for s in sets],
                              pa.binary()),
-                ], names=["doc", "n", "digest", "prefix"])
+                ], names=["doc", "node", "n", "digest", "prefix"])
 
     return make
 
@@ -237,9 +245,11 @@ def _sets(size):
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
-                sets = [packed(shingles(t, size), 6) for t in part.column(1).to_pylist()]
+                sets = [shingles(t, size) for t in part.column(0).to_pylist()]
+                nodes = [node_of(xxhash.xxh3_128_digest(s.tobytes())) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sets, pa.binary())], names=["doc", "set"])
+                    [pa.array(nodes, pa.int64()),
+                     pa.array([packed(s, 6) for s in sets], pa.binary())], names=["doc", "set"])
 
     return make
 
@@ -402,18 +412,27 @@ def clusters(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE, size=SI
         F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
         F.col(text).alias("text"))
     path = shared_dir(spark, "shingles")
-    source.mapInArrow(_rows(share, size), "doc long, n long, digest binary, prefix binary") \
+    source.mapInArrow(_rows(share, size), "doc long, node long, n long, digest binary, prefix binary") \
         .write.parquet(path)
     rows = spark.read.parquet(path)
     filled = rows.where("n > 0")
     reps = filled.groupBy("digest").agg(
-        F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    sizes = filled.groupBy("doc").agg(F.max("n").alias("n"))
-    screened = _met(reps.select("doc", "prefix"), sizes, 5, share, _first_screen)
+        F.min("doc").alias("doc"), F.first("node").alias("node"), F.first("n").alias("n"),
+        F.first("prefix").alias("prefix"))
+    # From here to the links, ``doc`` is what stands for a set.
+    sizes = filled.groupBy(F.col("node").alias("doc")).agg(F.max("n").alias("n"))
+    screened = _met(reps.select(F.col("node").alias("doc"), "prefix"), sizes, 5, share,
+                    _first_screen)
     ids = materialise(screened.select("doc"))
-    few = F.broadcast(ids) if ids.count() <= SMALL_IDS else ids
-    sets = materialise(source.join(few, "doc", "left_semi").select("doc", "text").mapInArrow(
-        _sets(size), "doc long, set binary").dropDuplicates(["doc"]))
+    named = filled.groupBy("node").agg(F.min("doc").alias("id"))
+    named = materialise(named.join(ids, named.node == ids.doc).select("node", "id"))
+    small = ids.count() <= SMALL_IDS
+    few = named.select(F.col("id").alias("doc")).distinct()
+    # Other texts of these ids come along and are left out by their sets.
+    sets = source.join(F.broadcast(few) if small else few, "doc", "left_semi").select("text") \
+        .mapInArrow(_sets(size), "doc long, set binary")
+    sets = materialise(sets.join(F.broadcast(ids) if small else ids, "doc", "left_semi")
+                       .dropDuplicates(["doc"]))
     met = _met(sets.select("doc", "set"), sizes, 6, share, _whole_row)
     posts = materialise(met.select("doc", "n", F.explode("fps").alias("fp")))
     links, tested = None, None
@@ -432,6 +451,10 @@ def clusters(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE, size=SI
     crowded = entries.where(F.col("rows") > dense)
     if not crowded.isEmpty():
         links = links.unionByName(materialise(_dense_links(crowded, sets, share)))
+    for end in ("a", "b"):
+        links = links.join(named, links[end] == named.node).drop(end, "node") \
+            .withColumnRenamed("id", end)
+    links = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     # Rows with one set hang together by their smallest document.
     copies = rows.where("n > 0").join(
         reps.select("digest", F.col("doc").alias("rep")), "digest").select(
