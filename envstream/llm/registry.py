@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from envstream.llm import (
-    binary, chat, counts, decontaminate, jaccard, mixing, pii, rules, substring,
+    binary, chat, counts, decontaminate, jaccard, licenses, mixing, pii, rules, substring,
     toxicity,
 )
 
@@ -14,7 +14,7 @@ def registered():
         binary.op4_token_binary,
         counts.op5_token_counts, decontaminate.op6_benchmark_decontamination,
         rules.op7_quality_rules, chat.op8_chat_formatting, jaccard.op9_ngram_jaccard,
-        pii.op10_personal_data,
+        pii.op10_personal_data, licenses.op11_license_scans,
     )
     return {query.__name__: query for query in queries}
 
@@ -24,4 +24,5 @@ def oracle():
         "op6_benchmark_decontamination": decontaminate.op6_sql(),
         "op7_quality_rules": rules.op7_sql(),
         "op9_ngram_jaccard": jaccard.op9_sql(),
+        "op11_license_scans": licenses.op11_sql(),
     }
