@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from envstream.llm import (
-    binary, chat, counts, decontaminate, jaccard, licenses, mixing, pii, rules, substring,
+    binary, chat, counts, decontaminate, jaccard, licenses, mixing, pii, prefixes, rules, substring,
     toxicity,
 )
 
@@ -15,6 +15,7 @@ def registered():
         counts.op5_token_counts, decontaminate.op6_benchmark_decontamination,
         rules.op7_quality_rules, chat.op8_chat_formatting, jaccard.op9_ngram_jaccard,
         pii.op10_personal_data, licenses.op11_license_scans,
+        prefixes.op12_conversation_prefix_trie,
     )
     return {query.__name__: query for query in queries}
 
@@ -25,4 +26,5 @@ def oracle():
         "op7_quality_rules": rules.op7_sql(),
         "op9_ngram_jaccard": jaccard.op9_sql(),
         "op11_license_scans": licenses.op11_sql(),
+        "op12_conversation_prefix_trie": prefixes.op12_sql(),
     }
