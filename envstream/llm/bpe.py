@@ -13,7 +13,9 @@ import os
 import re
 from array import array
 
-CACHE = 400_000
+from envstream.llm.common import cache_of
+
+CACHE = 200_000
 BATCH_CHARS = 1 << 20
 MODEL = "byte_bpe_50k.json"
 
@@ -114,10 +116,8 @@ class ChunkedBpe:
             yield from self._some(some)
 
 
-_models: dict[str, ChunkedBpe] = {}
-
-
 def bpe(file: str) -> ChunkedBpe:
-    if file not in _models:
-        _models[file] = ChunkedBpe(file)
-    return _models[file]
+    models = cache_of("bpe")
+    if file not in models:
+        models[file] = ChunkedBpe(file)
+    return models[file]

@@ -22,7 +22,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from envstream.llm.common import modest_batches, table
+from envstream.llm.common import cache_of, modest_batches, table
 
 SPAN = 65_536
 OVERLAP = 512
@@ -105,14 +105,11 @@ def _common(data, left, right, low, high):
     return shared[len(shared) // 2] if shared else None
 
 
-_counter = {}
-
-
 def _cached(path, span, overlap):
-    key = (path, span, overlap)
-    if key not in _counter:
-        _counter[key] = PieceCounter(path, span, overlap)
-    return _counter[key]
+    counters, key = cache_of("counts"), (path, span, overlap)
+    if key not in counters:
+        counters[key] = PieceCounter(path, span, overlap)
+    return counters[key]
 
 
 def token_counts(df, text="text", id_col="doc_id", model_file=None, span=SPAN, overlap=OVERLAP,

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envstream.llm.common import modest_batches, table
+from envstream.llm.common import cache_of, modest_batches, table
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
@@ -80,15 +80,13 @@ class Items:
         return runs, found
 
 
-_built = {}
-
-
 def _automaton(name, shared, window):
     """Built once per worker and block of items."""
-    if name not in _built:
-        _built.clear()
-        _built[name] = Items(shared.value, window)
-    return _built[name]
+    built = cache_of("decontaminate")
+    if name not in built:
+        built.clear()
+        built[name] = Items(shared.value, window)
+    return built[name]
 
 
 def _blocks(items: DataFrame, item_id, text, block_bytes):
@@ -122,10 +120,11 @@ def contaminated(docs: DataFrame, items: DataFrame, text="text", item_id="item_i
             "spans:array<struct<begin:int,end:int>>>")
     rows = modest_batches(docs).select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"), F.lit(None).cast(leak).alias("leak"))
+        F.lit(None).cast(leak).alias("leak"))
     schema = rows.schema
     for block in _blocks(items, item_id, item_text, block_bytes):
-        rows = rows.mapInArrow(_scanner(spark.sparkContext.broadcast(block), window), schema)
+        rows = rows.mapInArrow(
+            _scanner(spark.sparkContext.broadcast(block), docs.columns.index(text), window), schema)
     hit = F.aggregate("leak.runs", F.lit(0), lambda n, r: n + r[1] - r[0])
     found = F.struct(
         F.col("leak.n_words").alias("n_words"), hit.cast("long").alias("n_hit"),
@@ -134,18 +133,20 @@ def contaminated(docs: DataFrame, items: DataFrame, text="text", item_id="item_i
                        found.alias(into))
 
 
-def _scanner(shared, window):
+def _scanner(shared, place, window):
+    """The text is a field of the row, so it travels once each way."""
     name = uuid.uuid4().hex
 
     def scan(batches):
         automaton = _automaton(name, shared, window)
         for batch in batches:
+            texts = batch.column(0).field(place).to_pylist()
             leaks = [
-                _look(automaton, text.encode(), old)
-                for text, old in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+                _look(automaton, (text or "").encode(), old)
+                for text, old in zip(texts, batch.column(1).to_pylist())
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(leaks, batch.schema.field(2).type)],
+                [batch.column(0), pa.array(leaks, batch.schema.field(1).type)],
                 names=batch.schema.names)
 
     return scan

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envstream.llm.common import modest_batches, table
+from envstream.llm.common import cache_of, modest_batches, table
 from envstream.llm.components import components
 from envstream.session import materialise, shared_dir
 
@@ -65,10 +65,8 @@ class WordHash(dict):
         return value
 
 
-_hashes = WordHash()
 
-
-def _mix(h):
+def mix(h):
     h = (h ^ (h >> _U(32))) * _U(0xD6E8FEB86659FD93)
     h = (h ^ (h >> _U(32))) * _U(0xD6E8FEB86659FD93)
     return h ^ (h >> _U(32))
@@ -79,11 +77,12 @@ def shingles(text, size=SIZE) -> np.ndarray:
     words = (text or "").encode().translate(_LOWER).split()
     if not words:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    hashes = cache_of("jaccard", WordHash)
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     n = min(size, len(words))
     total = np.full(len(words) - n + 1, n, np.uint64)
     for j in range(n):
-        total = _mix(total + h[j:len(h) - n + 1 + j])
+        total = mix(total + h[j:len(h) - n + 1 + j])
     return np.unique(total)
 
 

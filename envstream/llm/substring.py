@@ -32,9 +32,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envstream.llm.common import modest_batches, table
+from envstream.llm.common import cache_of, modest_batches, table
 from envstream.llm.fmindex import FmIndex
-from envstream.llm.jaccard import WordHash, packed, unpacked
+from envstream.llm.jaccard import WordHash, mix, packed, unpacked
 from envstream.session import materialise
 
 WINDOW = 20
@@ -47,23 +47,17 @@ NO_ID = -(2**63)
 _U = np.uint64
 _PLACE = _U((1 << 28) - 1)
 
-_hashes = WordHash()
-
-
-def _mix(h):
-    h = (h ^ (h >> _U(32))) * _U(0xD6E8FEB86659FD93)
-    h = (h ^ (h >> _U(32))) * _U(0xD6E8FEB86659FD93)
-    return h ^ (h >> _U(32))
 
 
 def anchors(words, window=WINDOW):
     """(hash of the gram at each place, place of each window's anchor)."""
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    hashes = cache_of("substring", WordHash)
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     if len(h) < window:
         return h[:0], np.empty(0, np.int64)
     gram = np.zeros(len(h) - GRAM + 1, np.uint64)
     for j in range(GRAM):
-        gram = _mix(gram + h[j:len(h) - GRAM + 1 + j] + _U(j + 1))
+        gram = mix(gram + h[j:len(h) - GRAM + 1 + j] + _U(j + 1))
     # The place in the low bits makes the leftmost of equal grams the smallest.
     low = (gram & ~_PLACE) | np.arange(len(gram), dtype=np.uint64)
     span, have = window - GRAM + 1, 1

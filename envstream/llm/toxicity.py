@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envstream.llm.common import modest_batches, table
+from envstream.llm.common import cache_of, modest_batches, table
 from envstream.session import materialise
 
 ORDER = 5
@@ -299,14 +299,14 @@ def _numbers(words, known):
 
 
 N_MEASURES = 1 + len(STRETCHES) + 3
-_scorers = {}
 
 
 def _scorer(name, shared):
-    if name not in _scorers:
-        _scorers.clear()
-        _scorers[name] = Scorer(shared.value)
-    return _scorers[name]
+    scorers = cache_of("toxicity")
+    if name not in scorers:
+        scorers.clear()
+        scorers[name] = Scorer(shared.value)
+    return scorers[name]
 
 
 def _measured(rows: DataFrame, counts, name) -> DataFrame:

@@ -279,7 +279,7 @@ def test_windows_keep_budget_system_and_every_turn_once(spark):
     assert made.agg(F.sum("n_new")).first()[0] == len(rows)
     assert [r.over_budget for r in made.where("conv_id = 3").orderBy("window").collect()] == [
         True, False]
-    read = made.where("conv_id = 2").select(
+    read = made.where("conv_id = 2").orderBy("block", "window").select(
         F.explode(chat.turns_of(F.col("formatted")))).select("col.*").collect()
     assert [tuple(r) for r in read] == [("user", ""), ("", "x <|end|> \\ y")]
     assert chat.windows(df.limit(0)).collect() == []
