@@ -273,6 +273,18 @@ def oracle():
             cast((row_number() over (partition by location_name, pos // 1048576
               order by pos, copy_no) - 1) % 1000 as int) as item_no,
             dt, air_quality_index as aqi, {_POLLUTANTS} from air""",
+        "scan_map_document": f"""{BOTH} select concat('{{"', location_name, '}}\\') as location_name,
+            longitude as lon, latitude as lat,
+            cast((row_number() over (partition by location_name, pos // 1048576
+              order by pos, copy_no) - 1) % 1000 as int) as item_no,
+            dt, air_quality_index as aqi, {_POLLUTANTS} from air""",
+        "scan_array_document": f"""with {CATALOGUE} select row_number() over (order by id) - 1
+            as "index", id, concat(name, '}}, {{"') as name, country, lon, lat from catalogue""",
+        "scan_name_line": """select
+            cast(row_number() over (order by s_suppkey, k) - 1 as int) as item_no,
+            case k when 0 then concat('n_', s_suppkey) when 1 then concat('odd n_', s_suppkey)
+              else concat('n_', s_suppkey + 1) end as name
+            from supplier, range(3) as t(k)""",
         "scan_catalogue": f"""with {CATALOGUE} select cast(row_number() over (
             partition by id // 1000 order by id) - 1 as int) as "index", id, name, country,
             lon, lat from catalogue""",

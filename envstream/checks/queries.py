@@ -15,7 +15,7 @@ from envstream.plans.landing import replay_messages
 from envstream.plans.replay import replay_to_batches, replay_to_files
 from envstream.session import materialise, shared_dir, streaming_session
 from envstream.sinks import outputs
-from envstream.sources import files
+from envstream.sources import files, split_documents
 from envstream.sources.tables import AIR, LOCATIONS, WEATHER, FolderStore
 from envstream.streaming.queries import start_files, unified_stream
 from envstream.streaming.table_writer import FACT_ID, TableWriter
@@ -367,6 +367,45 @@ def scan_map_json(spark, sf_dir):
     )
 
 
+#: Split size of the queries over one document; small, so that small tables are split too.
+DOCUMENT_SPLIT = 1 << 18
+
+
+def scan_map_document(spark, sf_dir):
+    """Pollution readings as ONE document in one file, read by many tasks. Names hold
+    braces, quotes and escapes."""
+    name = F.concat(F.lit('{"'), "location_name", F.lit("}\\"))
+    rows = derived.raw_air(spark, sf_dir).withColumn("location_name", name)
+    lines = outputs.raw_lines(rows, coord="coord", order=("pos", "copy"), stretch=encode.span_of())
+    entry = lines.select(F.expr("substring(value, 2, length(value) - 2)").alias("value"))
+    path = shared_dir(spark, "air-document")
+    outputs.write_document(entry, path, ["value"], "{", "}")
+    back = split_documents.scan_raw_air_document(spark, path, DOCUMENT_SPLIT)
+    return back.select(
+        "location_name", "coord.lon", "coord.lat", "item_no", "item.dt", "item.main.aqi",
+        "item.components.*",
+    )
+
+
+def scan_array_document(spark, sf_dir):
+    """Customers as ONE array in one file, read by many tasks; ``index`` is the place
+    in the whole array."""
+    name = F.concat("name", F.lit('}, {"'))
+    rows = derived.catalogue(spark, sf_dir).withColumn("name", name)
+    lines = rows.select("id", F.to_json(F.struct("id", "name", "country", "coord")).alias("value"))
+    path = shared_dir(spark, "catalogue-document")
+    outputs.write_document(lines, path, ["id"], "[", "]")
+    back = split_documents.scan_array_document(spark, path, S.CATALOGUE_RECORD, DOCUMENT_SPLIT)
+    return back.select("index", "id", "name", "country", "coord.lon", "coord.lat")
+
+
+def scan_name_line(spark, sf_dir):
+    """All suppliers' names as ONE line in one file, read by many tasks."""
+    path = shared_dir(spark, "name-line")
+    outputs.write_document(derived.name_texts(spark, sf_dir), path, ["list_no"], "", None, " ", ",")
+    return split_documents.scan_name_line(spark, path, 1 << 10)
+
+
 # --- catalogue ------------------------------------------------------------------
 
 
@@ -507,7 +546,8 @@ QUERIES = (
     stream_weather_facts, stream_locations, dim_locations, scan_locations,
     fact_air, fact_weather, facts_ordered, fk_orphans, insert_if_absent, regroup_air,
     regroup_weather, key_union, timestamp_count, first_n_timestamps, align_topics,
-    encode_roundtrip, encode_roundtrip_air, scan_map_json, scan_catalogue, name_list, catalogue_by_country,
+    encode_roundtrip, encode_roundtrip_air, scan_map_json, scan_map_document,
+    scan_array_document, scan_name_line, scan_catalogue, name_list, catalogue_by_country,
     catalogue_semi, locations, fetch_plan, nonempty_locations, scaled_features, split_counts,
     rf_predictions, rf_metrics, rf_checks, prediction_pairs, regression_metrics, confusion_matrix,
     metrics_row,

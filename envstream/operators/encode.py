@@ -12,15 +12,17 @@ MAX_ENTRIES = 1000
 SPAN = 1 << 20
 
 
-def unnest_raw(documents: DataFrame) -> DataFrame:
-    """Decoded ``data`` maps -> one row per reading, with its place in the source."""
+def unnest_raw(documents: DataFrame, number=None) -> DataFrame:
+    """Decoded ``data`` maps -> one row per reading, with its place in the source.
+    ``number`` names a column that numbers the locations already."""
     per_location = documents.select(
+        *([number] if number else []),
         F.posexplode_outer(F.map_entries("data")).alias("location_no", "located")
     ).where(F.col("location_no").isNotNull())
     info = F.col("located.value")
     coord = [info["coord"].alias("coord")] if "coord" in _fields_of(documents) else []
     return per_location.select(
-        "location_no",
+        F.col(number or "location_no").alias("location_no"),
         F.col("located.key").alias("location_name"),
         *coord,
         F.posexplode(info["list"]).alias("item_no", "item"),

@@ -67,6 +67,27 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").text(path)
 
 
+def write_document(parts: DataFrame, path: str, order, opening="", closing=None, comma=",",
+                   line_end="\n") -> None:
+    """``value`` of all rows as ONE file with one document, in ``order``: the form a
+    producer outside leaves. One task writes it, which a single file makes needful."""
+    order = list(order)
+    first = parts.agg(F.min(F.struct(*order)).alias("first")).first()["first"]
+    is_first = F.lit(True)
+    for column in order:
+        is_first = is_first & F.col(column).eqNullSafe(F.lit(first and first[column]))
+    lead = F.when(is_first, F.lit(opening)).otherwise(F.lit(comma))
+    places = [F.col(column).alias(f"_{i}") for i, column in enumerate(order)]
+    rows = parts.select(F.lit(0).alias("_end"), *places, F.concat(lead, "value").alias("value"))
+    if closing is not None:
+        end = parts.sparkSession.range(1).select(F.lit(1).alias("_end"), F.lit(
+            closing if first is not None else opening + closing).alias("value"))
+        rows = rows.unionByName(end, allowMissingColumns=True)
+    rows.repartition(1).sortWithinPartitions(
+        "_end", *(f"_{i}" for i in range(len(order)))).select("value").write.mode(
+        "overwrite").option("lineSep", line_end).text(path)
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """One row per batch id. Other batches stay, a replayed batch replaces its row."""
     (
