@@ -26,7 +26,7 @@ from envstream.session import build_session, streaming_session
 from envstream.sinks.outputs import (
     in_stretches, raw_lines, write_csv, write_feed, write_lines, write_topic,
 )
-from envstream.sources import files
+from envstream.sources import files, split_documents
 from envstream.sources.kafka import Topics, backfill_topics, read_topic
 from envstream.sources.tables import DatabaseStore, FolderStore
 from envstream.streaming.queries import LastInput, start_batches, stop_when_idle, unified_stream
@@ -106,18 +106,23 @@ def _messages(spark, args):
 
 
 def plan(spark, args):
-    listed = files.scan_name_list(spark, args.names)
-    rows = cat.in_country(files.scan_catalogue(spark, args.catalogue), args.country)
+    listed = split_documents.scan_name_line(spark, args.names)
+    records = split_documents.scan_array_document(spark, args.catalogue, S.CATALOGUE_RECORD)
+    rows = cat.in_country(records, args.country)
     places = cat.location_table(cat.named_in(rows, listed))
     write_csv(places, f"{args.out}/locations")
     write_csv(cat.fetch_plan(places, args.first_day, args.weeks, args.zone), f"{args.out}/requests")
 
 
 def replay(spark, args):
+    if args.whole:
+        air = split_documents.scan_raw_air_document(spark, args.air_file)
+        weather = split_documents.scan_raw_weather_document(spark, args.weather_file)
+    else:
+        air = files.scan_raw_air(spark, args.air_file, whole=False)
+        weather = files.scan_raw_weather(spark, args.weather_file, whole=False)
     messages = replay_messages(
-        files.scan_raw_air(spark, args.air_file, args.whole),
-        files.scan_raw_weather(spark, args.weather_file, args.whole),
-        args.air, args.weather, whole=args.whole, spread=args.spread, first=args.first,
+        air, weather, args.air, args.weather, whole=args.whole, spread=args.spread, first=args.first,
         max_entries=args.max_entries,
     )
     for part in in_stretches(messages, args.stretch):

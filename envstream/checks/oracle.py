@@ -100,6 +100,15 @@ entered as (select *, min(slice_no) over (partition by location_name) as first_s
 """
 
 
+def _facts_by_slice(source, count=4):
+    return f"""
+of_{source} as (
+  select batch_id, count(*) as {source}_added from (
+    select distinct (measured_at - low) // ((high - low) // {count} + 1) as batch_id,
+      location_name, measured_at from {source}, bounds) group by batch_id)
+"""
+
+
 def _regrouped(source):
     return f"""
     ranked as (
@@ -235,6 +244,19 @@ def oracle():
         "stream_locations": f"""{BOTH}, {_slices()}
             select location_name, min(longitude) as longitude, min(latitude) as latitude
             from entered where slice_no = first_slice group by location_name""",
+        "stream_last_per_key": f"""{BOTH} select {WEATHER_COLUMNS} from (
+            select *, row_number() over (partition by location_name order by
+              measured_at desc nulls last, {_list(*(f"{c} desc nulls last" for c in S.WEATHER_MEASURES))}
+            ) as place from weather) where place = 1""",
+        "ledger_after_crash": f"""{BOTH}, {_slices()},
+            of_locations as (
+              select slice_no as batch_id, count(distinct case when slice_no = first_slice
+                then location_name end) as locations_added from entered group by slice_no),
+            {_facts_by_slice("air")}, {_facts_by_slice("weather")}
+            select batch_id, locations_added, coalesce(air_added, 0) as air_added,
+              coalesce(weather_added, 0) as weather_added
+            from of_locations left join of_air using (batch_id)
+              left join of_weather using (batch_id)""",
         "dim_locations": f"{BOTH}, {LOCATIONS} select * from dimension",
         "scan_locations": f"{BOTH}, {LOCATIONS} select * from dimension",
         "fact_air": _FACT_AIR,

@@ -17,8 +17,9 @@ from envstream.session import materialise, shared_dir, streaming_session
 from envstream.sinks import outputs
 from envstream.sources import files, split_documents
 from envstream.sources.tables import AIR, LOCATIONS, WEATHER, FolderStore
+from envstream.streaming.last_values import LastValues, last_rows
 from envstream.streaming.queries import start_files, unified_stream
-from envstream.streaming.table_writer import FACT_ID, TableWriter
+from envstream.streaming.table_writer import FACT_ID, TableWriter, read_ledger
 
 
 def timed(df: DataFrame, *columns: str) -> DataFrame:
@@ -194,6 +195,34 @@ def stream_join_replayed(spark, sf_dir):
     return timed(spark.read.parquet(out))
 
 
+def stream_last_per_key(spark, sf_dir):
+    """The last weather reading of every location, kept up to date over four runs on
+    one checkpoint."""
+    keys_, order = ["location_name"], [S.TIME]
+    messages = derived.feed(spark, sf_dir).where(F.col("topic") == derived.WEATHER_TOPIC)
+    kept = LastValues(shared_dir(spark, "last"), tuple(keys_))
+    replay_to_batches(
+        spark, messages, lambda m: last_rows(parse.weather_rows(m), keys_, order), kept.write,
+        mode="update")
+    return timed(kept.read(spark), *S.WEATHER_COLUMNS)
+
+
+def ledger_after_crash(spark, sf_dir):
+    """What the ledger says where every batch is written, breaks off before its ledger
+    entry, and is run again."""
+    store = FolderStore(spark, shared_dir(spark, "tables")).create()
+    ledger = shared_dir(spark, "ledger")
+    first = TableWriter(store, derived.AIR_TOPIC, derived.WEATHER_TOPIC)
+    again = TableWriter(store, derived.AIR_TOPIC, derived.WEATHER_TOPIC, ledger=ledger)
+
+    def handle(batch, batch_id):
+        first(batch, batch_id)
+        again(batch, batch_id)
+
+    replay_to_batches(spark, derived.feed(spark, sf_dir), lambda m: m, handle)
+    return read_ledger(spark, ledger).drop("job")
+
+
 def _streamed_tables(spark, sf_dir):
     store = FolderStore(spark, shared_dir(spark, "tables")).create()
     writer = TableWriter(store, derived.AIR_TOPIC, derived.WEATHER_TOPIC)
@@ -543,7 +572,7 @@ QUERIES = (
     rejected_messages, drop_nulls, batch_distinct, unified, label_categories,
     label_category_count, first_per_key, last_per_name, stream_dedup, stream_dedup_spread, stream_join,
     stream_join_bounded, stream_join_spread, stream_join_replayed, stream_facts,
-    stream_weather_facts, stream_locations, dim_locations, scan_locations,
+    stream_weather_facts, stream_locations, stream_last_per_key, ledger_after_crash, dim_locations, scan_locations,
     fact_air, fact_weather, facts_ordered, fk_orphans, insert_if_absent, regroup_air,
     regroup_weather, key_union, timestamp_count, first_n_timestamps, align_topics,
     encode_roundtrip, encode_roundtrip_air, scan_map_json, scan_map_document,

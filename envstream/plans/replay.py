@@ -47,10 +47,12 @@ def replay_to_files(spark: SparkSession, messages: DataFrame, build, slices=4,
     return spark.read.parquet(out)
 
 
-def replay_to_batches(spark: SparkSession, messages: DataFrame, build, handle, slices=4) -> None:
+def replay_to_batches(spark: SparkSession, messages: DataFrame, build, handle, slices=4,
+                      mode="append") -> None:
     """The same, with ``handle(batch, batch_id)`` on each micro-batch."""
     checkpoint = shared_dir(spark, "state")
     drain_in_slices(
         spark, messages,
-        lambda stream: start_batches(build(stream), handle, checkpoint, drain=True), slices,
+        lambda stream: start_batches(build(stream), handle, checkpoint, drain=True, mode=mode),
+        slices,
     )

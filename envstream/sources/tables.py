@@ -18,6 +18,8 @@ from envstream.session import materialise
 LOCATIONS, AIR, WEATHER = "Locations", "AirPollutionData", "WeatherData"
 SHAPES = {LOCATIONS: S.LOCATIONS_TABLE, AIR: S.AIR_TABLE, WEATHER: S.WEATHER_TABLE}
 DAY = "measurement_date"
+#: The batch that wrote a row; readers of the tables do not see it.
+TAG = "written_by"
 
 
 def is_placed() -> Column:
@@ -44,6 +46,10 @@ class FolderStore:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def tag(self, job: str, batch_id: int) -> str:
+        """A job's name stands for one checkpoint: a new one begins at batch 0 again."""
+        return f"{job}:{batch_id}"
+
     def create(self) -> FolderStore:
         """Make the folders; what is there already stays."""
         for name, shape in SHAPES.items():
@@ -65,8 +71,8 @@ class FolderStore:
     def _facts(self, name):
         return self.spark.read.schema(f"{SHAPES[name]}, {DAY} date").parquet(self.path(name))
 
-    def keys_near(self, name: str, rows: DataFrame) -> DataFrame:
-        """Keys of the facts on the days that ``rows`` touch."""
+    def _days_of(self, rows: DataFrame) -> Column:
+        """The days that ``rows`` touch, as a partition filter."""
         # One value per stretch of days comes to the driver, whatever the number
         # of rows: the first and the last day of each.
         day = utc_day(F.unix_seconds(S.TIME)).alias("day")
@@ -79,11 +85,28 @@ class FolderStore:
         days = F.lit(False)
         for _, low, high in spans:
             days = days | F.col(DAY).between(low, high)
-        return self._facts(name).where(days).select("location_id", S.TIME)
+        return days
 
-    def append(self, name: str, rows: DataFrame) -> int:
-        """Append and count. The files a reader of this table sees are fixed when
-        its plan is made, so ``rows`` may stem from the table itself."""
+    def keys_near(self, name: str, rows: DataFrame) -> DataFrame:
+        """Keys of the facts on the days that ``rows`` touch."""
+        return self._facts(name).where(self._days_of(rows)).select("location_id", S.TIME)
+
+    def written(self, name: str, tag: str, rows: DataFrame) -> int:
+        """How many rows of the table bear the tag of a batch, whichever of its runs
+        wrote them. Of facts only the days that ``rows`` touch are read."""
+        shape = f"{SHAPES[name]}, {TAG} string"
+        if name != LOCATIONS:
+            shape += f", {DAY} date"
+        table = self.spark.read.schema(shape).parquet(self.path(name))
+        if name != LOCATIONS:
+            table = table.where(self._days_of(rows))
+        return table.where(F.col(TAG) == tag).count()
+
+    def append(self, name: str, rows: DataFrame, tag: str | None = None) -> int:
+        """Append and count; a ``tag`` marks the rows in the files. The files a reader
+        of this table sees are fixed when its plan is made, so ``rows`` may stem from
+        the table itself."""
+        rows = rows.withColumn(TAG, F.lit(tag).cast("string"))
         if name != LOCATIONS:
             # Even files: small days are merged, a day with very many rows is split.
             rows = rows.withColumn(DAY, utc_day(F.unix_seconds(S.TIME))).hint("rebalance", DAY)
@@ -106,6 +129,9 @@ class DatabaseStore:
     read_parts: int | None = None
     fill_nulls = False
 
+    def tag(self, job: str, batch_id: int) -> None:
+        """A database's tables have no place for one."""
+
     def options(self, name: str, span=None) -> dict:
         """Options for a whole table, or for the keys of its facts in a time span.
 
@@ -140,7 +166,7 @@ class DatabaseStore:
             return self.spark.createDataFrame([], f"location_id bigint, {S.TIME} timestamp")
         return self._load(self.options(name, (low, high)))
 
-    def append(self, name: str, rows: DataFrame) -> int:
+    def append(self, name: str, rows: DataFrame, tag: None = None) -> int:
         """Append and count. A database shows rows as they come in, so the rows
         are settled first: a retried task must not look at its own output."""
         settled = materialise(rows)

@@ -24,8 +24,8 @@ def unified_stream(messages: DataFrame, air_topic, weather_topic, delay=None, pa
     return unify_streams(air, weather, delay, parts, number)
 
 
-def _writer(df, checkpoint, drain, interval, name):
-    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+def _writer(df, checkpoint, drain, interval, name, mode="append"):
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     if drain:
@@ -33,13 +33,14 @@ def _writer(df, checkpoint, drain, interval, name):
     return writer.trigger(processingTime=interval) if interval else writer
 
 
-def start_batches(df: DataFrame, handle, checkpoint: str, drain=False, interval=None, name=None):
+def start_batches(df: DataFrame, handle, checkpoint: str, drain=False, interval=None, name=None,
+                  mode="append"):
     """Run ``handle(batch, batch_id)`` for each micro-batch.
 
     The checkpoint is what makes a restart go on where the last run stopped; to
     begin anew, name a new one. ``drain`` takes what there is and then ends.
     """
-    return _writer(df, checkpoint, drain, interval, name).foreachBatch(handle).start()
+    return _writer(df, checkpoint, drain, interval, name, mode).foreachBatch(handle).start()
 
 
 def start_files(df: DataFrame, path: str, checkpoint: str, drain=False, interval=None, name=None):

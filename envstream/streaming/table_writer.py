@@ -39,7 +39,7 @@ def unkept(readings: DataFrame) -> DataFrame:
     )
 
 
-def add_locations(store, air: DataFrame, weather: DataFrame) -> int:
+def add_locations(store, air: DataFrame, weather: DataFrame, tag=None) -> int:
     """Insert names not yet known; returns their number."""
     known = store.read(LOCATIONS)
     named = batch_locations(air, weather)
@@ -55,17 +55,17 @@ def add_locations(store, air: DataFrame, weather: DataFrame) -> int:
         return 0
     start = known.agg(F.max("location_id")).first()[0] or 0
     return store.append(
-        LOCATIONS, number_rows(new, "location_name", start, "location_id").select(*columns)
+        LOCATIONS, number_rows(new, "location_name", start, "location_id").select(*columns), tag
     )
 
 
-def add_facts(store, name: str, readings: DataFrame) -> int:
+def add_facts(store, name: str, readings: DataFrame, tag=None) -> int:
     """Insert readings whose (location, time) is not in the table; returns their number."""
     keyed = readings.dropna(subset=list(S.JOIN_KEYS)).where(fits_fact_id(S.TIME))
     first = first_per_key(keyed, S.JOIN_KEYS, MEASURES[name])
     rows = fact_rows(first, store.read(LOCATIONS), MEASURES[name], FACT_ID[name])
     new = absent(store.keys_near(name, keyed), rows, ["location_id", S.TIME])
-    return store.append(name, new)
+    return store.append(name, new, tag)
 
 
 @dataclass(frozen=True)
@@ -92,15 +92,20 @@ class TableWriter:
         air = air_rows(air_messages).persist(StorageLevel.MEMORY_AND_DISK)
         weather = weather_rows(weather_messages).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            tag = store.tag(self.job, batch_id)
             added = (
-                add_locations(store, air, weather),
-                add_facts(store, AIR, air),
-                add_facts(store, WEATHER, weather),
+                add_locations(store, air, weather, tag),
+                add_facts(store, AIR, air, tag),
+                add_facts(store, WEATHER, weather, tag),
             )
             if self.rejected:
                 self._keep_rejects(air_messages, weather_messages, air, weather, batch_id)
+            if self.ledger and tag is not None:
+                # A run that broke off may have written some already: their tag counts.
+                named = ((LOCATIONS, air), (AIR, air), (WEATHER, weather))
+                added = tuple(store.written(name, tag, rows) for name, rows in named)
             if self.ledger:
-                self._note(batch.sparkSession, batch_id, added)
+                self._note(batch.sparkSession, batch_id, added, whole=tag is not None)
         finally:
             for frame in (air, weather, messages):
                 frame.unpersist()
@@ -114,13 +119,14 @@ class TableWriter:
         )
         self._replace_batch(bad, batch_id, self.rejected)
 
-    def _note(self, spark, batch_id, added):
-        """A repeated batch adds what the first run left undone, so counts add up."""
+    def _note(self, spark, batch_id, added, whole):
+        """Counts that are not ``whole`` add up over the runs of a batch; those of a run
+        that broke off before its entry are then missing."""
         folder = spark.createDataFrame([], S.LEDGER_ROW)
         folder.write.mode("ignore").partitionBy("job", "batch_id").parquet(self.ledger)
         before = read_ledger(spark, self.ledger).where(
             (F.col("job") == self.job) & (F.col("batch_id") == batch_id)).first()
-        if before is not None:
+        if before is not None and not whole:
             added = tuple(new + old for new, old in zip(added, before[2:]))
         row = spark.createDataFrame([(self.job, batch_id, *added)], S.LEDGER_ROW)
         self._replace_batch(row.drop("job", "batch_id"), batch_id, self.ledger)
