@@ -262,7 +262,8 @@ def fitted(docs: DataFrame, text="text", fit_docs=FIT_DOCS, fit_tokens=FIT_TOKEN
     hashed = rows.withColumn("h", F.xxhash64("text"))
     n = hashed.select("h").distinct().count()
     if n > fit_docs:
-        hashed = hashed.where(F.pmod("h", F.lit(1 << 20)) < fit_docs * (1 << 20) // n)
+        # A share of 63 bits, so that the number holds at any n.
+        hashed = hashed.where(F.shiftrightunsigned("h", 1) < fit_docs * (1 << 63) // n)
     # Equal texts teach once, before they travel.
     hashed = hashed.groupBy("text").agg(F.first("h").alias("h"))
     seen = materialise(modest_batches(hashed).mapInArrow(

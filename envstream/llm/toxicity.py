@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,12 +49,19 @@ THRESHOLD = 0.7
 #: Labels up to this many rows are sent to all tasks; more are joined by shuffle.
 SMALL_LABELS = 1_000_000
 CACHE = 200_000
+#: Ratios are added up as whole numbers of this part of one.
+UNIT = 1 << 24
 
 _EDGES = re.compile(r"^\W+|\W+$")
 
 
+def _bare(token):
+    """The token without what is no letter, digit or underscore at its ends."""
+    return token if token[0].isalnum() and token[-1].isalnum() else _EDGES.sub("", token)
+
+
 def normal_words(text: str) -> list[str]:
-    return [w for w in (_EDGES.sub("", w) for w in text.lower().split()) if w]
+    return [w for w in map(_bare, text.lower().split()) if w]
 
 
 def remainder(doc_id, by=3):
@@ -245,7 +253,8 @@ def _log_ratio(letter, middle, base, full, context, types, n, n_letters):
 
 class Scorer:
     def __init__(self, counts: Table):
-        self._counts, self._known = counts, {}
+        self._counts, self._places = counts, {}
+        self._scores = np.empty((0, 2), np.int64)
         self._n, self._types = counts.look("n", [])[0]
 
     def _ratios(self, words):
@@ -269,33 +278,65 @@ class Scorer:
 
     def measures(self, texts):
         """One row of numbers per text."""
-        split = [normal_words(t) for t in texts]
-        new = {w for words in split for w in words if w not in self._known}
+        split = [t.lower().split() for t in texts]
+        flat = list(chain.from_iterable(split))
+        new = set(flat).difference(self._places)
+        if new and len(self._places) + len(new) > CACHE:
+            self._places.clear()
+            self._scores = self._scores[:0]
+            new = set(flat)
         if new:
-            if len(self._known) + len(new) > CACHE:
-                self._known.clear()
-                new = {w for words in split for w in words}
-            new = list(new)
-            ratios, letters = self._ratios(new)
-            self._known.update(zip(new, zip(ratios.tolist(), letters.tolist())))
-        return [_numbers(words, self._known) for words in split]
-
-
-def _numbers(words, known):
-    """The measures of a text by the (ratio, letters) of its words."""
-    # A word that follows itself says nothing new.
-    scored = [known[w] for w, v in zip(words, ["", *words]) if w != v]
-    if not scored:
-        return [0.0] * N_MEASURES
-    ratio, letters = np.array(scored, np.float64).T
-    sums = np.concatenate([[0], np.cumsum(ratio)])
-    sizes = np.concatenate([[0], np.cumsum(letters)])
-    out = [sums[-1] / sizes[-1]]
-    for n in STRETCHES:
-        n = min(n, len(ratio))
-        out.append(((sums[n:] - sums[:-n]) / (sizes[n:] - sizes[:-n])).max())
-    telling = ratio > TELLING
-    return [*out, telling.mean(), np.log1p(telling.sum()), np.log1p(len(ratio)) / 10]
+            self._learn(list(new))
+        scores = self._scores[np.fromiter(map(self._places.__getitem__, flat), np.int64, len(flat))]
+        return _numbers(scores, [len(words) for words in split])
+
+    def _learn(self, tokens, step=1 << 14):
+        """Keeps the scores of tokens, those of their words."""
+        words = [_bare(t) for t in tokens]
+        known = list({w for w in words if w})
+        scores = [np.zeros((1, 2), np.int64)]  # of tokens without a word
+        for i in range(0, len(known), step):
+            scores.append(_units(*self._ratios(known[i:i + step])))
+        at = {w: i for i, w in enumerate(["", *known])}
+        self._places.update(zip(tokens, range(len(self._places), len(self._places) + len(tokens))))
+        self._scores = np.concatenate([
+            self._scores, np.concatenate(scores)[[at[w] for w in words]]])
+
+
+def _units(ratios, letters):
+    """Rows (ratio, letters) in whole numbers, so that sums do not depend on their order."""
+    return np.stack([np.rint(ratios * UNIT).astype(np.int64), letters], axis=1)
+
+
+def _numbers(scores, sizes):
+    """The measures of texts by the rows (ratio, letters) of all their tokens, one text
+    after the other; a row without letters is no word."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    is_word = scores[:, 1] > 0
+    ratio, letters = scores[is_word].T
+    sizes = np.bincount(owner[is_word], minlength=len(sizes))
+    ends = np.cumsum(sizes)
+    sums, lengths, telling = (
+        np.concatenate([[0], np.cumsum(v)]) for v in (ratio, letters, ratio > TELLING * UNIT))
+
+    def between(low, high):
+        return (sums[high] - sums[low]) / (lengths[high] - lengths[low]) / UNIT
+
+    out = np.zeros((len(sizes), N_MEASURES))
+    some = sizes > 0
+    out[some, :-3] = between((ends - sizes)[some], ends[some])[:, None]
+    for k, n in enumerate(STRETCHES, 1):
+        longer = np.flatnonzero(sizes > n)
+        if len(longer):
+            counts = sizes[longer] - n + 1
+            first = np.cumsum(counts) - counts
+            low = np.repeat((ends - sizes)[longer] - first, counts) + np.arange(counts.sum())
+            out[longer, k] = np.maximum.reduceat(between(low, low + n), first)
+    found = telling[ends] - telling[ends - sizes]
+    out[:, -3] = found / np.maximum(sizes, 1)
+    out[:, -2] = np.log1p(found)
+    out[:, -1] = np.log1p(sizes) / 10
+    return out.tolist()
 
 
 N_MEASURES = 1 + len(STRETCHES) + 3
@@ -402,10 +443,14 @@ def _measured_by_join(rows: DataFrame, cells: DataFrame) -> DataFrame:
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
                 part = batch.slice(i, 64)
-                out = []
+                found, sizes = [], []
                 for body, scored in zip(*(part.column(j).to_pylist() for j in (1, 2))):
                     by_word = {w["word"]: (w["ratio"], w["letters"]) for w in scored or ()}
-                    out.append(_numbers(normal_words(body or ""), by_word))
+                    words = normal_words(body or "")
+                    found += [by_word[w] for w in words]
+                    sizes.append(len(words))
+                ratios, letters = np.array(found, np.float64).reshape(-1, 2).T
+                out = _numbers(_units(ratios, letters.astype(np.int64)), sizes)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(out, pa.list_(pa.float64()))],
                     names=["row", "measures"])
@@ -449,8 +494,9 @@ def fitted(docs: DataFrame, labels: DataFrame, text="text", doc_id="doc_id",
     grams = materialise(grams.groupBy("gram").agg(*(F.sum(p).alias(p) for p in _PARTS)))
     n = rows.select("doc_id").count()
     if n > fit_rows:
+        # A share of 63 bits, so that the number holds at any n.
         rows = rows.where(
-            F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(fit_rows / n * 2**20))
+            F.shiftrightunsigned(F.xxhash64("doc_id"), 1) < int(fit_rows / n * 2**63))
     features, toxic = [], []
     for fold in range(FOLDS):
         fit = rows.where(F.col("fold") == fold).select(F.struct("toxic").alias("row"), "text")

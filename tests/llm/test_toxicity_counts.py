@@ -104,3 +104,40 @@ def test_the_table_tells_keys_from_unseen_ones():
     table = toxicity.Table(toxicity._hash("m", seen, 0), counts)
     assert (table.look("m", seen) == counts).all()
     assert not table.look("m", unseen).any() and not table.look("k", seen).any()
+
+
+def _plain_measures(scorer, text):
+    """Every word counts, whatever stands before it."""
+    words = toxicity.normal_words(text)
+    if not words:
+        return [0.0] * toxicity.N_MEASURES
+    ratios, letters = scorer._ratios(words)
+
+    def mean(i, n):
+        return sum(ratios[i:i + n]) / sum(letters[i:i + n])
+
+    telling = sum(r > toxicity.TELLING for r in ratios)
+    stretches = [max(mean(i, min(n, len(words))) for i in range(max(1, len(words) - n + 1)))
+                 for n in toxicity.STRETCHES]
+    return [mean(0, len(words)), *stretches, telling / len(words), math.log1p(telling),
+            math.log1p(len(words)) / 10]
+
+
+def test_measures_against_plain_python(tables):
+    docs, labels = tables
+    scorer = toxicity.Scorer(toxicity.fitted(docs, labels)[0])
+    texts = [r.text or "" for r in docs.limit(60).collect()]
+    texts += ["", " \t -- ...", "so so so so so, so", "one", "(one) 'one' -- one_", "a b " * 40 + "c"]
+    got = np.array(scorer.measures(texts))
+    assert np.abs(got - [_plain_measures(scorer, t) for t in texts]).max() < 1e-5
+    assert [scorer.measures([t])[0] for t in texts] == got.tolist()
+
+
+def test_few_words_in_the_cache_change_nothing(tables, monkeypatch):
+    docs, labels = tables
+    counts = toxicity.fitted(docs, labels)[0]
+    texts = [r.text or "" for r in docs.limit(40).collect()]
+    wanted = toxicity.Scorer(counts).measures(texts)
+    monkeypatch.setattr(toxicity, "CACHE", 50)
+    scorer = toxicity.Scorer(counts)
+    assert [m for t in texts for m in scorer.measures([t])] == wanted
