@@ -48,6 +48,8 @@ ROUNDS = 2
 #: Shingles with more rows than this are worked off block by block, not pair by pair.
 DENSE = 64
 BUCKET_ENTRIES = 500_000
+#: Rows of entries handed on at once.
+STEP = 1 << 16
 #: Ids of documents that may have partners are sent to all tasks up to this many.
 SMALL_IDS = 2_000_000
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
@@ -171,17 +173,18 @@ def _posted(n_buckets, width):
 
 
 def _repeated(batches):
-    """Entries sorted by bucket -> those whose shingle another row has, by document."""
+    """Entries sorted by bucket -> those whose shingle another row has, one row each, so
+    that their number follows the entries and not the number of buckets."""
     held, current = [], None
     for batch in batches:
         for row in batch.to_pylist():
             if row["bucket"] != current:
                 if held:
-                    yield _of_bucket(held)
+                    yield from _of_bucket(held)
                 held, current = [], row["bucket"]
             held.append(row)
     if held:
-        yield _of_bucket(held)
+        yield from _of_bucket(held)
 
 
 def _of_bucket(held):
@@ -195,16 +198,11 @@ def _of_bucket(held):
     runs = np.diff(np.append(first, len(fps)))
     df = np.repeat(runs, runs)
     kept = np.flatnonzero(df > 1)
-    kept = kept[np.argsort(docs[kept], kind="stable")]
-    fps, docs, df = fps[kept], docs[kept], df[kept]
-    who, begins = np.unique(docs, return_index=True)
-    ends = np.append(begins[1:], len(docs))
-    return pa.RecordBatch.from_arrays([
-        pa.array(who.astype(np.int64)),
-        pa.array([fps[a:b].astype(np.int64) for a, b in zip(begins, ends)],
-                 pa.list_(pa.int64())),
-        pa.array([df[a:b].astype(np.int32) for a, b in zip(begins, ends)], pa.list_(pa.int32())),
-    ], names=["doc", "fps", "df"])
+    for i in range(0, len(kept), STEP):
+        some = kept[i:i + STEP]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(docs[some]), pa.array(fps[some].astype(np.int64)),
+             pa.array(df[some].astype(np.int32))], names=["doc", "fp", "df"])
 
 
 def _first_screen(n, share):
@@ -219,13 +217,15 @@ def _whole_row(n, share):
 
 
 def _meeting(share, bounds):
-    """(n, entries of a document) -> the shingles at which it meets others."""
+    """(doc, n, its entries) -> the shingles at which it meets others."""
     def pick(batches):
         for batch in batches:
             docs, out = batch.column(0).to_pylist(), []
-            for n, fps, df in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                fps = np.array([f for part in fps for f in part], np.int64)
-                df = np.array([f for part in df for f in part], np.int32)
+            met, cuts = batch.column(2), batch.column(2).offsets.to_numpy()
+            all_fps, all_df = (met.values.field(k).to_numpy() for k in ("fp", "df"))
+            for i, n in enumerate(batch.column(1).to_pylist()):
+                own = slice(cuts[i], cuts[i + 1])
+                fps, df = all_fps[own], all_df[own]
                 wanted, size = bounds(n, share)
                 most = wanted - (size - len(fps))  # those of no other row come first
                 out.append(fps[np.lexsort((fps, df))[:max(0, most)]])
@@ -396,10 +396,9 @@ def _met(rows: DataFrame, sizes: DataFrame, width, share, bounds) -> DataFrame:
     posted = rows.mapInArrow(
         _posted(n_buckets, width), "bucket int, fps binary, docs binary, counts binary")
     repeated = posted.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
-        _repeated, "doc long, fps array<bigint>, df array<int>")
-    gathered = repeated.groupBy("doc").agg(
-        F.collect_list("fps").alias("fps"), F.collect_list("df").alias("df"))
-    return gathered.join(sizes, "doc").select("doc", "n", "fps", "df").mapInArrow(
+        _repeated, "doc long, fp long, df int")
+    gathered = repeated.groupBy("doc").agg(F.collect_list(F.struct("fp", "df")).alias("met"))
+    return gathered.join(sizes, "doc").select("doc", "n", "met").mapInArrow(
         _meeting(share, bounds), "doc long, n long, fps array<bigint>").where("size(fps) > 0")
 
 
