@@ -19,6 +19,7 @@ from envstream import schemas as S
 from envstream.operators import catalogue as cat
 from envstream.operators.clean import last_per_key
 from envstream.operators.encode import MAX_ENTRIES, span_of
+from envstream.operators.metrics import SCORE_PARTS, metrics_of_parts
 from envstream.operators.parse import air_rows, weather_rows
 from envstream.operators.unify import unify
 from envstream.plans.landing import SPREAD, merge_answers, replay_messages
@@ -29,6 +30,7 @@ from envstream.sinks.outputs import (
 from envstream.sources import files, split_documents
 from envstream.sources.kafka import Topics, backfill_topics, read_topic
 from envstream.sources.tables import DatabaseStore, FolderStore
+from envstream.streaming.batch_parts import BatchParts
 from envstream.streaming.queries import LastInput, start_batches, stop_when_idle, unified_stream
 from envstream.streaming.table_writer import TableWriter
 from envstream.streaming.trainer import BatchTrainer
@@ -79,6 +81,7 @@ def _parser():
     train.add_argument("--metrics", required=True)
     train.add_argument("--delay", help="watermark, such as '2 hours'; default: keep all state")
     train.add_argument("--parts", type=int, default=1, help="spread hot keys over so many parts")
+    train.add_argument("--scores", help="folder for the parts of scores over the whole stream")
     train.add_argument("--verbose", action="store_true")
 
     for job in (replay, tables, train, backfill):
@@ -190,7 +193,11 @@ def tables(spark, args):
 
 def train(spark, args):
     rows = unified_stream(_messages(spark, args), args.air, args.weather, args.delay, args.parts)
-    _run(spark, rows, BatchTrainer(args.models, args.metrics, verbose=args.verbose), args)
+    trainer = BatchTrainer(args.models, args.metrics, verbose=args.verbose, scores=args.scores)
+    parts = BatchParts(args.scores, SCORE_PARTS).create(spark) if args.scores else None
+    _run(spark, rows, trainer, args)
+    if parts:
+        metrics_of_parts(parts.read(spark)).show()
 
 
 def main(arguments=None):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from envstream import schemas as S
 from envstream.plans import derived as D
 
+#: Delay of the bounded distincts.
+DELAY_SECONDS = 7200
 HOUR = "cast(epoch(date_trunc('hour', ts)) as bigint)"
 
 
@@ -174,6 +176,10 @@ ROUNDED = "round(rmse, 9) as rmse, round(mae, 9) as mae, round(accuracy, 9) as a
 
 _POLLUTANTS = _list(*S.POLLUTANTS)
 
+_CONFUSION = f"""{BOTH}, {PAIRS} select label,
+            cast(rounded_prediction as double) as predicted, count(*) as n_rows from pairs
+            where rounded_prediction in (select label from pairs) group by 1, 2"""
+
 _UNIFIED = f"{BOTH}, {JOINED} select {UNIFIED_COLUMNS} from joined"
 _FACT_AIR = (
     f"{BOTH}, {LOCATIONS} {_fact('air', S.AIR_MEASURES, 'air_pollution_data_id')}"
@@ -230,6 +236,14 @@ def oracle():
             from catalogue) where rn = 1""",
         "stream_dedup": f"{BOTH} select distinct {AIR_COLUMNS} from air",
         "stream_dedup_spread": f"{BOTH} select distinct {AIR_COLUMNS} from air",
+        "stream_dedup_digest": f"{BOTH} select distinct {AIR_COLUMNS} from air",
+        "state_after_replay": f"""{BOTH}, late as (
+              select distinct {AIR_COLUMNS} from air),
+            edge as (select max(measured_at) as newest from late)
+            select 'rows' as state, count(*) as n_rows from late, edge
+            where measured_at > newest - {DELAY_SECONDS}
+            union all select 'digests', count(*) from late, edge
+            where measured_at > newest - 2 * {DELAY_SECONDS}""",
         "stream_join": _UNIFIED,
         "stream_join_bounded": _UNIFIED,
         "stream_join_spread": _UNIFIED,
@@ -324,15 +338,17 @@ def oracle():
         "nonempty_locations": f"""select event_id as answer_no, {D.LOCATION} as location_name,
             {HOUR} as dt from events where event_type not in ('click', 'error')""",
         "scaled_features": _scaled(),
+        "scaled_from_history": _scaled(),
         "split_counts": f"""{BOTH}, {JOINED} select case when
               substr(md5(location_name || '|' || cast(measured_at as varchar)), 1, 4) < 'cccd'
               then 'train' else 'test' end as part, count(*) as n_rows from joined group by 1""",
         "prediction_pairs": f"{BOTH}, {PAIRS} select * from pairs",
         "regression_metrics": f"{BOTH}, {PAIRS} select {ROUNDED} from "
         f"(select {SCORES} from pairs)",
-        "confusion_matrix": f"""{BOTH}, {PAIRS} select label,
-            cast(rounded_prediction as double) as predicted, count(*) as n_rows from pairs
-            where rounded_prediction in (select label from pairs) group by 1, 2""",
+        "confusion_matrix": _CONFUSION,
+        "metrics_overall": f"{BOTH}, {PAIRS} select {ROUNDED} from "
+        f"(select {SCORES} from pairs)",
+        "confusion_overall": _CONFUSION,
         "metrics_row": f"{BOTH}, {PAIRS} select cast(3 as bigint) as batch_id, {ROUNDED} from "
         f"(select {SCORES} from pairs)",
     }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from envstream import schemas as S
 from envstream.functions import epoch_seconds, epoch_to_timestamp
 from envstream.operators import catalogue as cat
-from envstream.operators import clean, encode, keys, metrics, parse, unify
+from envstream.operators import clean, encode, keys, metrics, moments, parse, unify
 from envstream.plans import derived, model
 from envstream.plans.landing import replay_messages
 from envstream.plans.replay import replay_to_batches, replay_to_files
@@ -17,8 +17,10 @@ from envstream.session import materialise, shared_dir, streaming_session
 from envstream.sinks import outputs
 from envstream.sources import files, split_documents
 from envstream.sources.tables import AIR, LOCATIONS, WEATHER, FolderStore
+from envstream.streaming.batch_parts import BatchParts
 from envstream.streaming.last_values import LastValues, last_rows
 from envstream.streaming.queries import start_files, unified_stream
+from envstream.streaming.state import state_rows
 from envstream.streaming.table_writer import FACT_ID, TableWriter, read_ledger
 
 
@@ -135,6 +137,10 @@ def last_per_name(spark, sf_dir):
     return clean.last_per_key(rows, ["name"], ["index"])
 
 
+#: Delay of the bounded distincts.
+DELAY = "2 hours"
+
+
 # --- streams --------------------------------------------------------------------
 
 
@@ -157,6 +163,29 @@ def stream_dedup_spread(spark, sf_dir):
     return timed(replay_to_files(spark, messages, build, positions=True))
 
 
+def _dedup_within(dedup, spark, sf_dir, checkpoint=None):
+    messages = derived.feed(spark, sf_dir).where(F.col("topic") == derived.AIR_TOPIC)
+    return replay_to_files(
+        spark, messages, lambda m: dedup(parse.air_rows(m), S.TIME, DELAY), checkpoint=checkpoint)
+
+
+def stream_dedup_digest(spark, sf_dir):
+    return timed(_dedup_within(clean.dedup_digest, spark, sf_dir))
+
+
+def state_after_replay(spark, sf_dir):
+    """How many rows each bounded distinct still remembers when all is taken in: those
+    that a copy in time could still meet."""
+    found = None
+    for name, dedup in (("rows", clean.dedup_global), ("digests", clean.dedup_digest)):
+        checkpoint = shared_dir(spark, "state")
+        _dedup_within(dedup, spark, sf_dir, checkpoint)
+        kept = state_rows(spark, checkpoint).agg(
+            F.lit(name).alias("state"), F.count("*").alias("n_rows"))
+        found = kept if found is None else found.unionByName(kept)
+    return found
+
+
 def stream_join(spark, sf_dir, slices=4, **how):
     def build(messages):
         return unified_stream(messages, derived.AIR_TOPIC, derived.WEATHER_TOPIC, **how)
@@ -508,6 +537,25 @@ def scaled_features(spark, sf_dir):
     )
 
 
+def scaled_from_history(spark, sf_dir):
+    """All joined readings scaled by what the batches of a stream left by day."""
+    parts = BatchParts(shared_dir(spark, "moments"), moments.MOMENTS)
+
+    def build(messages):
+        return unified_stream(messages, derived.AIR_TOPIC, derived.WEATHER_TOPIC)
+
+    def keep(batch, batch_id):
+        for _ in range(2):  # a batch that is run again counts once
+            parts.write(moments.day_moments(batch), batch_id)
+
+    replay_to_batches(spark, derived.feed(spark, sf_dir), build, keep, slices=2)
+    known = moments.history(parts.read(spark))
+    scaled = timed(moments.scaled_by(_unified(spark, sf_dir), known))
+    return scaled.select(
+        *(F.round(c, 6).alias(c) if c.startswith("scaled_") else c for c in scaled.columns)
+    )
+
+
 def split_counts(spark, sf_dir):
     part = F.when(model.in_training(), "train").otherwise("test").alias("part")
     return _unified(spark, sf_dir).groupBy(part).agg(F.count("*").alias("n_rows"))
@@ -538,13 +586,37 @@ def rf_checks(spark, sf_dir):
     )
 
 
-def _pairs(spark, sf_dir):
-    """Pairs with a fixed prediction rule, so that SQL can follow."""
-    rows = air(spark, sf_dir)
+def _guessed(rows):
     guess = F.least(F.lit(5.0), F.lit(1.0) + F.col("co") / F.lit(100.0))
     return metrics.prediction_pairs(rows.withColumn("prediction", guess))
 
 
+def _pairs(spark, sf_dir):
+    """Pairs with a fixed prediction rule, so that SQL can follow."""
+    return _guessed(air(spark, sf_dir))
+
+
+def _score_history(spark, sf_dir):
+    """Score parts of a stream whose every batch is run twice."""
+    parts = BatchParts(shared_dir(spark, "scores"), metrics.SCORE_PARTS)
+    messages = derived.feed(spark, sf_dir).where(F.col("topic") == derived.AIR_TOPIC)
+
+    def keep(batch, batch_id):
+        for _ in range(2):
+            parts.write(metrics.score_parts(batch), batch_id)
+
+    replay_to_batches(spark, messages, lambda m: _guessed(parse.air_rows(m)), keep)
+    return parts.read(spark)
+
+
+def metrics_overall(spark, sf_dir):
+    return _rounded(metrics.metrics_of_parts(_score_history(spark, sf_dir)))
+
+
+def confusion_overall(spark, sf_dir):
+    return metrics.cells_of_parts(_score_history(spark, sf_dir))
+
+
 def prediction_pairs(spark, sf_dir):
     return _pairs(spark, sf_dir)
 
@@ -570,16 +642,18 @@ def metrics_row(spark, sf_dir):
 QUERIES = (
     parse_air, parse_weather, flatten_air, flatten_weather, first_description, epoch_to_ts,
     rejected_messages, drop_nulls, batch_distinct, unified, label_categories,
-    label_category_count, first_per_key, last_per_name, stream_dedup, stream_dedup_spread, stream_join,
+    label_category_count, first_per_key, last_per_name, stream_dedup, stream_dedup_spread,
+    stream_dedup_digest, state_after_replay, stream_join,
     stream_join_bounded, stream_join_spread, stream_join_replayed, stream_facts,
     stream_weather_facts, stream_locations, stream_last_per_key, ledger_after_crash, dim_locations, scan_locations,
     fact_air, fact_weather, facts_ordered, fk_orphans, insert_if_absent, regroup_air,
     regroup_weather, key_union, timestamp_count, first_n_timestamps, align_topics,
     encode_roundtrip, encode_roundtrip_air, scan_map_json, scan_map_document,
     scan_array_document, scan_name_line, scan_catalogue, name_list, catalogue_by_country,
-    catalogue_semi, locations, fetch_plan, nonempty_locations, scaled_features, split_counts,
+    catalogue_semi, locations, fetch_plan, nonempty_locations, scaled_features,
+    scaled_from_history, split_counts,
     rf_predictions, rf_metrics, rf_checks, prediction_pairs, regression_metrics, confusion_matrix,
-    metrics_row,
+    metrics_row, metrics_overall, confusion_overall,
 )
 
 

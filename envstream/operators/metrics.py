@@ -30,6 +30,41 @@ def regression_metrics(pairs: DataFrame) -> DataFrame:
     )
 
 
+SCORE_PARTS = ("label double, predicted double, n_rows long, squares double, "
+               "distances double")
+
+
+def score_parts(pairs: DataFrame) -> DataFrame:
+    """What later scores need of some pairs: rows and error sums of every cell (label,
+    predicted class). Sums of several batches add up."""
+    error = F.col("prediction") - F.col("label")
+    return pairs.groupBy(
+        "label", F.col("rounded_prediction").cast("double").alias("predicted")
+    ).agg(
+        F.count("*").alias("n_rows"), F.sum(error * error).alias("squares"),
+        F.sum(F.abs(error)).alias("distances"),
+    )
+
+
+def metrics_of_parts(parts: DataFrame) -> DataFrame:
+    """``regression_metrics`` of all pairs that went into the parts. Pairs without
+    label or prediction have no error and do not count."""
+    known = parts.where("squares is not null")
+    n = F.sum("n_rows")
+    return known.agg(
+        F.sqrt(F.sum("squares") / n).alias("rmse"),
+        (F.sum("distances") / n).alias("mae"),
+        (F.sum(F.when(F.col("predicted") == F.col("label"), F.col("n_rows")).otherwise(0)) / n)
+        .alias("accuracy"),
+    )
+
+
+def cells_of_parts(parts: DataFrame) -> DataFrame:
+    """``confusion_counts`` of all pairs that went into the parts; a class counts as a
+    label wherever in the history it was one."""
+    return _known_cells(parts.groupBy("label", "predicted").agg(F.sum("n_rows").alias("n_rows")))
+
+
 def confusion_counts(pairs: DataFrame) -> DataFrame:
     """Rows per (label, predicted class), for classes that occur as labels.
 
@@ -41,6 +76,10 @@ def confusion_counts(pairs: DataFrame) -> DataFrame:
     cells = pairs.groupBy(
         "label", F.col("rounded_prediction").cast("double").alias("predicted")
     ).agg(F.count("*").alias("n_rows"))
+    return _known_cells(cells)
+
+
+def _known_cells(cells: DataFrame) -> DataFrame:
     places = F.array(
         F.struct(F.col("predicted").alias("class"), F.lit(False).alias("is_label")),
         F.struct(F.col("label").alias("class"), F.lit(True).alias("is_label")),

@@ -36,9 +36,9 @@ def drain_in_slices(spark: SparkSession, messages: DataFrame, start, slices=4,
 
 
 def replay_to_files(spark: SparkSession, messages: DataFrame, build, slices=4,
-                    positions=False) -> DataFrame:
+                    positions=False, checkpoint=None) -> DataFrame:
     """Rows of the streaming frame ``build(messages)`` after the whole replay."""
-    out, checkpoint = shared_dir(spark, "rows"), shared_dir(spark, "state")
+    out, checkpoint = shared_dir(spark, "rows"), checkpoint or shared_dir(spark, "state")
     drain_in_slices(
         spark, messages,
         lambda stream: start_files(build(stream), out, checkpoint, drain=True), slices,

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 
 from envstream import schemas as S
 from envstream.operators.clean import categories
-from envstream.operators.metrics import confusion_counts
+from envstream.operators.metrics import SCORE_PARTS, confusion_counts, score_parts
 from envstream.plans.model import SEED, fit_and_score, metrics_for
 from envstream.sinks.outputs import show_batch, write_metrics, write_model
+from envstream.streaming.batch_parts import BatchParts
 
 
 @dataclass(frozen=True)
@@ -19,7 +20,8 @@ class BatchTrainer:
     """Fits from zero on each batch of complete readings.
 
     A batch whose training or test part is empty is skipped. Model and metrics
-    are stored under the batch id, so a repeated batch replaces its own.
+    are stored under the batch id, so a repeated batch replaces its own. ``scores``
+    names a folder for the parts that scores over the whole stream are made of.
     """
 
     models: str
@@ -27,6 +29,7 @@ class BatchTrainer:
     seed: int = SEED
     share: float = 0.8
     verbose: bool = False
+    scores: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -43,6 +46,8 @@ class BatchTrainer:
                 if self.verbose:
                     confusion_counts(pairs).show()
                 write_metrics(metrics_for(pairs, batch_id), self.metrics)
+                if self.scores:
+                    BatchParts(self.scores, SCORE_PARTS).write(score_parts(pairs), batch_id)
                 write_model(model, self.models, batch_id)
             finally:
                 pairs.unpersist()

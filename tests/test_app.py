@@ -62,8 +62,10 @@ def test_replay_of_the_first_times(spark, raw_files):
 def test_replay_then_train(spark, raw_files):
     replay(raw_files)
     app.main(["train", "--feed", f"{raw_files}/feed", "--models", f"{raw_files}/models", "--metrics",
-              f"{raw_files}/metrics", "--checkpoint", f"{raw_files}/state", "--delay", "2 hours", "--drain"])
+              f"{raw_files}/metrics", "--checkpoint", f"{raw_files}/state", "--delay", "2 hours", "--drain",
+              "--scores", f"{raw_files}/scores"])
     assert spark.read.parquet(f"{raw_files}/metrics").count() == 1
+    assert spark.read.parquet(f"{raw_files}/scores").count() > 0
     assert (raw_files / "models" / "0").exists()
 
 

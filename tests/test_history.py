@@ -1,0 +1,84 @@
+"""Parts of batches merged later: moments, scores; digests of rows; the state reader."""
+
+import math
+import statistics
+
+import pytest
+from helpers import counted
+from pyspark.sql import functions as F
+
+from envstream.operators import clean, metrics, moments
+from envstream.streaming.batch_parts import BatchParts
+
+READING = "datetime timestamp, a double, b double"
+
+
+def readings(spark, rows):
+    return spark.createDataFrame(rows, "s long, a double, b double").select(
+        F.timestamp_seconds("s").alias("datetime"), "a", "b")
+
+
+def values(n, base):
+    return [base + math.sin(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("base", [0.0, 1e9])
+def test_moments_of_days_and_batches_give_those_of_all(spark, tmp_path, base):
+    a = values(300, base)
+    rows = [(i * 3600, v, None if i % 3 else v / 7) for i, v in enumerate(a)] + [(None, base, None)]
+    parts = BatchParts(str(tmp_path / "moments"), moments.MOMENTS)
+    for number in (0, 1, 2, 1):
+        some = readings(spark, rows[number::3])
+        parts.write(moments.day_moments(some, ["a", "b"], "datetime"), number)
+    found = {r["feature"]: r for r in moments.history(parts.read(spark)).collect()}
+    a = [r[1] for r in rows]
+    b = [r[2] for r in rows if r[2] is not None]
+    for name, expected in (("a", a), ("b", b)):
+        assert found[name]["n"] == len(expected)
+        assert found[name]["mean"] == pytest.approx(statistics.fmean(expected), rel=1e-12)
+        assert found[name]["deviation"] == pytest.approx(statistics.stdev(expected), rel=1e-6)
+
+
+def test_moments_of_nothing_and_of_one_value(spark):
+    assert moments.history(moments.day_moments(
+        readings(spark, []), ["a", "b"], "datetime")).count() == 0
+    known = moments.history(moments.day_moments(
+        readings(spark, [(0, 5.0, None)]), ["a", "b"], "datetime"))
+    assert [(r["feature"], r["n"], r["mean"], r["deviation"]) for r in known.collect()] == [
+        ("a", 1, 5.0, None)]
+
+
+def pairs(spark, *rows):
+    frame = spark.createDataFrame(list(rows), "p double, air_quality_index double")
+    return metrics.prediction_pairs(frame, "p", "air_quality_index")
+
+
+def test_scores_of_parts_are_those_of_all_pairs(spark, tmp_path):
+    batches = [pairs(spark, (1.2, 1.0), (2.9, 2.0), (5.5, 2.0), (None, 1.0)),
+               pairs(spark, (3.1, 5.0), (1.0, None)), pairs(spark)]
+    parts = BatchParts(str(tmp_path / "scores"), metrics.SCORE_PARTS)
+    for number in (0, 1, 2, 0, 1):
+        parts.write(metrics.score_parts(batches[number]), number)
+    whole = batches[0].unionByName(batches[1])
+    known = whole.where("prediction is not null and label is not null")
+    got = metrics.metrics_of_parts(parts.read(spark)).first()
+    expected = metrics.regression_metrics(known).first()
+    assert tuple(got) == pytest.approx(tuple(expected))
+    assert counted(metrics.cells_of_parts(parts.read(spark))) == counted(
+        metrics.confusion_counts(whole))
+
+
+def test_digests_tell_rows_apart_as_a_distinct_does(spark):
+    shape = "t timestamp, a string, b string, v double"
+    rows = spark.createDataFrame(
+        [(None, "x", None, 0.0), (None, None, "x", 0.0), (None, "x", None, -0.0),
+         (None, "x", "", 0.0), (None, 'x","b":"', None, 0.0), (None, "NaN", None, float("nan")),
+         (None, "NaN", None, float("nan")), (None, "x", None, None)], shape)
+    # Times that differ by a millionth of a second.
+    near = spark.range(1, 3).select(
+        F.timestamp_micros("id").alias("t"), F.lit("x").alias("a"),
+        F.lit(None).cast("string").alias("b"), F.lit(0.0).alias("v"))
+    rows = rows.unionByName(near)
+    digests = rows.select(clean.row_digest(rows.dtypes).alias("d"))
+    assert digests.distinct().count() == rows.distinct().count() == 8
+    assert digests.select(F.max(F.length("d"))).first()[0] == 16

@@ -8,6 +8,7 @@ from envstream import schemas as S
 from envstream.operators import metrics, parse, unify
 from envstream.plans import derived, model
 from envstream.sinks import outputs
+from envstream.streaming.batch_parts import BatchParts
 from envstream.streaming.trainer import BatchTrainer
 from helpers import counted
 
@@ -80,13 +81,20 @@ def test_constant_column_scales_to_zero(readings):
 
 
 def test_trainer_keeps_one_model_and_row_per_batch(spark, readings, tmp_path):
-    train = BatchTrainer(str(tmp_path / "models"), str(tmp_path / "metrics"))
+    scores = str(tmp_path / "scores")
+    train = BatchTrainer(str(tmp_path / "models"), str(tmp_path / "metrics"), scores=scores)
     train(readings, 0)
+    only = metrics.metrics_of_parts(BatchParts(scores, metrics.SCORE_PARTS).read(spark)).first()
+    assert tuple(only) == pytest.approx(tuple(outputs.read_metrics(spark, train.metrics).first()[1:]))
     train(readings.where("air_quality_index < 4"), 1)
+    parts = BatchParts(scores, metrics.SCORE_PARTS).read(spark)
+    whole = tuple(metrics.metrics_of_parts(parts).first())
     first = counted(outputs.read_metrics(spark, train.metrics))
     assert [r[0] for r in first] == [0, 1]
     train(readings, 0)
     assert counted(outputs.read_metrics(spark, train.metrics)) == first
+    again = BatchParts(scores, metrics.SCORE_PARTS).read(spark)
+    assert tuple(metrics.metrics_of_parts(again).first()) == pytest.approx(whole)
     loaded = PipelineModel.load(f"{train.models}/1")
     assert "prediction" in loaded.transform(readings).columns
 
