@@ -32,7 +32,7 @@ def _ranked(keys):
 def _ahead(ranks, by):
     """Ranks of the suffixes ``by`` words on; 0 behind the end."""
     out = np.zeros_like(ranks)
-    out[:len(ranks) - by] = ranks[by:] + 1
+    out[:max(0, len(ranks) - by)] = ranks[by:] + 1
     return out
 
 

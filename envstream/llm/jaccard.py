@@ -466,7 +466,8 @@ def clusters(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE, size=SI
 
 def first_of_each(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE,
                   size=SIZE) -> DataFrame:
-    """The rows whose id is the smallest of its component; equal rows once."""
+    """The rows whose id is the smallest of its component; equal rows once. Rows without
+    an id cannot be told apart by it and stay, near copies among them too."""
     found = clusters(docs, text, doc_id, share, size).where(
         "doc_id is not null and doc_id <> coalesce(component_id, doc_id - 1)")
     dropped = materialise(found.select(F.col("doc_id").alias("_dropped")).distinct())
