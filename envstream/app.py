@@ -75,6 +75,8 @@ def _parser():
     tables.add_argument("--ledger")
     tables.add_argument("--rejected")
     tables.add_argument("--fill-nulls", action="store_true")
+    tables.add_argument("--keyed", action="store_true",
+                        help="keys of locations from their names, for several writers")
 
     train = jobs.add_parser("train")
     train.add_argument("--models", required=True)
@@ -180,7 +182,7 @@ def _store(spark, args):
     if args.jdbc_url:
         options = dict(pair.split("=", 1) for pair in args.jdbc_option)
         return DatabaseStore(spark, args.jdbc_url, options)
-    return FolderStore(spark, args.root, args.fill_nulls).create()
+    return FolderStore(spark, args.root, args.fill_nulls, args.keyed).create()
 
 
 def tables(spark, args):
@@ -206,6 +208,8 @@ def main(arguments=None):
         raise SystemExit("name either --servers or --feed")
     if args.job == "tables" and bool(args.root) == bool(args.jdbc_url):
         raise SystemExit("name either --root or --jdbc-url")
+    if args.job == "tables" and args.jdbc_url and args.keyed:
+        raise SystemExit("--keyed is for folders")
     spark = build_session(f"envstream-{args.job}", args.partitions)
     if args.job in ("tables", "train"):
         spark = streaming_session(spark, args.partitions)

@@ -111,6 +111,18 @@ of_{source} as (
 """
 
 
+def _ids_by_place(source):
+    # 2^34 seconds per location, counted from 2^33 seconds before 1970.
+    return f"""
+ids_of_{source} as (
+  select location_id, count(*) as {source}_facts, cast(min(
+      cast(location_id as hugeint) * 17179869184 + measured_at + 8589934592) as varchar)
+      as first_{source}_id
+  from (select distinct location_name, measured_at from {source})
+    join places using (location_name) group by location_id)
+"""
+
+
 def _regrouped(source):
     return f"""
     ranked as (
@@ -255,6 +267,17 @@ def oracle():
             substr(md5(location_name || '|' || cast(measured_at as varchar)), 1, 4) >= 'cccd'""",
         "stream_facts": f"{BOTH} select location_name, measured_at, {_list(*S.AIR_MEASURES)} "
         f"from ({_first('air', S.AIR_MEASURES)})",
+        "stream_two_writers": f"""{BOTH},
+            places as (
+              select location_name, cast('0x' || substr(md5(location_name), 1, 15) as bigint)
+                as location_id
+              from (select location_name from air union select location_name from weather)
+              where location_name is not null),
+            {_ids_by_place("air")}, {_ids_by_place("weather")}
+            select location_id, location_name, coalesce(air_facts, 0) as air_facts,
+              first_air_id, coalesce(weather_facts, 0) as weather_facts, first_weather_id
+            from places left join ids_of_air using (location_id)
+              left join ids_of_weather using (location_id)""",
         "stream_locations": f"""{BOTH}, {_slices()}
             select location_name, min(longitude) as longitude, min(latitude) as latitude
             from entered where slice_no = first_slice group by location_name""",

@@ -271,6 +271,26 @@ def stream_weather_facts(spark, sf_dir):
     return timed(named, "location_name", S.TIME, *S.WEATHER_MEASURES)
 
 
+def stream_two_writers(spark, sf_dir):
+    """Keys and facts where each topic has a writer of its own on the same tables."""
+    store = FolderStore(spark, shared_dir(spark, "tables"), keyed=True).create()
+    of_air = TableWriter(store, derived.AIR_TOPIC, "", "air")
+    of_weather = TableWriter(store, "", derived.WEATHER_TOPIC, "weather")
+
+    def handle(batch, batch_id):
+        of_weather(batch, batch_id)
+        of_air(batch, batch_id)
+
+    replay_to_batches(spark, derived.feed(spark, sf_dir), lambda m: m, handle)
+    found = store.read(LOCATIONS).select("location_id", "location_name")
+    for name, label in ((AIR, "air"), (WEATHER, "weather")):
+        facts = store.read(name).groupBy("location_id").agg(
+            F.count("*").alias(f"{label}_facts"),
+            F.min(FACT_ID[name]).cast("string").alias(f"first_{label}_id"))
+        found = found.join(facts, "location_id", "left").fillna(0, [f"{label}_facts"])
+    return found
+
+
 def stream_locations(spark, sf_dir):
     located = _streamed_tables(spark, sf_dir).read(LOCATIONS)
     return located.select("location_name", "longitude", "latitude")
@@ -645,7 +665,7 @@ QUERIES = (
     label_category_count, first_per_key, last_per_name, stream_dedup, stream_dedup_spread,
     stream_dedup_digest, state_after_replay, stream_join,
     stream_join_bounded, stream_join_spread, stream_join_replayed, stream_facts,
-    stream_weather_facts, stream_locations, stream_last_per_key, ledger_after_crash, dim_locations, scan_locations,
+    stream_weather_facts, stream_two_writers, stream_locations, stream_last_per_key, ledger_after_crash, dim_locations, scan_locations,
     fact_air, fact_weather, facts_ordered, fk_orphans, insert_if_absent, regroup_air,
     regroup_weather, key_union, timestamp_count, first_n_timestamps, align_topics,
     encode_roundtrip, encode_roundtrip_air, scan_map_json, scan_map_document,

@@ -61,6 +61,28 @@ def md5_bucket(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 3), 16, 10).cast("int")
 
 
+def name_key(name) -> Column:
+    """A location's key worked out from its name alone: 60 bits of its md5.
+
+    Writers that know nothing of each other give one name one key. Among N names two
+    share a key with a chance of about N * N / 2^61; who writes them finds out.
+    """
+    return F.conv(F.substring(F.md5(F.col(name)), 1, 15), 16, 10).cast("bigint")
+
+
+def name_part(key) -> Column:
+    """0..255 from the first bits of a name's key."""
+    return F.shiftright(F.col(key), 52).cast("int")
+
+
+def wide_fact_id(location_id, timestamp) -> Column:
+    """The row key of a fact whose location has a ``name_key``: both side by side in
+    one decimal, as 64 bits cannot hold them."""
+    place = F.col(location_id).cast("decimal(19,0)")
+    second = (F.unix_seconds(timestamp) + F.lit(_TIME_OFFSET)).cast("decimal(11,0)")
+    return (place * F.lit(1 << _TIME_BITS).cast("decimal(11,0)") + second).cast("decimal(32,0)")
+
+
 def fits_fact_id(timestamp) -> Column:
     """True for the times that a fact key can hold."""
     return F.unix_seconds(timestamp).between(-_TIME_OFFSET, _TIME_OFFSET - 1)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from envstream import schemas as S
-from envstream.functions import md5_bucket, packed_fact_id, text_digest
+from envstream.functions import md5_bucket, name_key, packed_fact_id, text_digest, wide_fact_id
 from envstream.operators.clean import first_per_key
 
 
@@ -83,6 +83,21 @@ def fact_rows(readings: DataFrame, locations: DataFrame, measures, id_column) ->
     )
 
 
+def keyed_fact_rows(readings: DataFrame, measures, id_column) -> DataFrame:
+    """The same where a location's key stems from its name: no look at the dimension."""
+    keyed = readings.withColumn("location_id", name_key("location_name"))
+    return keyed.select(
+        wide_fact_id("location_id", S.TIME).alias(id_column), "location_id", *measures, S.TIME
+    )
+
+
+def clashing(locations: DataFrame) -> DataFrame:
+    """Keys that stand for more than one name, with these."""
+    names = locations.groupBy("location_id").agg(
+        F.min("location_name").alias("one"), F.max("location_name").alias("other"))
+    return names.where("one <> other")
+
+
 def orphans(facts: DataFrame, locations: DataFrame) -> DataFrame:
     """Facts that point to no location; empty if the tables are sound."""
     return facts.join(locations.select("location_id"), "location_id", "left_anti")

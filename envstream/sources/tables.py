@@ -13,11 +13,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from envstream import schemas as S
+from envstream.functions import name_part
 from envstream.session import materialise
 
 LOCATIONS, AIR, WEATHER = "Locations", "AirPollutionData", "WeatherData"
 SHAPES = {LOCATIONS: S.LOCATIONS_TABLE, AIR: S.AIR_TABLE, WEATHER: S.WEATHER_TABLE}
 DAY = "measurement_date"
+#: Part of the dimension's folder, where keys stem from names.
+NAME_PART = "name_part"
 #: The batch that wrote a row; readers of the tables do not see it.
 TAG = "written_by"
 
@@ -37,11 +40,23 @@ class FolderStore:
 
     With ``fill_nulls`` a location first seen without coordinates gets them
     later, as a further row; ``read`` merges such rows whoever wrote them.
+
+    With ``keyed`` a location's key is a function of its name, so several writers may
+    add locations at the same time, each without a look at the highest key; equal
+    rows of two writers are merged on read as well. The dimension lies in 256 parts
+    by key, of which a batch reads those it touches; facts take the key from the
+    name. Their own keys are decimals then. Tables made one way stay that way.
     """
 
     spark: SparkSession
     root: str
     fill_nulls: bool = False
+    keyed: bool = False
+
+    def shape(self, name: str) -> str:
+        if self.keyed and name != LOCATIONS:
+            return SHAPES[name].replace("_data_id bigint", "_data_id decimal(32,0)", 1)
+        return SHAPES[name]
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -52,15 +67,26 @@ class FolderStore:
 
     def create(self) -> FolderStore:
         """Make the folders; what is there already stays."""
-        for name, shape in SHAPES.items():
-            empty = self.spark.createDataFrame([], shape)
+        for name in SHAPES:
+            empty = self.spark.createDataFrame([], self.shape(name))
             empty.write.mode("ignore").parquet(self.path(name))
         return self
 
     def read(self, name: str) -> DataFrame:
         if name != LOCATIONS:
             return self._facts(name).drop(DAY)
-        rows = self.spark.read.schema(SHAPES[name]).parquet(self.path(name))
+        return self._merged(self._locations())
+
+    def _locations(self) -> DataFrame:
+        shape = self.shape(LOCATIONS) + (f", {NAME_PART} int" if self.keyed else "")
+        return self.spark.read.schema(shape).parquet(self.path(LOCATIONS))
+
+    def locations_near(self, rows: DataFrame) -> DataFrame:
+        """The locations in the parts of the dimension that the keys of ``rows`` lie in."""
+        touched = [r[0] for r in rows.select(name_part("location_id")).distinct().collect()]
+        return self._merged(self._locations().where(F.col(NAME_PART).isin(touched)))
+
+    def _merged(self, rows: DataFrame) -> DataFrame:
         at = F.min(F.when(is_placed(), F.struct("longitude", "latitude")))
         return (
             rows.groupBy("location_id", "location_name")
@@ -69,7 +95,7 @@ class FolderStore:
         )
 
     def _facts(self, name):
-        return self.spark.read.schema(f"{SHAPES[name]}, {DAY} date").parquet(self.path(name))
+        return self.spark.read.schema(f"{self.shape(name)}, {DAY} date").parquet(self.path(name))
 
     def _days_of(self, rows: DataFrame) -> Column:
         """The days that ``rows`` touch, as a partition filter."""
@@ -94,7 +120,7 @@ class FolderStore:
     def written(self, name: str, tag: str, rows: DataFrame) -> int:
         """How many rows of the table bear the tag of a batch, whichever of its runs
         wrote them. Of facts only the days that ``rows`` touch are read."""
-        shape = f"{SHAPES[name]}, {TAG} string"
+        shape = f"{self.shape(name)}, {TAG} string"
         if name != LOCATIONS:
             shape += f", {DAY} date"
         table = self.spark.read.schema(shape).parquet(self.path(name))
@@ -110,10 +136,14 @@ class FolderStore:
         if name != LOCATIONS:
             # Even files: small days are merged, a day with very many rows is split.
             rows = rows.withColumn(DAY, utc_day(F.unix_seconds(S.TIME))).hint("rebalance", DAY)
+        elif self.keyed:
+            rows = rows.withColumn(NAME_PART, name_part("location_id")).hint("rebalance", NAME_PART)
         counted = Observation()
         writer = rows.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("append")
         if name != LOCATIONS:
             writer = writer.partitionBy(DAY)
+        elif self.keyed:
+            writer = writer.partitionBy(NAME_PART)
         writer.parquet(self.path(name))
         return counted.get["n"]
 
@@ -128,6 +158,7 @@ class DatabaseStore:
     writers: int = 8
     read_parts: int | None = None
     fill_nulls = False
+    keyed = False
 
     def tag(self, job: str, batch_id: int) -> None:
         """A database's tables have no place for one."""

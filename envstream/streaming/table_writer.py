@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from envstream import schemas as S
-from envstream.functions import fits_fact_id
+from envstream.functions import fits_fact_id, name_key
 from envstream.operators.clean import first_per_key
-from envstream.operators.keys import absent, batch_locations, fact_rows, number_rows
+from envstream.operators.keys import (
+    absent, batch_locations, clashing, fact_rows, keyed_fact_rows, number_rows,
+)
 from envstream.operators.parse import air_rows, rejects, weather_rows
 from envstream.session import materialise
 from envstream.sources.tables import AIR, LOCATIONS, WEATHER, DatabaseStore, FolderStore, is_placed
@@ -40,17 +42,32 @@ def unkept(readings: DataFrame) -> DataFrame:
 
 
 def add_locations(store, air: DataFrame, weather: DataFrame, tag=None) -> int:
-    """Insert names not yet known; returns their number."""
-    known = store.read(LOCATIONS)
+    """Insert names not yet known; returns their number. Keys that stem from names are
+    looked at once they are written: where another name has one, by whatever writer,
+    the batch ends in an error before it writes a fact."""
     named = batch_locations(air, weather)
+    if store.keyed:
+        named = materialise(named.withColumn("location_id", name_key("location_name")))
+        if named.isEmpty():
+            return 0
+        known = store.locations_near(named)
+    else:
+        known = store.read(LOCATIONS)
     columns = ["location_id", "location_name", "longitude", "latitude"]
     if store.fill_nulls:
         bare = known.where(~is_placed()).select("location_id", "location_name")
-        completed = bare.join(named.where(is_placed()), "location_name").select(*columns)
+        placed = named.where(is_placed()).drop("location_id")
+        completed = bare.join(placed, "location_name").select(*columns)
         completed = materialise(completed)
         if not completed.isEmpty():
             store.append(LOCATIONS, completed)
     new = materialise(absent(known, named, ["location_name"]))
+    if store.keyed:
+        added = 0 if new.isEmpty() else store.append(LOCATIONS, new.select(*columns), tag)
+        twice = clashing(store.locations_near(named)).take(10)
+        if twice:
+            raise ValueError(f"one key for different locations: {[tuple(r) for r in twice]}")
+        return added
     if new.isEmpty():
         return 0
     start = known.agg(F.max("location_id")).first()[0] or 0
@@ -63,7 +80,10 @@ def add_facts(store, name: str, readings: DataFrame, tag=None) -> int:
     """Insert readings whose (location, time) is not in the table; returns their number."""
     keyed = readings.dropna(subset=list(S.JOIN_KEYS)).where(fits_fact_id(S.TIME))
     first = first_per_key(keyed, S.JOIN_KEYS, MEASURES[name])
-    rows = fact_rows(first, store.read(LOCATIONS), MEASURES[name], FACT_ID[name])
+    if store.keyed:
+        rows = keyed_fact_rows(first, MEASURES[name], FACT_ID[name])
+    else:
+        rows = fact_rows(first, store.read(LOCATIONS), MEASURES[name], FACT_ID[name])
     new = absent(store.keys_near(name, keyed), rows, ["location_id", S.TIME])
     return store.append(name, new, tag)
 
@@ -74,7 +94,8 @@ class TableWriter:
 
     Every step inserts only what is absent, so a batch that Spark runs again
     after a failure completes what the first run left undone. One query serves
-    both topics, so the dimension has a single writer and needs no lock.
+    both topics, so the dimension has a single writer and needs no lock; a ``keyed``
+    store takes several writers, as long as no two write facts of one topic.
     """
 
     store: FolderStore | DatabaseStore
