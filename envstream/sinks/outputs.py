@@ -6,7 +6,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from envstream import schemas as S
 from envstream.operators.encode import MAX_ENTRIES, regroup
-from envstream.session import shared_dir
+from envstream.session import materialise, shared_dir
 
 
 def in_stretches(messages: DataFrame, seconds=3600, key="dt"):
@@ -70,21 +70,22 @@ def write_lines(lines: DataFrame, path: str) -> None:
 def write_document(parts: DataFrame, path: str, order, opening="", closing=None, comma=",",
                    line_end="\n") -> None:
     """``value`` of all rows as ONE file with one document, in ``order``: the form a
-    producer outside leaves. One task writes it, which a single file makes needful."""
-    order = list(order)
-    first = parts.agg(F.min(F.struct(*order)).alias("first")).first()["first"]
-    is_first = F.lit(True)
-    for column in order:
-        is_first = is_first & F.col(column).eqNullSafe(F.lit(first and first[column]))
-    lead = F.when(is_first, F.lit(opening)).otherwise(F.lit(comma))
-    places = [F.col(column).alias(f"_{i}") for i, column in enumerate(order)]
-    rows = parts.select(F.lit(0).alias("_end"), *places, F.concat(lead, "value").alias("value"))
+    producer outside leaves. One task writes it, which a single file makes needful; the
+    rows are sorted by many tasks before, and the one that writes holds a row at a time."""
+    order = [F.col(column).alias(f"_{i}") for i, column in enumerate(order)]
+    rows = parts.select(F.lit(0).alias("_end"), *order, "value")
     if closing is not None:
-        end = parts.sparkSession.range(1).select(F.lit(1).alias("_end"), F.lit(
-            closing if first is not None else opening + closing).alias("value"))
+        end = parts.sparkSession.range(1).select(F.lit(1).alias("_end"), F.lit(closing).alias("value"))
         rows = rows.unionByName(end, allowMissingColumns=True)
-    rows.repartition(1).sortWithinPartitions(
-        "_end", *(f"_{i}" for i in range(len(order)))).select("value").write.mode(
+    ordered = rows.orderBy("_end", *(f"_{i}" for i in range(len(order))))
+    placed = materialise(
+        ordered.select("_end", F.monotonically_increasing_id().alias("_place"), "value"))
+    first = placed.agg(F.min("_place")).first()[0]
+    begins = F.col("_place") == F.lit(first).cast("long")
+    lead = F.when(F.col("_end") == 1, F.when(begins, opening).otherwise("")).otherwise(
+        F.when(begins, opening).otherwise(comma))
+    # Joining partitions one after the other keeps their order.
+    placed.coalesce(1).select(F.concat(lead, "value").alias("value")).write.mode(
         "overwrite").option("lineSep", line_end).text(path)
 
 

@@ -27,6 +27,8 @@ from envstream.session import materialise
 
 _SPLIT_SETTINGS = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
 SPLIT = ["file", "split"]
+#: Text of one shuffle partition. Rows are short, so a sort holds some ten times that.
+PART_BYTES = 16 << 20
 
 
 @contextmanager
@@ -56,7 +58,19 @@ def fragments(spark: SparkSession, path: str, end: str, split_bytes=None) -> Dat
             F.monotonically_increasing_id().alias("place"), F.col("value").alias("text")))
 
 
-def added_before(rows: DataFrame, value: Column, name: str) -> DataFrame:
+def parts_for(rows: DataFrame, part_bytes=PART_BYTES) -> int:
+    """How many partitions keep the text of each near ``part_bytes``."""
+    return (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // part_bytes + 1
+
+
+def dealt(rows: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """Rows by ``keys`` in ``parts`` partitions, where the session's number is smaller; a
+    task's share then does not grow with the document."""
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows if parts <= usual else rows.repartition(parts, *keys)
+
+
+def added_before(rows: DataFrame, value: Column, name: str, parts=1) -> DataFrame:
     """``name``: the sum of ``value`` over all rows of the file before a row."""
     marked = materialise(rows.withColumn("_value", value))
     starts = marked.groupBy(*SPLIT).agg(F.sum("_value").alias("_sum"))
@@ -66,7 +80,8 @@ def added_before(rows: DataFrame, value: Column, name: str) -> DataFrame:
     starts = starts.select(*SPLIT, F.coalesce(F.sum("_sum").over(over_splits), F.lit(0)).alias("_start"))
     inside = Window.partitionBy(*SPLIT).orderBy("place").rowsBetween(
         Window.unboundedPreceding, -1)
-    summed = marked.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+    summed = dealt(marked, parts, *SPLIT).withColumn(
+        "_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
     return summed.join(starts, SPLIT).withColumn(
         name, F.col("_start") + F.col("_inside")).drop("_value", "_start", "_inside")
 
@@ -86,20 +101,21 @@ def entries(spark: SparkSession, path: str, depth: int, split_bytes=None) -> Dat
     document per file. ``depth`` braces are open around an entry: 1 in an object,
     0 in an array. The text begins after the sign that parts it from the one before."""
     rows = fragments(spark, path, "}", split_bytes)
+    parts = parts_for(rows)
     rows = rows.withColumn("bare", F.regexp_replace("text", r"\\.", ""))
     quotes = _number_of(F.col("bare"), '"')
-    rows = added_before(rows, quotes, "quotes_before")
+    rows = added_before(rows, quotes, "quotes_before", parts)
     started = F.col("quotes_before") % 2 == 1
     outside = _outside_strings(F.col("bare"), started)
     rows = rows.withColumn("in_string", (F.col("quotes_before") + quotes) % 2 == 1)
     # The brace after the fragment closes only outside a string.
     braces = _number_of(outside, "{") - F.when(F.col("in_string"), 0).otherwise(1)
     rows = rows.withColumn("braces", braces).drop("bare", "quotes_before")
-    rows = added_before(rows, F.col("braces"), "depth_before")
+    rows = added_before(rows, F.col("braces"), "depth_before", parts)
     ends = ~F.col("in_string") & (F.col("depth_before") + F.col("braces") == depth)
     rows = rows.withColumn("ends", ends)
-    rows = added_before(rows, F.col("ends").cast("long"), "entry_no")
-    joined = rows.groupBy("file", "entry_no").agg(
+    rows = added_before(rows, F.col("ends").cast("long"), "entry_no", parts)
+    joined = dealt(rows, parts, "file", "entry_no").groupBy("file", "entry_no").agg(
         F.bool_or("ends").alias("whole"),
         F.sort_array(F.collect_list(F.struct("split", "place", "text"))).alias("parts"))
     text = F.concat(F.array_join("parts.text", "}"), F.lit("}"))
@@ -140,14 +156,16 @@ def scan_name_line(spark: SparkSession, path: str, split_bytes=None) -> DataFram
     the name before, wherever the file was split. A comma that ends the file is no
     part of the last name."""
     rows = fragments(spark, path, ",", split_bytes)
-    rows = rows.withColumn("bare", F.replace("text", F.lit('"'), F.lit("")))
+    parts = parts_for(rows)
+    rows = dealt(rows, parts, *SPLIT).withColumn("bare", F.replace("text", F.lit('"'), F.lit("")))
     first = (F.col("split") == 0) & (F.col("place") == F.min("place").over(
         Window.partitionBy(*SPLIT)))
     rows = rows.withColumn("begins", F.col("bare").startswith(" ") & ~first)
-    rows = added_before(rows, F.col("begins").cast("long"), "names_before")
+    rows = added_before(rows, F.col("begins").cast("long"), "names_before", parts)
     item = F.col("names_before") + F.col("begins").cast("long")
     bare = F.when(F.col("begins"), F.expr("substring(bare, 2)")).otherwise(F.col("bare"))
-    return rows.groupBy("file", item.alias("item_no")).agg(
+    named = dealt(rows.withColumn("item_no", item), parts, "file", "item_no")
+    return named.groupBy("file", "item_no").agg(
         F.sort_array(F.collect_list(F.struct("split", "place", bare.alias("text")))).alias("parts")
     ).select(F.col("item_no").cast("int").alias("item_no"),
              F.array_join("parts.text", ",").alias("name"))

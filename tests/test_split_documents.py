@@ -4,9 +4,11 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from envstream import schemas as S
 from envstream.operators.catalogue import name_list
+from envstream.sinks import outputs
 from envstream.sources import files, split_documents
 
 ODD = ['plain', 'a}b', '{', '}}{{', 'quote " in', 'back \\', '\\" both }', 'comma, {"x": 1}', 'ä}ö', '']
@@ -77,3 +79,28 @@ def test_name_line_in_splits(spark, tmp_path, text):
     for size in (1, 4, None):
         made = split_documents.scan_name_line(spark, path, size).orderBy("item_no").collect()
         assert [tuple(r) for r in made] == expected
+
+
+@pytest.mark.parametrize("ids", [[(i * 7919) % 5000 for i in range(5000)] + [0, 0], []])
+def test_document_in_order_from_many_sorted_parts(spark, tmp_path, ids):
+    """Rows of one place stand side by side, and only the first row opens."""
+    rows = spark.createDataFrame([(i, f"[{i}]") for i in ids], "id long, value string")
+    path = tmp_path / "document"
+    outputs.write_document(rows.repartition(8), str(path), ["id"], "<", ">")
+    (file,) = path.glob("*.txt")
+    lines = [("," if n else "<") + f"[{i}]" for n, i in enumerate(sorted(ids))]
+    assert file.read_text().split("\n") == (lines + [">", ""] if ids else ["<>", ""])
+
+
+@pytest.mark.parametrize("n, parts", [(1, 1), (1000, 9)])
+def test_partitions_follow_the_document(spark, n, parts):
+    rows = spark.range(n).selectExpr("'f' as file", "id % 40 as split", "id as place",
+                                     "'0123456789' as text")
+    found = split_documents.parts_for(rows, 1200)
+    assert found == parts
+    spread = split_documents.added_before(rows, F.lit(1), "before", found)
+    assert {(r["split"], r["place"]): r["before"] for r in spread.collect()} == {
+        (i % 40, i): rank for rank, i in enumerate(sorted(range(n), key=lambda i: (i % 40, i)))}
+    dealt = split_documents.dealt(rows, found, "file", "split")
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert found <= usual or dealt.rdd.getNumPartitions() == found
