@@ -559,14 +559,24 @@ def scaled_features(spark, sf_dir):
 
 def scaled_from_history(spark, sf_dir):
     """All joined readings scaled by what the batches of a stream left by day."""
+def _write_twice(parts, part, batch_id):
+    """A batch that is run again counts once. Its part is kept in between: each look at a
+    batch goes through the state of the stream anew."""
+    part.persist()
+    try:
+        for _ in range(2):
+            parts.write(part, batch_id)
+    finally:
+        part.unpersist()
+
+
     parts = BatchParts(shared_dir(spark, "moments"), moments.MOMENTS)
 
     def build(messages):
         return unified_stream(messages, derived.AIR_TOPIC, derived.WEATHER_TOPIC)
 
     def keep(batch, batch_id):
-        for _ in range(2):  # a batch that is run again counts once
-            parts.write(moments.day_moments(batch), batch_id)
+        _write_twice(parts, moments.day_moments(batch), batch_id)
 
     replay_to_batches(spark, derived.feed(spark, sf_dir), build, keep, slices=2)
     known = moments.history(parts.read(spark))
@@ -622,8 +632,7 @@ def _score_history(spark, sf_dir):
     messages = derived.feed(spark, sf_dir).where(F.col("topic") == derived.AIR_TOPIC)
 
     def keep(batch, batch_id):
-        for _ in range(2):
-            parts.write(metrics.score_parts(batch), batch_id)
+        _write_twice(parts, metrics.score_parts(batch), batch_id)
 
     replay_to_batches(spark, messages, lambda m: _guessed(parse.air_rows(m)), keep)
     return parts.read(spark)
