@@ -202,8 +202,9 @@ def stream_join_spread(spark, sf_dir):
 
 
 def stream_join_replayed(spark, sf_dir):
-    """Raw readings sent as ``replay`` sends them, one file per micro-batch, and
+    """Raw readings sent as ``replay`` sends them, half a stretch per micro-batch, and
     joined under a watermark that is no longer than a stretch."""
+    cores = spark.sparkContext.defaultParallelism
     places = {"location_no": F.lit(0), "item_no": F.col("pos")}
     messages = replay_messages(
         derived.raw_air(spark, sf_dir).withColumns(places),
@@ -214,10 +215,10 @@ def stream_join_replayed(spark, sf_dir):
     width = ((high - low) // 8 // 3600 + 1) * 3600
     feed, out, state = (shared_dir(spark, p) for p in ("feed", "rows", "state"))
     for part in outputs.in_stretches(messages, width):
-        # Several files a stretch, in no order among themselves.
-        outputs.write_feed(part.repartition(2, "value"), feed)
+        # Two batches a stretch, in no order among themselves, each of a file per core.
+        outputs.write_feed(part.repartition(2 * cores, "value"), feed)
     session = streaming_session(spark)
-    stream = files.read_feed(session, feed, 1)
+    stream = files.read_feed(session, feed, cores)
     joined = unified_stream(
         stream, derived.AIR_TOPIC, derived.WEATHER_TOPIC, delay=f"{width} seconds")
     start_files(joined, out, state, drain=True).awaitTermination()

@@ -1,6 +1,7 @@
 """What a replay works out once, and how many tasks take part in it."""
 
 from envstream.checks import queries as Q
+from envstream.sinks import outputs
 from envstream.streaming.batch_parts import BatchParts
 
 
@@ -15,3 +16,15 @@ def test_a_batch_that_is_run_again_goes_through_the_state_once(spark, sf_dir, mo
     Q.scaled_from_history(spark, sf_dir)
     assert kept and all(by_memory for _, by_memory in kept)
     assert all(sum(b == batch_id for b, _ in kept) == 2 for batch_id, _ in kept)
+
+
+def test_every_core_has_a_file_of_a_batch(spark, sf_dir, monkeypatch):
+    parts, write = [], outputs.write_feed
+
+    def noted(messages, path):
+        parts.append(messages.rdd.getNumPartitions())
+        write(messages, path)
+
+    monkeypatch.setattr(outputs, "write_feed", noted)
+    Q.stream_join_replayed(spark, sf_dir)
+    assert parts and set(parts) == {2 * spark.sparkContext.defaultParallelism}
