@@ -246,8 +246,9 @@ def ledger_after_crash(spark, sf_dir):
     again = TableWriter(store, derived.AIR_TOPIC, derived.WEATHER_TOPIC, ledger=ledger)
 
     def handle(batch, batch_id):
-        first(batch, batch_id)
-        again(batch, batch_id)
+        with first.readings(batch) as readings:
+            first.write(readings, batch_id)
+            again.write(readings, batch_id)
 
     replay_to_batches(spark, derived.feed(spark, sf_dir), lambda m: m, handle)
     return read_ledger(spark, ledger).drop("job")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
@@ -106,31 +107,42 @@ class TableWriter:
     rejected: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        store = replace(self.store, spark=batch.sparkSession)
+        with self.readings(batch) as readings:
+            self.write(readings, batch_id)
+
+    @contextmanager
+    def readings(self, batch: DataFrame):
+        """Messages of a batch, decoded once: those of each topic and their rows."""
         messages = batch.select("topic", "value").persist(StorageLevel.MEMORY_AND_DISK)
         air_messages = messages.where(F.col("topic") == self.air_topic)
         weather_messages = messages.where(F.col("topic") == self.weather_topic)
         air = air_rows(air_messages).persist(StorageLevel.MEMORY_AND_DISK)
         weather = weather_rows(weather_messages).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            tag = store.tag(self.job, batch_id)
-            added = (
-                add_locations(store, air, weather, tag),
-                add_facts(store, AIR, air, tag),
-                add_facts(store, WEATHER, weather, tag),
-            )
-            if self.rejected:
-                self._keep_rejects(air_messages, weather_messages, air, weather, batch_id)
-            if self.ledger and tag is not None:
-                # A run that broke off may have written some already: their tag counts.
-                named = ((LOCATIONS, air), (AIR, air), (WEATHER, weather))
-                added = tuple(store.written(name, tag, rows) for name, rows in named)
-            if self.ledger:
-                self._note(batch.sparkSession, batch_id, added, whole=tag is not None)
+            yield air_messages, weather_messages, air, weather
         finally:
             for frame in (air, weather, messages):
                 frame.unpersist()
 
+    def write(self, readings, batch_id: int) -> None:
+        """One run over a batch's ``readings``."""
+        air_messages, weather_messages, air, weather = readings
+        store = replace(self.store, spark=air.sparkSession)
+        tag = store.tag(self.job, batch_id)
+        added = (
+            add_locations(store, air, weather, tag),
+            add_facts(store, AIR, air, tag),
+            add_facts(store, WEATHER, weather, tag),
+        )
+        if self.rejected:
+            self._keep_rejects(air_messages, weather_messages, air, weather, batch_id)
+        if self.ledger and tag is not None:
+            # A run that broke off may have written some already: their tag counts.
+            named = ((LOCATIONS, air), (AIR, air), (WEATHER, weather))
+            added = tuple(store.written(name, tag, rows) for name, rows in named)
+        if self.ledger:
+            self._note(air.sparkSession, batch_id, added, whole=tag is not None)
+
     def _keep_rejects(self, air_messages, weather_messages, air, weather, batch_id):
         """Messages that could not be read, and readings that no table can take."""
         of_air = rejects(air_messages, S.AIR_ENVELOPE).unionByName(unkept(air))

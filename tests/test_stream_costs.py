@@ -2,6 +2,7 @@
 
 from envstream.checks import queries as Q
 from envstream.sinks import outputs
+from envstream.streaming import table_writer
 from envstream.streaming.batch_parts import BatchParts
 
 
@@ -28,3 +29,15 @@ def test_every_core_has_a_file_of_a_batch(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(outputs, "write_feed", noted)
     Q.stream_join_replayed(spark, sf_dir)
     assert parts and set(parts) == {2 * spark.sparkContext.defaultParallelism}
+
+
+def test_both_runs_of_a_batch_share_its_decoded_rows(spark, sf_dir, monkeypatch):
+    decoded, air_rows = [], table_writer.air_rows
+
+    def noted(messages):
+        decoded.append(1)
+        return air_rows(messages)
+
+    monkeypatch.setattr(table_writer, "air_rows", noted)
+    ledger = Q.ledger_after_crash(spark, sf_dir)
+    assert len(decoded) == ledger.count()
