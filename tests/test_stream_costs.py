@@ -1,6 +1,7 @@
 """What a replay works out once, and how many tasks take part in it."""
 
 from envstream.checks import queries as Q
+from envstream.session import streaming_session
 from envstream.sinks import outputs
 from envstream.streaming import table_writer
 from envstream.streaming.batch_parts import BatchParts
@@ -41,3 +42,8 @@ def test_both_runs_of_a_batch_share_its_decoded_rows(spark, sf_dir, monkeypatch)
     monkeypatch.setattr(table_writer, "air_rows", noted)
     ledger = Q.ledger_after_crash(spark, sf_dir)
     assert len(decoded) == ledger.count()
+
+
+def test_state_stores_do_not_count_their_rows(spark):
+    name = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    assert streaming_session(spark).conf.get(name) == "false"
