@@ -25,16 +25,19 @@ takes some 60 bytes a word while it is built.
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
+from itertools import compress, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envstream.llm.common import cache_of, modest_batches, table
+from envstream.llm.common import modest_batches, table
 from envstream.llm.fmindex import FmIndex
-from envstream.llm.jaccard import WordHash, mix, packed, unpacked
+from envstream.llm.jaccard import mix, packed, unpacked
 from envstream.session import materialise
 
 WINDOW = 20
@@ -51,8 +54,8 @@ _PLACE = _U((1 << 28) - 1)
 
 def anchors(words, window=WINDOW):
     """(hash of the gram at each place, place of each window's anchor)."""
-    hashes = cache_of("substring", WordHash)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    # A hash takes less time than a look into a table of the words met.
+    h = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
     if len(h) < window:
         return h[:0], np.empty(0, np.int64)
     gram = np.zeros(len(h) - GRAM + 1, np.uint64)
@@ -233,49 +236,54 @@ def _cut_one(kept, doc, row, text, marked, window):
 
 # --- shards -----------------------------------------------------------------
 
+_GONE = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+
+
+def _gone(doc, row, begin, end):
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip((doc, row, begin, end), _GONE)],
+        names=["doc", "row", "begin", "end"])
+
 
 def _searched(window):
     def search(batches):
         held, current = [], None
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["shard"] != current:
+            # What is removed whole needs no search.
+            whole = pc.is_null(batch.column(1))
+            doc, row, start, n = batch.filter(whole).columns[2:]
+            yield _gone(doc, row, start, pc.add(start, n))
+            rest = batch.filter(pc.invert(whole))
+            for shard, *passage in zip(*(c.to_pylist() for c in rest.columns[:5])):
+                if shard != current:
                     yield from _of_shard(held, window)
-                    held, current = [], row["shard"]
-                held.append(row)
+                    held, current = [], shard
+                held.append(passage)
         yield from _of_shard(held, window)
 
     return search
 
 
 def _of_shard(held, window):
-    gone = [(r["doc"], r["row"], r["start"], r["start"] + r["n"])
-            for r in held if r["passage"] is None]
-    passages = [r for r in held if r["passage"] is not None]
-    if passages:
-        gone += _repeats(passages, window)
-    if gone:
-        yield pa.RecordBatch.from_arrays([
-            pa.array([g[0] for g in gone], pa.int64()), pa.array([g[1] for g in gone], pa.int64()),
-            pa.array([g[2] for g in gone], pa.int32()), pa.array([g[3] for g in gone], pa.int32()),
-        ], names=["doc", "row", "begin", "end"])
+    if held:
+        yield _gone(*_repeats(held, window))
 
 
 def _repeats(passages, window):
     """Stretches of words of the passages that an earlier window covers."""
-    numbers, text, starts, lengths = {}, [], [], []
-    for p in passages:
-        words = p["passage"].split()
+    numbers, text, starts, lengths = defaultdict(count(1).__next__), [], [], []
+    passages, docs, rows, first = zip(*passages)
+    for passage in passages:
+        words = passage.split()
         starts.append(len(text))
         lengths.append(len(words))
-        text += [numbers.setdefault(w, len(numbers) + 1) for w in words]
+        text.extend(map(numbers.__getitem__, words))
         text.append(0)
     text, starts, lengths = np.array(text, np.int64), np.array(starts), np.array(lengths)
     index = FmIndex(text, len(numbers), window)
     # Where in the corpus each place of the text is, as one number that orders places.
-    docs = np.array([p["doc"] for p in passages], np.int64)
+    docs, rows, first = (np.array(c, np.int64) for c in (docs, rows, first))
     rank = np.unique(docs, return_inverse=True)[1]
-    first = np.array([p["start"] for p in passages], np.int64)
     inside = np.arange(len(text)) - np.repeat(starts, lengths + 1)
     place = (np.repeat(rank, lengths + 1) << 32) + np.repeat(first, lengths + 1) + inside
     place[inside > np.repeat(lengths, lengths + 1) - window] = np.iinfo(np.int64).max
@@ -289,12 +297,10 @@ def _repeats(passages, window):
     new = np.ones(len(at), bool)
     new[1:] = (passage[1:] != passage[:-1]) | (at[1:] != at[:-1] + 1)
     begins = np.flatnonzero(new)
-    lasts = np.append(begins[1:], len(at)) - 1
-    return [
-        (passages[p]["doc"], passages[p]["row"], passages[p]["start"] + a,
-         passages[p]["start"] + b + window)
-        for p, a, b in zip(passage[begins].tolist(), at[begins].tolist(), at[lasts].tolist())
-    ] if len(at) else []
+    lasts = np.append(begins[1:], len(at))[:len(begins)] - 1
+    which = passage[begins]
+    begin, end = first[which] + at[begins], first[which] + at[lasts] + window
+    return docs[which], rows[which], begin.astype(np.int32), end.astype(np.int32)
 
 
 # --- the whole --------------------------------------------------------------
@@ -303,16 +309,21 @@ def _repeats(passages, window):
 def _kept_rows(with_text):
     def keep(batches):
         for batch in batches:
-            found = []
-            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                words = words_of(text)
-                gone = np.zeros(len(words) + 1, np.int64)
-                for span in spans or ():
-                    gone[span["begin"]] += 1
-                    gone[span["end"]] -= 1
-                gone = (np.cumsum(gone)[:-1] > 0).tolist()
-                kept = b" ".join([w for w, g in zip(words, gone) if not g])
-                found.append((len(words), sum(gone), hashlib.sha256(kept).hexdigest(),
+            found, texts, spans = [], batch.column(1).to_pylist(), batch.column(2)
+            begins, ends = (spans.flatten().field(k).to_numpy() for k in ("begin", "end"))
+            sizes = pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False)
+            cuts = np.cumsum(sizes).tolist()
+            for text, size, last in zip(texts, sizes.tolist(), cuts):
+                words, n_gone = words_of(text), 0
+                n_words = len(words)
+                if size:
+                    gone = (np.bincount(begins[last - size:last], minlength=n_words + 1)
+                            - np.bincount(ends[last - size:last], minlength=n_words + 1))
+                    left = np.cumsum(gone)[:-1] <= 0
+                    n_gone = n_words - int(np.count_nonzero(left))
+                    words = compress(words, left.tobytes())
+                kept = b" ".join(words)
+                found.append((n_words, n_gone, hashlib.sha256(kept).hexdigest(),
                               kept.decode() if with_text else None))
             columns = list(zip(*found)) if found else [[]] * 4
             yield pa.RecordBatch.from_arrays([
