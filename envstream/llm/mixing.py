@@ -55,23 +55,24 @@ def shares(df: DataFrame, source: str, tokens: str) -> DataFrame:
 
 
 def _measures(found: DataFrame, total: int, points, budget):
-    """(entropy, most repetitions) of the weights at each exponent, in one pass."""
-    p = F.ln(F.col("n_tokens") / F.lit(float(total)))
-    wanted = []
-    for i, a in enumerate(points):
-        wanted += [
-            F.sum(F.exp(p * a)).alias(f"z{i}"),
-            F.sum(F.exp(p * a) * p * a).alias(f"s{i}"),
-            F.max(p * (a - 1)).alias(f"high{i}"), F.min(p * (a - 1)).alias(f"low{i}"),
-        ]
-    row = found.agg(*wanted).first()
+    """(entropy, most repetitions) of the weights at each exponent, in one pass. The
+    exponents are rows: as parts of expressions, each pass would be a program of its own
+    that the driver compiles and keeps."""
+    tried = found.select(
+        F.ln(F.col("n_tokens") / F.lit(float(total))).alias("p"),
+        F.posexplode(F.lit([float(a) for a in points])).alias("i", "a"))
+    part = F.exp(F.col("p") * F.col("a"))
+    ratio = F.col("p") * (F.col("a") - 1)
+    rows = tried.groupBy("i").agg(
+        F.sum(part).alias("z"), F.sum(part * F.col("p") * F.col("a")).alias("s"),
+        F.max(ratio).alias("high"), F.min(ratio).alias("low")).collect()
     out = []
-    for i in range(len(points)):
-        entropy = math.log(row[f"z{i}"]) - row[f"s{i}"] / row[f"z{i}"]
+    for row in sorted(rows, key=lambda row: row["i"]):
+        entropy = math.log(row["z"]) - row["s"] / row["z"]
         if budget is None:  # the least repeated source comes once
-            repeats = math.exp(row[f"high{i}"] - row[f"low{i}"])
+            repeats = math.exp(row["high"] - row["low"])
         else:
-            repeats = math.exp(row[f"high{i}"]) / row[f"z{i}"] * budget / total
+            repeats = math.exp(row["high"]) / row["z"] * budget / total
         out.append((entropy, repeats))
     return out
 
