@@ -11,43 +11,54 @@ from pyspark.sql import functions as F
 
 from envstream.session import materialise
 
+#: Edges that one task reads; 16 bytes each.
+TASK_EDGES = 1 << 16
+
+
+def _ends(a, b, c, d):
+    """Two edges as rows of (a, b) from one pass over what they are made of."""
+    return F.inline(F.array(F.struct(F.col(a).alias("a"), F.col(b).alias("b")),
+                            F.struct(F.col(c).alias("a"), F.col(d).alias("b"))))
+
 
 def _largest(edges: DataFrame) -> DataFrame:
     """For every node: neighbours above it are hung under its smallest one."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.min("b").alias("m"))
-    joined = both.where("b > a").join(
-        low.select("a", F.least("a", "m").alias("m")), "a")
+    low = edges.select(_ends("a", "b", "b", "a")).groupBy("a").agg(F.min("b").alias("m"))
+    joined = edges.join(low.select("a", F.least("a", "m").alias("m")), "a")
     return joined.select(F.col("m").alias("a"), "b").distinct()
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
     """For every node: it and its neighbours below are hung under the smallest one."""
     low = edges.groupBy("b").agg(F.min("a").alias("m"))
-    moved = edges.join(low, "b").where("a <> m").select(F.col("m").alias("a0"), F.col("a").alias("b0"))
-    own = low.select(F.col("m").alias("a0"), F.col("b").alias("b0"))
-    return moved.unionByName(own).select(
-        F.least("a0", "b0").alias("a"), F.greatest("a0", "b0").alias("b")).distinct()
+    hung = edges.join(low, "b").select(_ends("m", "a", "m", "b"))
+    return hung.where("a <> b").distinct()
 
 
-def _mark(edges: DataFrame):
-    row = edges.agg(
-        F.count("*").alias("n"),
-        F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def _state(edges: DataFrame):
+    """The number of edges, and whether every node is either a root or hangs under one
+    root only; another round would change nothing then."""
+    nodes = edges.select(F.inline(F.array(
+        F.struct(F.col("a").alias("node"), F.lit(0).alias("above")),
+        F.struct(F.col("b").alias("node"), F.lit(1).alias("above")))))
+    found = nodes.groupBy("node").agg(F.sum("above").alias("above"), F.min("above").alias("least"))
+    row = found.agg(F.sum("above").alias("n"), F.count_if(
+        (F.col("above") > 1) | (F.col("above") > F.col("least"))).alias("open")).first()
+    return row["n"] or 0, not row["open"]
 
 
 def components(links: DataFrame, a="a", b="b") -> DataFrame:
-    """Links -> (node, root) for every linked node; roots are the smallest nodes."""
+    """Links -> (node, root) for every linked node; roots are the smallest nodes.
+    Edges are kept as (smaller, larger)."""
     edges = materialise(links.select(
         F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b").distinct())
-    mark = _mark(edges)
-    while mark[0]:
+    n, done = _state(edges)
+    # As many tasks as the edges fill: few edges need no shuffle.
+    edges = edges.coalesce(n // TASK_EDGES + 1)
+    while not done:
         edges = materialise(_smallest(_largest(edges)))
-        now = _mark(edges)
-        if now == mark:
-            break
-        mark = now
+        n, done = _state(edges)
+        edges = edges.coalesce(n // TASK_EDGES + 1)
     roots = edges.select("a").distinct()
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(
         roots.select(F.col("a").alias("node"), F.col("a").alias("root")))

@@ -40,6 +40,8 @@ from envstream.session import materialise
 ORDER = 5
 #: Counts of up to this many expressions are sent to all tasks; more are joined by shuffle.
 MOST_KEYS = 1 << 20
+#: Counts that one task makes ready to be sent.
+TASK_KEYS = 1 << 16
 FIT_ROWS = 20_000
 FOLDS = 3
 DISCOUNT = 0.75
@@ -105,38 +107,48 @@ def _word_counts(batches, most=500_000):
     yield words
 
 
-def _without(grams: DataFrame, fold=None) -> DataFrame:
-    """The expressions and their counts by class in all folds but one."""
-    folds = [k for k in range(FOLDS) if k != fold]
-    sums = [sum((F.col(f"{kind}{k}") for k in folds), F.lit(0)).alias(kind)
-            for kind in ("toxic", "ordinary")]
-    return grams.select("gram", *sums).where("toxic + ordinary > 0")
+def _without(grams: DataFrame) -> DataFrame:
+    """The expressions and their counts by class for every model: one of all folds
+    (-1) and those that leave one out."""
+    def model(fold):
+        folds = [k for k in range(FOLDS) if k != fold]
+        return F.struct(F.lit(fold).alias("model"), *(
+            sum((F.col(f"{kind}{k}") for k in folds), F.lit(0)).alias(kind)
+            for kind in ("toxic", "ordinary")))
+
+    models = F.array(*(model(fold) for fold in range(-1, FOLDS)))
+    return grams.select("gram", F.inline(models)).where("toxic + ordinary > 0")
 
 
 def _cells(grams: DataFrame) -> DataFrame:
-    """Every number of the models as (key, a, b): the key's first letter tells which."""
-    def keyed(df, kind, key, a, b):
-        return df.select(F.concat(F.lit(kind), key).alias("key"), *(
+    """Every number of the models as (model, key, a, b): the key's first letter tells which."""
+    def cell(kind, key, a, b):
+        return F.struct(F.concat(F.lit(kind), key).alias("key"), *(
             F.coalesce(F.expr(v).cast("double"), F.lit(0.0)).alias(n)
             for n, v in (("a", a), ("b", b))))
 
-    context = grams.groupBy(F.expr(f"left(gram, {ORDER - 1})").alias("c")).agg(
+    def keyed(df, *cells):
+        return df.select("model", F.inline(F.array(*cells)))
+
+    context = grams.groupBy("model", F.expr(f"left(gram, {ORDER - 1})").alias("c")).agg(
         F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"),
         F.count_if(F.col("toxic") > 0).alias("types1"),
         F.count_if(F.col("ordinary") > 0).alias("types0"))
-    middle = grams.groupBy(F.expr("right(gram, 3)").alias("g")).agg(F.count("*").alias("n"))
-    context3 = middle.groupBy(F.expr("left(g, 2)").alias("c")).agg(
+    middle = grams.groupBy("model", F.expr("right(gram, 3)").alias("g")).agg(
+        F.count("*").alias("n"))
+    context3 = middle.groupBy("model", F.expr("left(g, 2)").alias("c")).agg(
         F.sum("n").alias("n"), F.count("*").alias("types"))
-    letters = middle.groupBy(F.expr("right(g, 1)").alias("g")).agg(F.count("*").alias("n"))
-    total = letters.agg(F.sum("n").alias("n"), F.count("*").alias("types"))
+    letters = middle.groupBy("model", F.expr("right(g, 1)").alias("g")).agg(
+        F.count("*").alias("n"))
+    total = letters.groupBy("model").agg(F.sum("n").alias("n"), F.count("*").alias("types"))
     parts = [
-        keyed(grams, "g", F.col("gram"), "toxic", "ordinary"),
-        keyed(context, "c", F.col("c"), "toxic", "ordinary"),
-        keyed(context, "t", F.col("c"), "types1", "types0"),
-        keyed(middle, "m", F.col("g"), "n", "0"),
-        keyed(context3, "k", F.col("c"), "n", "types"),
-        keyed(letters, "l", F.col("g"), "n", "0"),
-        keyed(total, "n", F.lit(""), "n", "types"),
+        keyed(grams, cell("g", F.col("gram"), "toxic", "ordinary")),
+        keyed(context, cell("c", F.col("c"), "toxic", "ordinary"),
+              cell("t", F.col("c"), "types1", "types0")),
+        keyed(middle, cell("m", F.col("g"), "n", "0")),
+        keyed(context3, cell("k", F.col("c"), "n", "types")),
+        keyed(letters, cell("l", F.col("g"), "n", "0")),
+        keyed(total, cell("n", F.lit(""), "n", "types")),
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -217,12 +229,25 @@ class Joined:
         self.cells = cells
 
 
-def _model(grams: DataFrame, most_keys: int) -> Table | Joined:
-    """The counts of all expressions; at most ``most_keys`` of them reach the driver."""
-    cells = materialise(_cells(grams))
-    n_keys = cells.count()
-    if n_keys > most_keys:
-        return Joined(cells)
+def _models(grams: DataFrame, most_keys: int):
+    """fold (-1: none) -> the counts of all expressions without it. The cells of all
+    models are worked out in one pass; at most ``most_keys`` of a model reach the driver."""
+    cells = materialise(_cells(_without(grams)))
+    sizes = {r.model: r["count"] for r in cells.groupBy("model").count().collect()}
+
+    def model(fold) -> Table | Joined:
+        own, n_keys = cells.where(F.col("model") == fold).drop("model"), sizes.get(fold, 0)
+        if n_keys > most_keys:
+            return Joined(own)
+        # Cells lie in many small parts; as many tasks as they fill read them.
+        return _table(own.coalesce(n_keys // TASK_KEYS + 1), n_keys)
+
+    return model
+
+
+def _table(cells: DataFrame, n_keys: int) -> Table:
+    if not n_keys:
+        return Table(np.empty(0, np.uint64), np.empty((0, 2)))
     salt = 0
     while True:
         parts = [r.part for r in cells.mapInArrow(_hashed_rows(salt), "part binary").collect()]
@@ -342,6 +367,13 @@ def _numbers(scores, sizes):
 N_MEASURES = 1 + len(STRETCHES) + 3
 
 
+def _sent(counts: Table | Joined, docs: DataFrame):
+    """A table as all tasks get it."""
+    if isinstance(counts, Joined):
+        return counts
+    return docs.sparkSession.sparkContext.broadcast(counts)
+
+
 def _scorer(name, shared):
     scorers = cache_of("toxicity")
     if name not in scorers:
@@ -350,11 +382,12 @@ def _scorer(name, shared):
     return scorers[name]
 
 
-def _measured(rows: DataFrame, counts, name) -> DataFrame:
-    """Rows (row, text), or (row) with a field ``text`` -> (row, measures)."""
+def _measured(rows: DataFrame, counts) -> DataFrame:
+    """Rows (row, text), or (row) with a field ``text`` -> (row, measures). ``counts``:
+    Joined, or a Table that has been sent to all tasks."""
     if isinstance(counts, Joined):
         return _measured_by_join(rows, counts.cells)
-    shared = rows.sparkSession.sparkContext.broadcast(counts)
+    shared, name = counts, uuid.uuid4().hex
 
     def measure(batches):
         scorer = _scorer(name, shared)
@@ -492,6 +525,7 @@ def fitted(docs: DataFrame, labels: DataFrame, text="text", doc_id="doc_id",
     grams = rows.select((F.col("fold") * 2 + F.col("toxic")).alias("part"), "text").mapInArrow(
         _count_grams, "gram string, " + ", ".join(f"{p} long" for p in _PARTS))
     grams = materialise(grams.groupBy("gram").agg(*(F.sum(p).alias(p) for p in _PARTS)))
+    model = _models(grams, most_keys)
     n = rows.select("doc_id").count()
     if n > fit_rows:
         # A share of 63 bits, so that the number holds at any n.
@@ -500,14 +534,15 @@ def fitted(docs: DataFrame, labels: DataFrame, text="text", doc_id="doc_id",
     features, toxic = [], []
     for fold in range(FOLDS):
         fit = rows.where(F.col("fold") == fold).select(F.struct("toxic").alias("row"), "text")
-        counts = _model(_without(grams, fold), most_keys)
-        for r in _measured(fit, counts, uuid.uuid4().hex).toLocalIterator():
+        counts = _sent(model(fold), docs)
+        for r in _measured(fit, counts).collect():
             features.append(r.measures)
             toxic.append(float(r.row.toxic))
+        if not isinstance(counts, Joined):
+            counts.destroy()
     if len(set(toxic)) < 2:
         return None
-    counts = _model(_without(grams), most_keys)
-    return (counts, *_curve(np.array(features), np.array(toxic)))
+    return (model(-1), *_curve(np.array(features), np.array(toxic)))
 
 
 def scored(docs: DataFrame, model, text="text", keep=None, into="toxicity") -> DataFrame:
@@ -524,7 +559,7 @@ def scored(docs: DataFrame, model, text="text", keep=None, into="toxicity") -> D
     for i, slope in enumerate(slopes):
         sums = sums + F.col("measures")[i] * float(slope)
     score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), sums))))
-    found = _measured(rows, counts, uuid.uuid4().hex)
+    found = _measured(rows, _sent(counts, docs))
     return found.select(*(F.col(f"row.`{c}`") for c in columns), score.alias(into))
 
 
