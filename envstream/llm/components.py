@@ -35,16 +35,11 @@ def _smallest(edges: DataFrame) -> DataFrame:
     return hung.where("a <> b").distinct()
 
 
-def _state(edges: DataFrame):
-    """The number of edges, and whether every node is either a root or hangs under one
-    root only; another round would change nothing then."""
-    nodes = edges.select(F.inline(F.array(
-        F.struct(F.col("a").alias("node"), F.lit(0).alias("above")),
-        F.struct(F.col("b").alias("node"), F.lit(1).alias("above")))))
-    found = nodes.groupBy("node").agg(F.sum("above").alias("above"), F.min("above").alias("least"))
-    row = found.agg(F.sum("above").alias("n"), F.count_if(
-        (F.col("above") > 1) | (F.col("above") > F.col("least"))).alias("open")).first()
-    return row["n"] or 0, not row["open"]
+def _mark(edges: DataFrame):
+    row = edges.agg(
+        F.count("*").alias("n"),
+        F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+    return row["n"], row["h"]
 
 
 def components(links: DataFrame, a="a", b="b") -> DataFrame:
@@ -52,13 +47,15 @@ def components(links: DataFrame, a="a", b="b") -> DataFrame:
     Edges are kept as (smaller, larger)."""
     edges = materialise(links.select(
         F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b").distinct())
-    n, done = _state(edges)
-    # As many tasks as the edges fill: few edges need no shuffle.
-    edges = edges.coalesce(n // TASK_EDGES + 1)
-    while not done:
+    mark = _mark(edges)
+    while mark[0]:
+        # As many tasks as the edges fill: few edges need no shuffle.
+        edges = edges.coalesce(mark[0] // TASK_EDGES + 1)
         edges = materialise(_smallest(_largest(edges)))
-        n, done = _state(edges)
-        edges = edges.coalesce(n // TASK_EDGES + 1)
+        now = _mark(edges)
+        if now == mark:
+            break
+        mark = now
     roots = edges.select("a").distinct()
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(
         roots.select(F.col("a").alias("node"), F.col("a").alias("root")))

@@ -1,5 +1,5 @@
-"""What the driver has to follow: jobs do not come again for each fold, partition or
-round that brings nothing new."""
+"""What the driver has to follow: no job again for each fold or partition, no shuffle
+of few edges."""
 
 import random
 
@@ -43,11 +43,14 @@ def test_every_model_leaves_out_its_fold(spark):
     assert none.look("n", []).tolist() == [[0, 0]]
 
 
-def test_stars_need_no_round(spark, monkeypatch):
-    calls = written(monkeypatch, components)
-    links = spark.createDataFrame([(1, 2), (3, 1), (5, 7), (7, 7)], "a long, b long")
+def test_few_edges_need_no_shuffle(spark, monkeypatch):
+    parts = []
+    monkeypatch.setattr(components, "materialise", lambda df, f=components.materialise: (
+        parts.append(df.rdd.getNumPartitions()), f(df))[1])
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long").repartition(7)
     found = {(r.node, r.root) for r in components.components(links).collect()}
-    assert found == {(1, 1), (2, 1), (3, 1), (5, 5), (7, 5)} and len(calls) == 1
+    assert found == {(i, 0) for i in range(41)}
+    assert len(parts) > 2 and set(parts[1:]) == {1}
 
 
 @pytest.mark.parametrize("edges_a_task", [components.TASK_EDGES, 50])
