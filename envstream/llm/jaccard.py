@@ -16,10 +16,16 @@ How the products are worked out: a block is one row, at most ``BLOCK`` rows
 that meet it, and the overlaps are counted by a search of all their shingles in
 the one row's. Pairs whose sizes alone rule a link out never get there.
 
-First every row meets one centre for each of its rare shingles, in ``ROUNDS``
-rounds; then the rows of one shingle meet all others that are not in the same
-component yet: pair by pair, or where many rows meet, block by block. The components are those of all links, but a link inside a
-component that other links hold together may never be counted.
+First every row meets ``CENTRES`` centres for each of its rare shingles; then the
+rows of one shingle meet all others that are not in the same component yet: pair
+by pair, or where many rows meet, block by block. The components are those of all
+links, but a link inside a component that other links hold together may never be
+counted.
+
+What is shuffled: hashes go once to the buckets of their range, and repeated ones
+back to their row, 8 bytes each. A prefix is shuffled before that only if its set
+has copies. Sets go to each step that works out products: all of them to the
+centres, later only those that the step needs, if these are ``SMALL_IDS`` at most.
 
 Defined results: NULL, empty and blank texts have no shingles and no links;
 a text of fewer words than a shingle is one shingle; rows with equal ids are
@@ -44,14 +50,18 @@ from envstream.session import materialise, shared_dir
 SIZE = 5
 SHARE = (3, 4)
 BLOCK = 256
-ROUNDS = 2
+#: Centres of a shingle.
+CENTRES = 2
 #: Shingles with more rows than this are worked off block by block, not pair by pair.
 DENSE = 64
 BUCKET_ENTRIES = 500_000
 #: Rows of entries handed on at once.
 STEP = 1 << 16
-#: Ids of documents that may have partners are sent to all tasks up to this many.
+#: Ids of documents or sets that a step needs are sent to all tasks up to this many.
 SMALL_IDS = 2_000_000
+#: Bits of a shingle in a bucket; the rows that have it are counted in those above.
+FP_BITS = 40
+MOST_ROWS = (1 << 63 - FP_BITS) - 1
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 _CACHE = 150_000
 #: Stands for a NULL id, before all others.
@@ -200,9 +210,10 @@ def _of_bucket(held):
     kept = np.flatnonzero(df > 1)
     for i in range(0, len(kept), STEP):
         some = kept[i:i + STEP]
+        # Sorted by these, shingles are sorted by their rows, rarest first.
+        met = np.minimum(df[some], MOST_ROWS) << FP_BITS | fps[some].astype(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(docs[some]), pa.array(fps[some].astype(np.int64)),
-             pa.array(df[some].astype(np.int32))], names=["doc", "fp", "df"])
+            [pa.array(docs[some]), pa.array(met)], names=["doc", "met"])
 
 
 def _first_screen(n, share):
@@ -221,14 +232,12 @@ def _meeting(share, bounds):
     def pick(batches):
         for batch in batches:
             docs, out = batch.column(0).to_pylist(), []
-            met, cuts = batch.column(2), batch.column(2).offsets.to_numpy()
-            all_fps, all_df = (met.values.field(k).to_numpy() for k in ("fp", "df"))
+            cuts, met = batch.column(2).offsets.to_numpy(), batch.column(2).values.to_numpy()
             for i, n in enumerate(batch.column(1).to_pylist()):
-                own = slice(cuts[i], cuts[i + 1])
-                fps, df = all_fps[own], all_df[own]
+                own = np.sort(met[cuts[i]:cuts[i + 1]])
                 wanted, size = bounds(n, share)
-                most = wanted - (size - len(fps))  # those of no other row come first
-                out.append(fps[np.lexsort((fps, df))[:max(0, most)]])
+                most = wanted - (size - len(own))  # those of no other row come first
+                out.append(own[:max(0, most)] & (1 << FP_BITS) - 1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(docs, pa.int64()), batch.column(1), pa.array(out, pa.list_(pa.int64()))],
                 names=["doc", "n", "fps"])
@@ -281,6 +290,14 @@ def _product(share):
     return multiply
 
 
+def _needed_sets(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The sets of these nodes if they are few, so that no others are shuffled; else all."""
+    nodes = materialise(nodes.distinct())
+    if nodes.count() > SMALL_IDS:
+        return sets
+    return sets.join(F.broadcast(nodes), "doc", "left_semi")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, share) -> DataFrame:
     """Pairs (a, b) that are links. Each block of partners gets its own copy of a's row."""
     blocks = F.ceil(F.count("*") / BLOCK).cast("int")
@@ -300,16 +317,17 @@ def _fits(n, m, share):
     return f"least({n}, {m}) * {share[1]} >= greatest({n}, {m}) * {share[0]}"
 
 
-def _star(posts: DataFrame, number: int, share) -> DataFrame:
-    """Every row with the centre of each of its shingles: linear in the rows."""
-    by = F.xxhash64("doc", F.lit(number)) if number else F.col("doc")
-    centre = posts.groupBy("fp").agg(
-        F.min(F.struct(by.alias("k"), "doc", "n")).alias("c"), F.count("*").alias("rows"))
-    centre = centre.where("rows > 1").select("fp", "c.doc", "c.n")
-    joined = posts.alias("p").join(centre.alias("c"), "fp").where(
-        f"p.doc <> c.doc and {_fits('p.n', 'c.n', share)}")
-    return joined.select(F.least("p.doc", "c.doc").alias("a"),
-                         F.greatest("p.doc", "c.doc").alias("b")).distinct()
+def _stars(posts: DataFrame, share) -> DataFrame:
+    """Every row with the centres of each of its shingles: linear in the rows."""
+    centres = posts.groupBy("fp").agg(F.count("*").alias("rows"), *(
+        F.min(F.struct((F.xxhash64("doc", F.lit(i)) if i else F.col("doc")).alias("k"), "doc", "n"))
+        .alias(f"c{i}") for i in range(CENTRES)))
+    centres = centres.where("rows > 1").select("fp", F.array_distinct(F.array(*(
+        F.struct(f"c{i}.doc", f"c{i}.n") for i in range(CENTRES)))).alias("centres"))
+    joined = posts.join(centres, "fp").select("doc", "n", F.explode("centres").alias("c"))
+    joined = joined.where(f"doc <> c.doc and {_fits('n', 'c.n', share)}")
+    return joined.select(F.least("doc", "c.doc").alias("a"),
+                         F.greatest("doc", "c.doc").alias("b")).distinct()
 
 
 def _open(posts: DataFrame, roots: DataFrame) -> DataFrame:
@@ -373,6 +391,7 @@ def _dense_links(entries: DataFrame, sets: DataFrame, share, block=BLOCK) -> Dat
     rows = rows.join(totals, ["hub", "side"]).withColumn(
         "block", F.concat_ws(":", "hub", "side", F.pmod(F.xxhash64("doc"), "n_blocks")))
     rows = materialise(rows.select("doc", "root", "hub", "side", "block"))
+    sets = _needed_sets(sets, rows.select("doc"))
     blocks = rows.select("hub", "side", "block").distinct()
     pairs = blocks.alias("x").join(blocks.alias("y"), F.expr(
         "x.hub = y.hub and (x.block < y.block or x.block = y.block and x.side = '-') "
@@ -387,21 +406,37 @@ def _dense_links(entries: DataFrame, sets: DataFrame, share, block=BLOCK) -> Dat
     return sent.groupBy("pair").applyInArrow(_block_product(share), "a long, b long")
 
 
-def _met(rows: DataFrame, sizes: DataFrame, width, share, bounds) -> DataFrame:
-    """(doc, hashes) -> doc, n, fps: the shingles at which each row meets others;
-    rows that meet none are left out."""
-    hashes = rows.columns[1]
-    total = rows.agg(F.sum(F.octet_length(hashes))).first()[0] or 0
+def _met(rows: DataFrame, total, sizes: DataFrame, width, share, bounds) -> DataFrame:
+    """(doc, hashes), ``total`` bytes of these -> doc, n, fps: the shingles at which each
+    row meets others; rows that meet none are left out."""
     n_buckets = total // (width * BUCKET_ENTRIES) + 1
     posted = rows.mapInArrow(
         _posted(n_buckets, width), "bucket int, fps binary, docs binary, counts binary")
     repeated = posted.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
-        _repeated, "doc long, fp long, df int")
-    gathered = repeated.groupBy("doc").agg(F.collect_list(F.struct("fp", "df")).alias("met"))
+        _repeated, "doc long, met long")
+    gathered = repeated.groupBy("doc").agg(F.collect_list("met").alias("met"))
     return gathered.join(sizes, "doc").select("doc", "n", "met").mapInArrow(
         _meeting(share, bounds), "doc long, n long, fps array<bigint>").where("size(fps) > 0")
 
 
+def _sum(rows: DataFrame, value) -> int:
+    return rows.agg(F.sum(value)).first()[0] or 0
+
+
+def _prefixes(filled: DataFrame, again: DataFrame) -> DataFrame:
+    """doc (what stands for the set) and prefix of every set once. Only those that more
+    than one row has, ``again``, are shuffled, unless there are very many of them."""
+    few, copied = again.count() <= SMALL_IDS, filled
+    if few:
+        copied = filled.join(F.broadcast(again), "node", "left_semi")
+    once = copied.groupBy("digest").agg(
+        F.first("node").alias("doc"), F.first("prefix").alias("prefix")).select("doc", "prefix")
+    if not few:
+        return once
+    alone = filled.join(F.broadcast(again), "node", "left_anti")
+    return alone.select(F.col("node").alias("doc"), "prefix").unionByName(once)
+
+
 def clusters(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE, size=SIZE,
              dense=DENSE) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
@@ -414,13 +449,13 @@ def clusters(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE, size=SI
         .write.parquet(path)
     rows = spark.read.parquet(path)
     filled = rows.where("n > 0")
-    reps = filled.groupBy("digest").agg(
-        F.min("doc").alias("doc"), F.first("node").alias("node"), F.first("n").alias("n"),
-        F.first("prefix").alias("prefix"))
     # From here to the links, ``doc`` is what stands for a set.
-    sizes = filled.groupBy(F.col("node").alias("doc")).agg(F.max("n").alias("n"))
-    screened = _met(reps.select(F.col("node").alias("doc"), "prefix"), sizes, 5, share,
-                    _first_screen)
+    nodes = materialise(filled.groupBy(F.col("node").alias("doc")).agg(
+        F.max("n").alias("n"), F.count("*").alias("rows"),
+        F.max(F.octet_length("prefix")).alias("bytes")))
+    sizes = nodes.select("doc", "n")
+    again = nodes.where("rows > 1").select(F.col("doc").alias("node"))
+    screened = _met(_prefixes(filled, again), _sum(nodes, "bytes"), sizes, 5, share, _first_screen)
     ids = materialise(screened.select("doc"))
     named = filled.groupBy("node").agg(F.min("doc").alias("id"))
     named = materialise(named.join(ids, named.node == ids.doc).select("node", "id"))
@@ -431,21 +466,15 @@ def clusters(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE, size=SI
         .mapInArrow(_sets(size), "doc long, set binary")
     sets = materialise(sets.join(F.broadcast(ids) if small else ids, "doc", "left_semi")
                        .dropDuplicates(["doc"]))
-    met = _met(sets.select("doc", "set"), sizes, 6, share, _whole_row)
+    met = _met(sets, _sum(sets, F.octet_length("set")), sizes, 6, share, _whole_row)
     posts = materialise(met.select("doc", "n", F.explode("fps").alias("fp")))
-    links, tested = None, None
-    for number in range(ROUNDS):
-        pairs = _star(posts, number, share)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(pairs)
-        found = materialise(_verified(pairs, sets, share))
-        links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
+    tested = materialise(_stars(posts, share))
+    links = materialise(_verified(tested, sets, share))
     entries = materialise(_open(posts, components(links)))
     pairs = _across(entries.where(F.col("rows") <= dense), share)
     pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"))
-    links = links.unionByName(materialise(_verified(pairs, sets, share)))
+    needed = _needed_sets(sets, pairs.select(F.explode(F.array("a", "b")).alias("doc")))
+    links = links.unionByName(materialise(_verified(pairs, needed, share)))
     crowded = entries.where(F.col("rows") > dense)
     if not crowded.isEmpty():
         links = links.unionByName(materialise(_dense_links(crowded, sets, share)))
@@ -454,9 +483,8 @@ def clusters(docs: DataFrame, text="text", doc_id="doc_id", share=SHARE, size=SI
             .withColumnRenamed("id", end)
     links = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     # Rows with one set hang together by their smallest document.
-    copies = rows.where("n > 0").join(
-        reps.select("digest", F.col("doc").alias("rep")), "digest").select(
-        F.col("rep").alias("a"), F.col("doc").alias("b")).where("a <> b")
+    firsts = filled.groupBy("digest").agg(F.min("doc").alias("a"))
+    copies = filled.join(firsts, "digest").select("a", F.col("doc").alias("b")).where("a <> b")
     roots = components(links.unionByName(copies))
     named = rows.select("doc", "n").join(roots, rows.doc == roots.node, "left")
     return named.select(
