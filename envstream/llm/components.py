@@ -22,10 +22,11 @@ def _ends(a, b, c, d):
 
 
 def _largest(edges: DataFrame) -> DataFrame:
-    """For every node: neighbours above it are hung under its smallest one."""
-    low = edges.select(_ends("a", "b", "b", "a")).groupBy("a").agg(F.min("b").alias("m"))
-    joined = edges.join(low.select("a", F.least("a", "m").alias("m")), "a")
-    return joined.select(F.col("m").alias("a"), "b").distinct()
+    """For every node: neighbours above it are hung under its smallest one, or under
+    itself where it has none below."""
+    low = edges.groupBy(F.col("b").alias("a")).agg(F.min("a").alias("m"))
+    joined = edges.join(low, "a", "left")
+    return joined.select(F.coalesce("m", "a").alias("a"), "b").distinct()
 
 
 def _smallest(edges: DataFrame) -> DataFrame:

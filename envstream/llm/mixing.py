@@ -156,9 +156,13 @@ def mixed(df: DataFrame, text="text", doc_id="doc_id", source="source", entropy=
         "epoch", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))))
     rows = rows.withColumn("key", F.xxhash64(F.lit(seed), "epoch", "id", "n")).withColumn(
         "bucket", F.pmod("key", F.ceil(F.col("w.n_docs") / BUCKET).cast("long")))
-    bucket = ["s", "epoch", "bucket"]
+    # Without NULL in them these also are the keys of the join, which then finds the rows
+    # where the window has left them.
+    rows = rows.withColumn("named", F.coalesce("s", F.lit(""))).withColumn(
+        "unnamed", F.col("s").isNull())
+    bucket = ["named", "unnamed", "epoch", "bucket"]
     sums = rows.groupBy(*bucket).agg(F.sum("n").alias("n"))
-    before = Window.partitionBy("s", "epoch").orderBy("bucket").rowsBetween(
+    before = Window.partitionBy(*bucket[:3]).orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = sums.select(
         *(F.col(c).alias("o_" + c) for c in bucket),
@@ -166,9 +170,7 @@ def mixed(df: DataFrame, text="text", doc_id="doc_id", source="source", entropy=
     inside = Window.partitionBy(*bucket).orderBy("key", "id").rowsBetween(
         Window.unboundedPreceding, -1)
     placed = rows.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    placed = placed.join(offsets, F.col("s").eqNullSafe(F.col("o_s"))
-                         & (F.col("epoch") == F.col("o_epoch"))
-                         & (F.col("bucket") == F.col("o_bucket")))
+    placed = placed.join(offsets, [F.col(c) == F.col("o_" + c) for c in bucket])
     place = F.col("epoch") * F.col("w.n_tokens") + F.col("offset") + F.col("inside")
     placed = placed.withColumn("place", place).where("place < w.target")
     # Exact for any size: the place is cut into blocks by the quotient of decimals.

@@ -66,3 +66,10 @@ def test_components_of_any_links(spark, monkeypatch, edges_a_task):
                 root[a] = root[b] = min(root[a], root[b])
     links = spark.createDataFrame(pairs, "a long, b long").withColumn("c", F.lit(0))
     assert dict(components.components(links).select("node", "root").collect()) == root
+
+
+def test_a_round_makes_one_row_an_edge_of_its_lowest_neighbours(spark):
+    edges = spark.createDataFrame([(1, 5), (2, 5), (5, 8), (5, 9), (3, 9)], "a long, b long")
+    hung = components._largest(edges)
+    assert {tuple(r) for r in hung.collect()} == {(1, 5), (2, 5), (1, 8), (1, 9), (3, 9)}
+    assert "Generate" not in hung._jdf.queryExecution().optimizedPlan().toString()

@@ -24,3 +24,27 @@ def test_exponents_are_data_of_one_program(spark, monkeypatch):
         assert math.isclose(repeats, max(times) / min(times), rel_tol=1e-9)
     budget = mixing._measures(found, 100, [1.0, 0.0], 50)
     assert math.isclose(budget[0][1], 0.5) and math.isclose(budget[1][1], 50 / 3 / 10)
+
+
+def test_texts_are_shuffled_once(spark):
+    rows = [(i, "w " * 9, [None, "", "a"][i % 3]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    before = {k: spark.conf.get(k) for k in (
+        "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:  # the plan of offsets that are not known to be small
+        for k, v in zip(before, ("false", "-1")):
+            spark.conf.set(k, v)
+        made = mixing.mixed(docs)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.doc_id for r in made.collect()) == list(range(60))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    below, shuffled = [], 0
+    for line in plan.splitlines():  # a line's depth is where its name begins
+        depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        below = [(d, x) for d, x in below if d < depth] + [(depth, line)]
+        if "Scan" in line:
+            shuffled = max(shuffled, sum("Exchange hashpartitioning(named" in x for _, x in below
+                                         if not any("Aggregate" in y for _, y in below)))
+    assert shuffled == 1
