@@ -14,8 +14,10 @@ about ``FIT_ROWS`` of them (a bounded sample), each measured by models that
 leave out its own one of ``FOLDS`` parts.
 Every expression keeps counts of its own, however many there are. Up to
 ``MOST_KEYS`` of them are sent to the tasks (24 bytes each, and 4 to 8 of an
-index); beyond, the distinct words are scored by shuffled joins with the counts,
-and texts get the scores of their words by another.
+index). Beyond, the expressions of the words that occur are scored by shuffled joins
+with the counts, and the scores of the most frequent ones, up to the same number,
+are sent. Only words that hold another one are scored by joins, and if there are any,
+texts are shuffled once to get the scores of theirs.
 
 Defined results: NULL and empty texts measure 0 and are scored by the curve;
 repeated rows are scored each; rows without a label are scored only; without
@@ -223,10 +225,11 @@ class Table:
 
 
 class Joined:
-    """Counts that stay in Spark: rows (key, a, b), every key once."""
+    """Counts that stay in Spark: rows (key, a, b), every key once. At most
+    ``most_keys`` scores made of them are sent to the tasks."""
 
-    def __init__(self, cells: DataFrame):
-        self.cells = cells
+    def __init__(self, cells: DataFrame, most_keys=MOST_KEYS):
+        self.cells, self.most_keys = cells, most_keys
 
 
 def _models(grams: DataFrame, most_keys: int):
@@ -238,7 +241,7 @@ def _models(grams: DataFrame, most_keys: int):
     def model(fold) -> Table | Joined:
         own, n_keys = cells.where(F.col("model") == fold).drop("model"), sizes.get(fold, 0)
         if n_keys > most_keys:
-            return Joined(own)
+            return Joined(own, most_keys)
         # Cells lie in many small parts; as many tasks as they fill read them.
         return _table(own.coalesce(n_keys // TASK_KEYS + 1), n_keys)
 
@@ -276,6 +279,22 @@ def _log_ratio(letter, middle, base, full, context, types, n, n_letters):
     return logs[0] - logs[1]
 
 
+def _letters(words):
+    """For every predicted letter of some words the five that end there, one array a
+    place, and the number of its word; for every word its letters."""
+    texts = ["\x02" * (ORDER - 1) + w + "\x03" for w in words]
+    lengths = np.array([len(t) for t in texts])
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.int64)
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    inside = np.ones(len(codes), bool)
+    for j in range(ORDER - 1):
+        inside[starts + j] = False
+    at = np.flatnonzero(inside)
+    back = [codes[at - j] for j in range(ORDER - 1, -1, -1)]
+    return back, np.repeat(np.arange(len(words)), lengths - (ORDER - 1)), lengths - (ORDER - 1)
+
+
 class Scorer:
     def __init__(self, counts: Table):
         self._counts, self._places = counts, {}
@@ -284,26 +303,20 @@ class Scorer:
 
     def _ratios(self, words):
         """log P(word | toxic) - log P(word | ordinary), and the letters."""
-        texts = ["\x02" * (ORDER - 1) + w + "\x03" for w in words]
-        lengths = np.array([len(t) for t in texts])
-        codes = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.int64)
-        ends = np.cumsum(lengths)
-        starts = ends - lengths
-        inside = np.ones(len(codes), bool)
-        for j in range(ORDER - 1):
-            inside[starts + j] = False
-        at = np.flatnonzero(inside)  # every predicted letter
-        back = [codes[at - j] for j in range(ORDER - 1, -1, -1)]
+        back, owner, letters = _letters(words)
         look = self._counts.look
         ratio = _log_ratio(
             look("l", back[-1:])[:, 0], look("m", back[-3:])[:, 0], look("k", back[-3:-1]),
             look("g", back), look("c", back[:-1]), look("t", back[:-1]), self._n, self._types)
-        owner = np.repeat(np.arange(len(words)), lengths - (ORDER - 1))
-        return np.bincount(owner, ratio, len(words)), lengths - (ORDER - 1)
+        return np.bincount(owner, ratio, len(words)), letters
 
     def measures(self, texts):
         """One row of numbers per text."""
         split = [t.lower().split() for t in texts]
+        return _numbers(self._found(split), [len(words) for words in split])
+
+    def _found(self, split):
+        """The rows (ratio, letters) of all tokens, one text after the other."""
         flat = list(chain.from_iterable(split))
         new = set(flat).difference(self._places)
         if new and len(self._places) + len(new) > CACHE:
@@ -312,8 +325,7 @@ class Scorer:
             new = set(flat)
         if new:
             self._learn(list(new))
-        scores = self._scores[np.fromiter(map(self._places.__getitem__, flat), np.int64, len(flat))]
-        return _numbers(scores, [len(words) for words in split])
+        return self._scores[np.fromiter(map(self._places.__getitem__, flat), np.int64, len(flat))]
 
     def _learn(self, tokens, step=1 << 14):
         """Keeps the scores of tokens, those of their words."""
@@ -328,6 +340,54 @@ class Scorer:
             self._scores, np.concatenate(scores)[[at[w] for w in words]]])
 
 
+#: In place of a word's letters where an expression of it was not sent.
+PARTLY = -1
+
+
+class RatioScorer(Scorer):
+    """Scores by a table of the ratios of whole expressions, which may lack some."""
+
+    def __init__(self, ratios: Table):
+        self._counts, self._places = ratios, {}
+        self._scores = np.empty((0, 2), np.int64)
+
+    def _ratios(self, words):
+        back, owner, letters = _letters(words)
+        found = self._counts.look("r", back)
+        whole = np.bincount(owner, found[:, 1] == 0, len(words)) == 0
+        return np.bincount(owner, found[:, 0], len(words)), np.where(whole, letters, PARTLY)
+
+    def partly(self, words):
+        """Those of some different words that hold an expression which was not sent."""
+        return [w for w, n in zip(words, self._ratios(words)[1]) if n == PARTLY] if words else []
+
+    def partly_of(self, texts):
+        """For every text its different words of that kind."""
+        split = [t.lower().split() for t in texts]
+        lacking = self._found(split)[:, 1] == PARTLY
+        out, first = [], 0
+        for tokens in split:
+            at = np.flatnonzero(lacking[first:first + len(tokens)])
+            out.append(sorted({_bare(tokens[i]) for i in at}))
+            first += len(tokens)
+        return out
+
+    def completed(self, texts, others):
+        """As ``measures``; ``others``: for each text the rows (word, ratio, letters) of
+        its words of that kind."""
+        split = [t.lower().split() for t in texts]
+        scores, first = self._found(split), 0
+        for tokens, some in zip(split, others):
+            own = scores[first:first + len(tokens)]
+            at = np.flatnonzero(own[:, 1] == PARTLY)
+            if len(at):
+                known = {r["word"]: (r["ratio"], r["letters"]) for r in some}
+                ratios, letters = np.array([known[_bare(tokens[i])] for i in at]).T
+                own[at] = _units(ratios, letters.astype(np.int64))
+            first += len(tokens)
+        return _numbers(scores, [len(tokens) for tokens in split])
+
+
 def _units(ratios, letters):
     """Rows (ratio, letters) in whole numbers, so that sums do not depend on their order."""
     return np.stack([np.rint(ratios * UNIT).astype(np.int64), letters], axis=1)
@@ -374,11 +434,11 @@ def _sent(counts: Table | Joined, docs: DataFrame):
     return docs.sparkSession.sparkContext.broadcast(counts)
 
 
-def _scorer(name, shared):
+def _scorer(name, shared, kind=Scorer):
     scorers = cache_of("toxicity")
     if name not in scorers:
         scorers.clear()
-        scorers[name] = Scorer(shared.value)
+        scorers[name] = kind(shared.value)
     return scorers[name]
 
 
@@ -386,11 +446,15 @@ def _measured(rows: DataFrame, counts) -> DataFrame:
     """Rows (row, text), or (row) with a field ``text`` -> (row, measures). ``counts``:
     Joined, or a Table that has been sent to all tasks."""
     if isinstance(counts, Joined):
-        return _measured_by_join(rows, counts.cells)
-    shared, name = counts, uuid.uuid4().hex
+        return _measured_by_join(rows, counts)
+    return _measured_by(rows, counts, Scorer)
+
+
+def _measured_by(rows: DataFrame, shared, make) -> DataFrame:
+    name = uuid.uuid4().hex
 
     def measure(batches):
-        scorer = _scorer(name, shared)
+        scorer = _scorer(name, shared, make)
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
@@ -404,18 +468,44 @@ def _measured(rows: DataFrame, counts) -> DataFrame:
     return modest_batches(rows).mapInArrow(measure, f"row {kind}, measures array<double>")
 
 
-def _words_of_rows(batches):
-    """(id, text) -> the distinct words of each text."""
+def _vocabulary(batches, most=300_000):
+    """Texts -> the words of this task with how often they occur."""
+    tokens = Counter()
     for batch in batches:
-        for i in range(0, batch.num_rows, 64):
-            part = batch.slice(i, 64)
-            ids, words = [], []
-            for at, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                found = sorted(set(normal_words(text or "")))
-                ids += [at] * len(found)
-                words += found
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(words, pa.string())], names=["id", "word"])
+        for text in batch.column(0).to_pylist():
+            tokens.update(text.lower().split())
+            if len(tokens) > most:
+                yield _words_of_tokens(tokens)
+                tokens = Counter()
+    yield _words_of_tokens(tokens)
+
+
+def _words_of_tokens(tokens):
+    words = Counter()
+    for token, n in tokens.items():
+        if word := _bare(token):
+            words[word] += n
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())],
+        names=["word", "n"])
+
+
+def _grams_of_vocabulary(batches, most=300_000):
+    """(word, n) -> the expressions of this task with how often they occur."""
+    def made():
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())],
+            names=["gram", "n"])
+
+    grams = {}
+    for batch in batches:
+        for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for gram in _grams(word):
+                grams[gram] = grams.get(gram, 0) + n
+            if len(grams) > most:
+                yield made()
+                grams = {}
+    yield made()
 
 
 def _grams_of_words(batches):
@@ -456,40 +546,86 @@ def _gram_scores(grams: DataFrame, cells: DataFrame) -> DataFrame:
     return grams.select("gram", *"gctmkl").mapInArrow(score, "gram string, ratio double")
 
 
-def _measured_by_join(rows: DataFrame, cells: DataFrame) -> DataFrame:
-    """As ``_measured``, by joins of the words' expressions with the counts."""
+def _most_frequent(grams: DataFrame, most: int):
+    """How often the expressions must occur that are not more than ``most`` (a power of
+    two), how many these are, and how many there are in all."""
+    by_bits = grams.groupBy(F.length(F.bin("n")).alias("bits")).count().collect()
+    sizes, bits, sent = {r.bits: r["count"] for r in by_bits}, 64, 0
+    while bits > 1 and sent + sizes.get(bits - 1, 0) <= most:
+        bits -= 1
+        sent += sizes.get(bits, 0)
+    return 1 << bits - 1, sent, sum(sizes.values())
+
+
+def _measured_by_join(rows: DataFrame, counts: Joined) -> DataFrame:
+    """As ``_measured``, where the counts are too many to be sent."""
     text = F.col("text") if "text" in rows.columns else F.col("row.text")
-    # Numbers given to rows must not change when a task is repeated.
-    known = materialise(modest_batches(rows).select(
-        F.monotonically_increasing_id().alias("id"), "row", text.alias("text")))
-    words = materialise(known.select("id", "text").mapInArrow(
-        _words_of_rows, "id long, word string"))
-    pieces = materialise(words.select("word").distinct().mapInArrow(
-        _grams_of_words, "word string, gram string, times long"))
-    grams = _gram_scores(pieces.select("gram").distinct(), cells)
-    scores = pieces.join(grams, "gram").groupBy("word").agg(
-        F.sum(F.col("ratio") * F.col("times")).alias("ratio"), F.sum("times").alias("letters"))
-    found = words.join(scores, "word").groupBy("id").agg(
-        F.collect_list(F.struct("word", "ratio", "letters")).alias("words"))
+    text = F.coalesce(text, F.lit(""))
+    vocabulary = materialise(modest_batches(rows).select(text.alias("text")).mapInArrow(
+        _vocabulary, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    grams = materialise(vocabulary.mapInArrow(
+        _grams_of_vocabulary, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")))
+    scores = materialise(_gram_scores(grams.select("gram"), counts.cells))
+    least, n_sent, n_all = _most_frequent(grams, counts.most_keys)
+    sent = scores if n_sent == n_all else scores.join(
+        grams.where(F.col("n") >= least), "gram", "left_semi")
+    sent = sent.select(
+        F.concat(F.lit("r"), "gram").alias("key"), F.col("ratio").alias("a"), F.lit(1.0).alias("b"))
+    shared = rows.sparkSession.sparkContext.broadcast(
+        _table(sent.coalesce(n_sent // TASK_KEYS + 1), n_sent))
+    if n_sent == n_all:
+        return _measured_by(rows, shared, RatioScorer)
+    return _measured_partly(rows, text, vocabulary, scores, shared)
+
+
+def _measured_partly(rows: DataFrame, text, vocabulary, scores, shared) -> DataFrame:
+    """Where not all expressions were sent: words that hold one of the others get their
+    scores by joins, and texts those of their words by another. A text is known by
+    its digest, so that it need not be written to get a number."""
+    name = uuid.uuid4().hex
+
+    def scorer():
+        return _scorer(name, shared, RatioScorer)
+
+    def lacking(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1 << 14):
+                some = scorer().partly(batch.column(0).slice(i, 1 << 14).to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.string())], names=["word"])
+
+    def lacking_of_texts(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                found = scorer().partly_of(part.column(1).to_pylist())
+                keys = np.repeat(np.arange(len(found)), [len(w) for w in found])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(keys)), pa.array(sum(found, []), pa.string())],
+                    names=["text_key", "word"])
+
+    pieces = vocabulary.select("word").mapInArrow(lacking, "word string").mapInArrow(
+        _grams_of_words, "word string, gram string, times long")
+    words = materialise(pieces.join(scores, "gram").groupBy("word").agg(
+        F.sum(F.col("ratio") * F.col("times")).alias("ratio"), F.sum("times").alias("letters")))
+    key = F.unhex(F.md5(text.cast("binary"))).alias("text_key")
+    found = modest_batches(rows).select(key, text.alias("text")).mapInArrow(
+        lacking_of_texts, "text_key binary, word string").join(words, "word").groupBy(
+            "text_key").agg(F.collect_set(F.struct("word", "ratio", "letters")).alias("words"))
 
     def measure(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
                 part = batch.slice(i, 64)
-                found, sizes = [], []
-                for body, scored in zip(*(part.column(j).to_pylist() for j in (1, 2))):
-                    by_word = {w["word"]: (w["ratio"], w["letters"]) for w in scored or ()}
-                    words = normal_words(body or "")
-                    found += [by_word[w] for w in words]
-                    sizes.append(len(words))
-                ratios, letters = np.array(found, np.float64).reshape(-1, 2).T
-                out = _numbers(_units(ratios, letters.astype(np.int64)), sizes)
+                texts = part.column(2) if part.num_columns > 2 else part.column(0).field("text")
+                out = scorer().completed(
+                    [t or "" for t in texts.to_pylist()], part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(out, pa.list_(pa.float64()))],
                     names=["row", "measures"])
 
     kind = rows.schema["row"].dataType.simpleString()
-    return known.join(found, "id", "left").select("row", "text", "words").mapInArrow(
+    whole = rows.select("*", key).join(found, "text_key", "left")
+    return whole.select("row", "words", *(c for c in rows.columns if c == "text")).mapInArrow(
         measure, f"row {kind}, measures array<double>")
 
 

@@ -70,9 +70,22 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/envstream/{purpose}-{uuid.uuid4().hex}"
 
 
+#: Whether Spark removes a query's shuffle files when it ends; read when a frame is made.
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Write the rows once to reliable storage and cut the lineage there."""
-    context = df.sparkSession.sparkContext
+    """Write the rows once to reliable storage and cut the lineage there. The shuffle
+    files behind them go at once, not when the driver happens to collect its garbage."""
+    context, conf = df.sparkSession.sparkContext, df.sparkSession.conf
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession, "checkpoint"))
-    return df.checkpoint(eager=True)
+    before = conf.get(_REMOVE_SHUFFLES, None)
+    conf.set(_REMOVE_SHUFFLES, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        if before is None:
+            conf.unset(_REMOVE_SHUFFLES)
+        else:
+            conf.set(_REMOVE_SHUFFLES, before)

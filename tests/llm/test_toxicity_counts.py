@@ -141,3 +141,24 @@ def test_few_words_in_the_cache_change_nothing(tables, monkeypatch):
     monkeypatch.setattr(toxicity, "CACHE", 50)
     scorer = toxicity.Scorer(counts)
     assert [m for t in texts for m in scorer.measures([t])] == wanted
+
+
+def test_beyond_the_broadcast_no_text_is_written(spark, tables, monkeypatch):
+    """What is kept apart are words and expressions. If the scores of all expressions that
+    occur can be sent, no text is shuffled either, else each once."""
+    docs, labels = tables
+    docs = docs.unionByName(docs.limit(5))
+    sent = toxicity.fitted(docs, labels)
+    model = toxicity.fitted(docs, labels, most_keys=1000)
+    written, wanted = [], None
+    monkeypatch.setattr(toxicity, "materialise", lambda df, f=toxicity.materialise: (
+        written.append(df.columns), f(df))[1])
+    for most, shuffled in ((1 << 20, False), (1000, True), (0, True)):
+        model[0].most_keys = most
+        scored = toxicity.scored(docs, model)
+        plan = scored._jdf.queryExecution().optimizedPlan().toString()
+        assert ("Join" in plan) == shuffled
+        wanted = wanted or sorted(
+            (r.doc_id, round(r.toxicity, 6)) for r in toxicity.scored(docs, sent).collect())
+        assert sorted((r.doc_id, round(r.toxicity, 6)) for r in scored.collect()) == wanted
+    assert written and not any({"text", "row"} & set(columns) for columns in written)

@@ -203,3 +203,14 @@ def test_database_options():
     assert split["partitionColumn"] == S.TIME and split["numPartitions"] == "16"
     assert (split["lowerBound"], split["upperBound"]) == span
     assert store.fill_nulls is False
+
+
+def test_materialised_rows_leave_no_shuffle_files(spark):
+    from envstream.session import materialise
+
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    rows = materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    assert rows._jdf.queryExecution().shuffleCleanupMode().toString() == "RemoveShuffleFiles"
+    assert sorted(r["count"] for r in rows.collect()) == [142] + [143] * 6 == sorted(
+        r["count"] for r in rows.collect())
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
